@@ -225,7 +225,7 @@ UNION ALL SELECT 'null_user_id', count(*) FILTER (user_id IS NULL) FROM raw_user
 def _(v):
     """Write the clean users with their report, read both back."""
     base = new_folder(v.spark, "clean")
-    written = tables.write_with_report(*cleaning.clean_users(v.raw_users()), base, "users")
+    written = tables.cleaned_to(cleaning.clean_users, v.raw_users(), base, "users")
     report = tables.read_report(v.spark, f"{base}/users_qa")
     rows = written.agg(F.lit("rows").alias("metric"), F.count(F.lit(1)).alias("value"))
     return rows.unionByName(report.filter(F.col("metric").isin("duplicates_removed", "null_user_id")))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usertide.functions.time import midnight, parse_utc
-from usertide.operators.checks import duplicate_count, keep_earliest, keep_latest, null_count, swap_inverted, tidy
+from usertide.operators.checks import keep_earliest, keep_latest, null_count, swap_inverted, tidy
 from usertide.schema import missing_columns
 
 USER_KEYS = ("user_id", "signup_date", "last_active_date")
@@ -16,6 +18,7 @@ EVENT_TIMES = ("event_timestamp", "received_at", "created_at")
 NATIVE_LABEL = "churned_30d"
 
 Cleaned = tuple[DataFrame, DataFrame]
+Store = Callable[[DataFrame], DataFrame]
 
 
 def _missing_report(df: DataFrame, missing: list[str]) -> DataFrame:
@@ -30,31 +33,40 @@ def parse_users(users: DataFrame, formats: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def clean_users(users: DataFrame, formats: tuple[str, ...] = ()) -> Cleaned:
+def clean_users(users: DataFrame, formats: tuple[str, ...] = (), store: Store | None = None) -> Cleaned:
     """Clean users and their report.
 
     Inverted date pairs are exchanged, rows without a user id go, and of several rows of one user
     the most recently active stays.  When a key column is missing the input comes back untouched and
     the report names the column.
+
+    ``store`` writes the clean table and returns the written one; the report then counts that
+    instead of deduplicating once more.
     """
     missing = missing_columns(users, USER_KEYS)
     if missing:
         return users, _missing_report(users, missing)
     parsed = parse_users(users, formats)
+    repaired = swap_inverted(parsed, "signup_date", "last_active_date").filter(F.col("user_id").isNotNull())
+    clean = keep_latest(repaired, "user_id", "last_active_date")
+    if store:
+        clean = store(clean)
+        kept = clean.agg(F.count("user_id")).scalar()
+    else:
+        kept = F.count_distinct("user_id")
     report = tidy(
         parsed.agg(
             *[null_count(c).alias(f"null_{c}") for c in USER_KEYS],
             F.count_if(F.col("signup_date") > F.col("last_active_date")).alias("temporal_inconsistencies"),
             null_count("user_id").alias("dropped_missing_user_id"),
-            (F.count("user_id") - F.count_distinct("user_id")).alias("duplicates_removed"),
+            (F.count("user_id") - kept).alias("duplicates_removed"),
         )
     )
-    repaired = swap_inverted(parsed, "signup_date", "last_active_date").filter(F.col("user_id").isNotNull())
-    return keep_latest(repaired, "user_id", "last_active_date"), report
+    return clean, report
 
 
-def clean_events(events: DataFrame, formats: tuple[str, ...] = ()) -> Cleaned:
-    """Clean events and their report.
+def clean_events(events: DataFrame, formats: tuple[str, ...] = (), store: Store | None = None) -> Cleaned:
+    """Clean events and their report; ``store`` as in :func:`clean_users`.
 
     Rows without an event id go, and of several rows of one event the earliest stays.  Rows without a
     user are counted but kept.  ``duplicates_removed`` includes the rows without an event id.
@@ -65,22 +77,16 @@ def clean_events(events: DataFrame, formats: tuple[str, ...] = ()) -> Cleaned:
     times = [c for c in EVENT_TIMES if c in events.columns]
     parsed = events.withColumns({c: parse_utc(F.col(c), formats) for c in times})
     clean = keep_earliest(parsed.filter(F.col("event_uuid").isNotNull()), "event_uuid", "event_timestamp")
-    report = tidy(
-        parsed.agg(
-            *[null_count(c).alias(f"null_{c}") for c in ("event_uuid", "user_id", "event_timestamp")],
-            duplicate_count("event_uuid").alias("duplicates_removed"),
-        )
-    )
-    order_checks = []
+    if store:
+        clean = store(clean)
+    raw_rows = events.agg(F.count(F.lit(1))).scalar()
+    kept_checks = [(raw_rows - F.count(F.lit(1))).alias("duplicates_removed")]
     if "received_at" in times:
-        order_checks.append(
-            F.count_if(F.col("received_at") < F.col("event_timestamp")).alias("received_before_event")
-        )
+        kept_checks.append(F.count_if(F.col("received_at") < F.col("event_timestamp")).alias("received_before_event"))
     if "received_at" in times and "created_at" in times:
-        order_checks.append(F.count_if(F.col("created_at") > F.col("received_at")).alias("created_before_received"))
-    if order_checks:
-        report = report.unionByName(tidy(clean.agg(*order_checks)))
-    return clean, report
+        kept_checks.append(F.count_if(F.col("created_at") > F.col("received_at")).alias("created_before_received"))
+    nulls = parsed.agg(*[null_count(c).alias(f"null_{c}") for c in ("event_uuid", "user_id", "event_timestamp")])
+    return clean, tidy(nulls).unionByName(tidy(clean.agg(*kept_checks)))
 
 
 def swap_created_received(events: DataFrame) -> DataFrame:

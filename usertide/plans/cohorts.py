@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,53 +70,52 @@ def early_activity(
     min_day: int | None = None,
     exact_signup_time: bool = False,
 ) -> DataFrame:
-    """Per user: events up to and including each of ``days`` after signup, as events_D<n>.
+    """One row per user: user_id, signup_date and events_D<n>, the events up to day n after signup.
 
     Day n ends where the n+1-th full day after signup ends.  There is no lower bound unless
-    ``min_day`` sets one, so activity before signup counts.  Events are cut to one row per user and
-    calendar day before the join, which is exact for signups at midnight, as cleaned users have.  With
-    ``exact_signup_time`` the days on which a bound falls are counted from the events themselves.
+    ``min_day`` sets one, so activity before signup counts.  Users must be unique, as cleaned users are.
+
+    Events are cut to one row per user and calendar day before the join, so a user with very many
+    events weighs no more than the days of the period.  That is exact for signups at midnight, as
+    cleaned users have.  With ``exact_signup_time`` the days on which a bound falls are counted from
+    the events themselves.
     """
-    signups = users.select("user_id", F.col("signup_date").cast("timestamp_ntz").alias("signup"))
-    dated = events.filter(F.col("user_id").isNotNull()).select(
+    dated = events.select(
         "user_id", F.col("event_timestamp").cast("timestamp_ntz").alias("at"), F.to_date("event_timestamp").alias("day")
-    )
-    daily = dated.filter(F.col("day").isNotNull()).groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("n"))
-    bounds = {f"events_D{d}": d + 1 for d in days}
-    first = [] if min_day is None else [min_day]
+    ).filter(F.col("user_id").isNotNull() & F.col("day").isNotNull())
+    daily = dated.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("n"))
+    signups = users.select("user_id", "signup_date", F.col("signup_date").cast("timestamp_ntz").alias("signup"))
+    names = {f"events_D{d}": d + 1 for d in days}
 
     if not exact_signup_time:
         checked = signups.withColumn("signup", _at_midnight(F.col("signup")))
         since = F.datediff(F.col("day"), F.to_date("signup"))
         wanted = F.lit(True) if min_day is None else since >= min_day
-        return (
-            daily.join(checked, "user_id")
-            .groupBy("user_id")
-            .agg(*[_total(wanted & (since < end), F.col("n")).alias(name) for name, end in bounds.items()])
-        )
+        totals = [_total(wanted & (since < end), F.col("n")).alias(name) for name, end in names.items()]
+        return checked.join(daily, "user_id", "left").groupBy("user_id", "signup_date").agg(*totals)
 
-    # A calendar day counts whole when no bound (signup + k days) falls inside it.
-    def cut(k: int) -> Column:
+    def bound(k: int) -> Column:
         return F.col("signup") + F.make_dt_interval(days=F.lit(k))
 
-    cuts = [*first, *bounds.values()]
-    touched = F.lit(False)
-    for k in cuts:
-        touched = touched | ((F.to_date(cut(k)) == F.col("day")) & (cut(k) != midnight(cut(k))))
-    joined_days = daily.join(signups, "user_id").filter(~touched)
-    whole = joined_days.select("user_id", "signup", F.col("day").cast("timestamp_ntz").alias("at"), "n")
-    boundary = (
-        signups.withColumn("day", F.explode(F.array_distinct(F.array(*[F.to_date(cut(k)) for k in cuts]))))
-        .filter(touched)
-        .join(dated, ["user_id", "day"])
-        .select("user_id", "signup", "at", F.lit(1).cast("bigint").alias("n"))
+    # A calendar day counts whole when no bound falls inside it.
+    bounds = [bound(k) for k in names.values()] + ([] if min_day is None else [bound(min_day)])
+    split_day = reduce(or_, [(F.to_date(b) == F.col("day")) & (b != midnight(b)) for b in bounds])
+    # The left join also brings the users without events, with no time and so outside every bound.
+    whole = (
+        signups.join(daily, "user_id", "left")
+        .withColumn("_whole", ~F.coalesce(split_day, F.lit(False)))
+        .withColumn("at", F.when(F.col("_whole"), F.col("day").cast("timestamp_ntz")))
+        .select(*signups.columns, "at", "n")
     )
-    lower = F.lit(True) if min_day is None else F.col("at") >= cut(min_day)
-    return (
-        whole.unionByName(boundary)
-        .groupBy("user_id")
-        .agg(*[_total(lower & (F.col("at") < cut(end)), F.col("n")).alias(name) for name, end in bounds.items()])
+    split = (
+        signups.withColumn("day", F.explode(F.array_distinct(F.array(*[F.to_date(b) for b in bounds]))))
+        .filter(split_day)
+        .join(dated, ["user_id", "day"])
+        .select(*signups.columns, "at", F.lit(1).cast("bigint").alias("n"))
     )
+    lower = F.lit(True) if min_day is None else F.col("at") >= bound(min_day)
+    totals = [_total(lower & (F.col("at") < bound(end)), F.col("n")).alias(name) for name, end in names.items()]
+    return whole.unionByName(split).groupBy("user_id", "signup_date").agg(*totals)
 
 
 def _total(condition: Column, amount: Column) -> Column:
@@ -134,15 +135,13 @@ def user_retention_metrics(
     days are not covered by the span of the events, for whom the label says nothing.
     """
     require_columns(users, ["user_id", "signup_date"], "users")
-    early = early_activity(users, events, (7, 30), min_day, exact_signup_time)
-    base = users.select("user_id", "signup_date")
+    counted = early_activity(users, events, (7, 30), min_day, exact_signup_time)
     if observed_only:
         span = events.select(F.min("event_timestamp").alias("lo"), F.max("event_timestamp").alias("hi"))
-        base = base.filter(
+        counted = counted.filter(
             (F.col("signup_date") >= F.to_date(span.select("lo").scalar()))
             & (F.date_add(F.to_date("signup_date"), 30) <= F.to_date(span.select("hi").scalar()))
         )
-    counted = base.join(early, "user_id", "left").na.fill(0, ["events_D7", "events_D30"])
     return counted.select(
         "user_id",
         "signup_date",

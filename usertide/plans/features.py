@@ -22,8 +22,8 @@ MAX_EVENT_TYPES = 1000
 
 
 def event_summary(events: DataFrame) -> DataFrame:
-    """(user_id, event_count, last_event, unique_event_types), a null user included."""
-    return events.groupBy("user_id").agg(
+    """(user_id, event_count, last_event, unique_event_types) of the events that have a user."""
+    return events.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.count("event_uuid").alias("event_count"),
         F.max("event_timestamp").alias("last_event"),
         F.count_distinct("event_type").alias("unique_event_types"),
@@ -38,10 +38,13 @@ def user_features(users: DataFrame, events: DataFrame) -> DataFrame:
     require_columns(events, ["event_uuid", "user_id", "event_type", "event_timestamp"], "events")
     summary = event_summary(events)
     # Taking the maximum over the whole summary row lets Spark answer it from the shuffle the summary
-    # has already written, instead of reading the events again.
-    newest = summary.select(
+    # has already written, instead of reading the events again.  Events of nobody are looked up apart:
+    # Parquet skips the row groups without a null user.
+    of_users = summary.select(
         F.max(F.struct("last_event", "event_count", "unique_event_types", "user_id"))["last_event"]
     ).scalar()
+    of_nobody = events.filter(F.col("user_id").isNull()).select(F.max("event_timestamp")).scalar()
+    newest = F.greatest(of_users, of_nobody)
     measured = summary.select(
         "user_id",
         "event_count",

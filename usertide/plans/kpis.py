@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from usertide.functions.time import seconds_between
 from usertide.operators.checks import tidy
-from usertide.operators.stats import describe
+from usertide.operators.ranking import ordered_counts, quantile_columns
 
 
 def usage_kpis(users: DataFrame, events: DataFrame) -> DataFrame:
@@ -52,13 +52,14 @@ def sessions(events: DataFrame) -> DataFrame:
 
 def session_summary(events: DataFrame) -> DataFrame:
     """One row: number of sessions, mean and 95th percentile duration, share with an exit event."""
-    table = sessions(events)
-    exit_rate = table.agg(F.avg(F.col("has_exit").cast("double")).alias("x")).scalar()
-    return describe(table, ["duration"], [0.95]).select(
-        F.col("n").alias("sessions"),
-        F.col("mean").alias("mean_duration"),
-        F.col("p95").alias("p95_duration"),
-        exit_rate.alias("exit_rate"),
+    measures = {"n": F.count(F.lit(1)), "s": F.sum("duration"), "exits": F.sum("has_exit")}
+    counted = ordered_counts(sessions(events), "duration", measures)
+    total = F.max("n_total")
+    return counted.agg(
+        total.alias("sessions"),
+        (F.max("s_total") / total).alias("mean_duration"),
+        quantile_columns("duration", [0.95])["p95"].alias("p95_duration"),
+        (F.max("exits_total") / total).alias("exit_rate"),
     )
 
 

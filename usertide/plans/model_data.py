@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from usertide.operators.checks import assert_unique
 from usertide.schema import numeric_columns, require_columns, text_columns
+from usertide.session import materialize
 
 # A text column with more values than this is an identifier, not a category.
 MAX_LEVELS = 2000
@@ -164,5 +165,10 @@ def fit_encoding(df: DataFrame, not_features: Sequence[str] = ("user_id", "churn
 def prepare_model_data(
     features: DataFrame, labels: DataFrame, compat: bool = False, test_share: float = 0.2, seed: int = 42
 ) -> DataFrame:
-    """Joined, unencoded model table with ``split``."""
-    return stratified_split(join_label(features, labels, compat), test_share=test_share, seed=seed)
+    """Joined, unencoded model table with ``split``.
+
+    Features, labels and their join are stored, as the key checks and the split read each of them
+    more than once.
+    """
+    joined = materialize(join_label(materialize(features), materialize(labels), compat))
+    return stratified_split(joined, test_share=test_share, seed=seed)

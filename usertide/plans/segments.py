@@ -8,6 +8,7 @@ from functools import reduce
 from operator import add
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -61,26 +62,29 @@ def segment_users(
     columns = available_columns(features, VARIABLES)
     order_by = "credits_purchased" if "credits_purchased" in columns else columns[0]
     stored = materialize(features.na.fill(0, columns))
-    # Every k reads the same vectors.
-    vectors = materialize(scaled_vectors(stored, columns, [id_col]))
+    vectors = scaled_vectors(stored, columns, stored.columns)
+    # Every iteration of every fit reads the vectors; a lost part is rebuilt from the stored table.
+    kept = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     judge = ClusteringEvaluator(featuresCol="features", predictionCol="prediction", metricName="silhouette")
     tried: list[tuple[int, float, float]] = []
     best: tuple[float, KMeansModel] | None = None
-    for k in ks:
-        model = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4).fit(vectors)
-        silhouette = judge.evaluate(model.transform(vectors))
-        tried.append((k, model.summary.trainingCost, silhouette))
-        if best is None or silhouette > best[0]:
-            best = (silhouette, model)
+    try:
+        for k in ks:
+            model = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4).fit(kept)
+            silhouette = judge.evaluate(model.transform(kept))
+            tried.append((k, model.summary.trainingCost, silhouette))
+            if best is None or silhouette > best[0]:
+                best = (silhouette, model)
+    finally:
+        kept.unpersist()
     chosen = best[1]
-    labelled = chosen.transform(vectors).select(id_col, F.col("prediction").alias("_found"))
-    joined = stored.join(labelled, id_col)
-    means = joined.groupBy("_found").agg(F.avg(order_by).alias("m")).collect()
+    labelled = chosen.transform(vectors).select(*stored.columns, F.col("prediction").alias("_found"))
+    means = labelled.groupBy("_found").agg(F.avg(order_by).alias("m")).collect()
     numbers = {r["_found"]: i for i, r in enumerate(sorted(means, key=lambda r: (-r["m"], r["_found"])))}
     renumber = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[F.col("_found")]
     choices = features.sparkSession.createDataFrame(tried, "k int, inertia double, silhouette double")
     k = max(tried, key=lambda t: (t[2], -t[0]))[0]
-    return Segments(joined.withColumn("cluster", renumber).drop("_found"), choices, k, chosen, columns)
+    return Segments(labelled.withColumn("cluster", renumber).drop("_found"), choices, k, chosen, columns)
 
 
 def nearest_centroid(

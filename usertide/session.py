@@ -38,12 +38,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into reliable storage and cut its lineage.
+    """Write ``df`` once as a table in the shared folder and read it back, which cuts its lineage.
 
-    Used where one frame feeds several fits or passes.  A lost executor then costs a re-read of the
-    files, not a recomputation of everything upstream.
+    Used where one frame feeds several fits or passes.  A lost executor then costs a re-read of some
+    files, not a recomputation of everything upstream, and later passes read only their columns.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = new_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

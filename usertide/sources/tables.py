@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,8 +62,10 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("metric string, value bigint").json(path)
 
 
-def write_with_report(clean: DataFrame, report: DataFrame, base: str, name: str) -> DataFrame:
-    """The clean table and its report as ``<base>/<name>`` and ``<base>/<name>_qa``; returns the written table."""
-    written = write_table(clean, f"{base}/{name}")
+def cleaned_to(
+    clean: Callable[..., tuple[DataFrame, DataFrame]], raw: DataFrame, base: str, name: str
+) -> DataFrame:
+    """Run a cleaning job into ``<base>/<name>`` with its report in ``<base>/<name>_qa``; returns the written table."""
+    written, report = clean(raw, store=lambda df: write_table(df, f"{base}/{name}"))
     write_report(report, f"{base}/{name}_qa")
     return written
