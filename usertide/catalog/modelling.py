@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from usertide import schema
 from usertide.catalog.registry import query, rounded
-from usertide.operators.stats import boxplot_stats
 from usertide.plans import cleaning, model_data, segments, training
-from usertide.session import new_folder
+from usertide.session import materialize, new_folder
 from usertide.sources import tables
 
 FEATURES = ("credits_purchased", "credits_spent", "views", "avg_watch_time_sec", "sessions_7d", "event_count",
@@ -171,7 +170,8 @@ SELECT cluster, metric, count(*) AS n, round(max(p25), 6) AS p25, round(max(p50)
   count(*) FILTER (NOT inside) AS outliers FROM j GROUP BY 1, 2)
 """, ("features",))
 def _(v):
-    return rounded(boxplot_stats(_assigned(v), segments.PROFILE_VARIABLES, "cluster"))
+    # The clusters are read several times, so they are stored like any finished segmentation.
+    return rounded(segments.cluster_boxplots(materialize(_assigned(v))))
 
 
 @query("kmeans_choices")

@@ -15,6 +15,15 @@ from usertide.session import configure
 
 START = "2023-11-15 00:00:00"
 
+# The columns of the given tables that the views read.  Naming them saves a schema lookup.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
 
 class Views:
     """Lazy views for one data folder."""
@@ -24,7 +33,7 @@ class Views:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def users(self) -> DataFrame:
         """Customers as app users: three signup months, some with last activity before signup."""

@@ -1,7 +1,8 @@
 """Exact classification metrics on scored rows: confusion, AUC, curves, thresholds, lift.
 
-``label`` is 0/1 and ``score`` the probability of class 1.  Curves work on one row per distinct score,
-ranked by :mod:`usertide.operators.ranking`, so no step sorts all rows in one task.
+``label`` is 0/1 and ``score`` the probability of class 1; rows without a score are left out.  Everything
+that needs an order works on one row per distinct score, ranked by :mod:`usertide.operators.ranking`, so
+no step sorts all rows in one task.
 """
 
 from __future__ import annotations
@@ -40,10 +41,11 @@ FALSE_POSITIVES = "neg_total - neg_before"
 
 def confusion_matrix(df: DataFrame, threshold: float, label: str = "label", score: str = "score") -> DataFrame:
     """One row: tn, fp, fn, tp at ``threshold``."""
-    called = label_at(F.col(score), threshold)
+    rows = df.select(F.col(label).alias("label"), present(F.col(score)).alias("score")).filter("score is not null")
+    called = label_at(F.col("score"), threshold)
     cells = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
-    return df.agg(
-        *[F.count_if((F.col(label) == actual) & (called == said)).alias(name) for name, (actual, said) in cells.items()]
+    return rows.agg(
+        *[F.count_if((F.col("label") == actual) & (called == said)).alias(name) for name, (actual, said) in cells.items()]
     )
 
 
@@ -68,19 +70,34 @@ def add_class_metrics(df: DataFrame) -> DataFrame:
     )
 
 
+# Pairs of a positive and a negative that the positive wins, a tie counting half; a sum over scores.
+WINS = "pos * (neg_before + neg / 2)"
+
+
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One row (auc): the chance that a positive outscores a negative, ties counting half."""
-    counts = _score_counts(df, label, score)
-    wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
-    pairs = F.max("pos_total").cast("double") * F.max("neg_total").cast("double")
-    return counts.agg(F.try_divide(wins, pairs).alias("auc"))
+    return _score_counts(df, label, score).agg(_auc(F.sum(F.expr(WINS)), F.max("pos_total"), F.max("neg_total")))
+
+
+def _auc(wins: Column, positives: Column, negatives: Column) -> Column:
+    return F.try_divide(wins, positives.cast("double") * negatives.cast("double")).alias("auc")
 
 
 def evaluate_at(df: DataFrame, threshold: float, label: str = "label", score: str = "score") -> DataFrame:
     """One row: threshold, auc, the confusion counts and the metrics of both classes."""
-    auc = roc_auc(df, label, score).scalar()
-    measured = add_class_metrics(confusion_matrix(df, threshold, label, score))
-    return measured.select(F.lit(float(threshold)).alias("threshold"), auc.alias("auc"), *measured.columns)
+    called = label_at(F.col("threshold"), threshold)
+
+    def rows_of(count: str, said: int) -> Column:
+        return F.coalesce(F.sum(F.when(called == said, F.col(count))), F.lit(0))
+
+    cells = _score_counts(df, label, score).agg(
+        _auc(F.sum(F.expr(WINS)), F.max("pos_total"), F.max("neg_total")),
+        rows_of("neg", 0).alias("tn"),
+        rows_of("neg", 1).alias("fp"),
+        rows_of("pos", 0).alias("fn"),
+        rows_of("pos", 1).alias("tp"),
+    )
+    return add_class_metrics(cells).withColumn("threshold", F.lit(float(threshold)))
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -156,32 +173,28 @@ def threshold_sweep(df: DataFrame, steps: int = 50, label: str = "label", score:
     every threshold its matrix.
     """
     grid = evenly_spaced(0.01, 0.99, steps)
-    spark = df.sparkSession
-    rows = df.select(F.col(label).alias("label"), present(F.col(score)).alias("score"))
-    # A missing score is never at or above a threshold.
-    reached = F.coalesce(F.col("_range"), F.lit(0.0)).cast("int")
-    counted = (
-        add_range(rows, "score", grid)
-        .groupBy(F.when(F.col("score").isNull(), 0).otherwise(reached).alias("reached"))
-        .agg(*[c.alias(name) for name, c in _class_counts("label").items()])
+    counts = add_range(_score_counts(df, label, score), "threshold", grid, "reached")
+    counted = counts.groupBy(F.col("reached").cast("int").alias("reached")).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum(F.expr(WINS)).alias("wins")
     )
     thresholds = F.array(*[F.lit(t) for t in grid])
     # Row i holds what lies between threshold i and the next one; row 0 lies below all.
-    frame = spark.range(steps + 1).select(F.col("id").cast("int").alias("reached"))
+    frame = df.sparkSession.range(steps + 1).select(F.col("id").cast("int").alias("reached"))
     filled = frame.join(F.broadcast(counted), "reached", "left").na.fill(0)
-    at_or_above = Window.partitionBy(F.lit(0)).orderBy("reached").rowsBetween(0, Window.unboundedFollowing)
-    below = Window.partitionBy(F.lit(0)).orderBy("reached").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy(F.lit(0))
+    at_or_above = every.orderBy("reached").rowsBetween(0, Window.unboundedFollowing)
+    below = every.orderBy("reached").rowsBetween(Window.unboundedPreceding, -1)
     cells = filled.select(
         "reached",
         F.sum("neg").over(below).alias("tn"),
         F.sum("neg").over(at_or_above).alias("fp"),
         F.sum("pos").over(below).alias("fn"),
         F.sum("pos").over(at_or_above).alias("tp"),
+        _auc(F.sum("wins").over(every), F.sum("pos").over(every), F.sum("neg").over(every)),
     ).filter("reached > 0")
-    auc = roc_auc(df, label, score).scalar()
     return add_class_metrics(cells).select(
         F.element_at(thresholds, F.col("reached")).alias("threshold"),
-        auc.alias("auc"),
+        "auc",
         "precision_pos",
         "recall_pos",
         "f1_pos",

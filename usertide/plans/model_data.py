@@ -85,7 +85,9 @@ def stratified_split(
 def class_weights(df: DataFrame, label: str = "churn_30d") -> DataFrame:
     """One row per label: n and the balanced weight rows / (labels x n)."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total, labels = counts.select(F.sum("n")).scalar(), counts.select(F.count(F.lit(1))).scalar()
+    # One row per label reaches this window.
+    every = Window.partitionBy(F.lit(0))
+    total, labels = F.sum("n").over(every), F.count(F.lit(1)).over(every)
     return counts.select(label, "n", (total / (labels * F.col("n"))).alias("weight"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usertide.functions.numeric import evenly_spaced, label_at, right_closed_bin, risk_band, share_of
@@ -111,7 +111,8 @@ def segment_summary(df: DataFrame, score: str = "score", id_col: str = "user_id"
         .groupBy(risk_band(F.col("percentile")).alias("risk_segment"))
         .agg(F.sum("users").alias("user_count"), F.sum("n").alias("n"))
     )
-    total: Column = segments.select(F.sum("n")).scalar()
+    # At most three rows reach this window.
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
     return segments.select(
         "risk_segment", "user_count", share_of(F.col("user_count"), total).alias("pct")
     ).orderBy(F.desc("risk_segment"))

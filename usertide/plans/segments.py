@@ -13,7 +13,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usertide.functions.numeric import share_of
@@ -105,7 +105,8 @@ def cluster_summary(df: DataFrame, columns: Sequence[str], cluster: str = "clust
     counts = df.groupBy(cluster).agg(
         *[F.round(F.avg(c), 2).alias(c) for c in columns], F.count(F.lit(1)).alias("user_count")
     )
-    total = counts.select(F.sum("user_count")).scalar()
+    # One row per cluster reaches this window.
+    total = F.sum("user_count").over(Window.partitionBy(F.lit(0)))
     return counts.withColumn("pct_total", share_of(F.col("user_count"), total)).orderBy(cluster)
 
 
