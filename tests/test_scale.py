@@ -5,8 +5,10 @@ import re
 import numpy as np
 import pandas as pd
 import pytest
+from oracle import connect, differences
 from pyspark.sql import functions as F
 
+from usertide.catalog import ORACLES, QUERIES
 from usertide.catalog.views import Views
 from usertide.operators import checks, coverage, ranking
 from usertide.plans import cohorts, evaluation, features, model_data, scoring
@@ -51,10 +53,12 @@ def test_hot_user_counts_equal_pandas(spark):
     assert coverage.coverage_counts(users, events).first()["valid_events"] == len(merged)
 
 
-@pytest.mark.parametrize("broadcast_values", [ranking.BROADCAST_VALUES, 0])
-def test_hot_score_percentiles(spark, monkeypatch, broadcast_values):
-    """A third of the rows share one score; the small-table and the salted join agree with pandas."""
-    monkeypatch.setattr(ranking, "BROADCAST_VALUES", broadcast_values)
+@pytest.mark.parametrize("small", [True, False])
+def test_hot_score_percentiles(spark, monkeypatch, small):
+    """A third of the rows share one score; the small way and the ranged, salted way agree with pandas."""
+    if not small:
+        monkeypatch.setattr(ranking, "BROADCAST_VALUES", 0)
+        monkeypatch.setattr(ranking, "ONE_TASK_VALUES", 0)
     rng = np.random.default_rng(3)
     data = rng.random(3000)
     data[::3] = 0.5
@@ -66,11 +70,28 @@ def test_hot_score_percentiles(spark, monkeypatch, broadcast_values):
     assert got[-1] != got[-1] and len(got) == len(rows)
 
 
-def test_frequent_values_are_found(spark):
-    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id").cast("double")).alias("v"))
-    spread = ranking.value_spread(df, "v", ranges=20)
-    assert spread.frequent == (7.0,)
-    assert len(spread.cuts) <= 19
+LONG_WAY = [
+    "roc_auc", "roc_points", "pr_points", "pick_threshold", "threshold_by_segment", "threshold_sweep", "lift_by_decile",
+    "score_distribution", "latency_summary", "risk_segments", "segment_summary", "cluster_boxplots", "session_summary",
+]
+
+
+@pytest.mark.parametrize("name", LONG_WAY)
+def test_value_ranges_give_the_same_rows(spark, sf_dir, monkeypatch, name):
+    """The way meant for many distinct values, forced on small data, against the SQL twin."""
+    monkeypatch.setattr(ranking, "ONE_TASK_VALUES", 0)
+    monkeypatch.setattr(ranking, "BROADCAST_VALUES", 0)
+    assert differences(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name]) == []
+
+
+def test_cut_points_only_for_many_values(spark, monkeypatch):
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    assert ranking.cut_points(df, "v", 20) == []
+    monkeypatch.setattr(ranking, "ONE_TASK_VALUES", 0)
+    cuts = ranking.cut_points(df, "v", 20)
+    assert len(cuts) == 19 and cuts == sorted(cuts)
+    sizes = [r["count"] for r in ranking.add_range(df, "v", cuts).groupBy("_range").count().collect()]
+    assert max(sizes) <= 60
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 64])

@@ -1,93 +1,103 @@
 """Exact global ranks, cumulative counts and quantiles without a single-task sort.
 
-Rows are first reduced to one row per distinct value.  Those are spread over value ranges whose cut
-points come from an approximate quantile sketch.  The cut points decide only how even the ranges
-are, never the result: range totals give each range its offset, and a window inside the range adds
-the rest.  The offset table has at most one row per range and group.
+Rows are first reduced to one stored row per distinct value, in a single pass over the input.  Those
+rows are spread over value ranges whose cut points come from a quantile sketch.  The cut points decide
+only how even the ranges are, never the result: range totals give each range its offset, and a window
+inside the range adds the rest.  The offset table has at most one row per range and group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 from math import isfinite
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from usertide.session import materialize
+
 MAX_RANGES = 1024
-# A value table of at most this many rows (three numbers each, about 24 MB) is sent to every task.
+# Up to this many distinct values (counted first) are ordered by one task.
+ONE_TASK_VALUES = 100_000
+# Up to this many rank rows (three numbers each, about 24 MB) are sent to every task.
 BROADCAST_VALUES = 500_000
 
 
-@dataclass(frozen=True)
-class ValueSpread:
-    """Cut points of a column, the values frequent enough to fill a range alone, and its distinct count."""
-
-    cuts: tuple[float, ...]
-    frequent: tuple[float, ...]
-    distinct: int
-
-
 def present(col: Column) -> Column:
     """The value as a double, with NaN treated as missing."""
     value = col.cast("double")
     return F.when(~F.isnan(value), value)
 
 
-def value_spread(df: DataFrame, value: str, ranges: int | None = None) -> ValueSpread:
-    """One pass over the column; the sketch and the answer have a fixed size whatever the data."""
-    if ranges is None:
-        ranges = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
-    shares = [i / ranges for i in range(1, ranges)]
-    found = df.select(present(F.col(value)).alias("v")).agg(
-        F.percentile_approx("v", shares or [0.5], 4 * MAX_RANGES).alias("cuts"),
-        F.approx_count_distinct("v").alias("distinct"),
+def range_limit(df: DataFrame) -> int:
+    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
+
+
+def value_table(df: DataFrame, value: str, measures: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """One stored row per (``by``, distinct ``value``) with additive ``measures``; missing values form one row."""
+    return materialize(
+        df.withColumn(value, present(F.col(value)))
+        .groupBy(*by, value)
+        .agg(*[m.alias(name) for name, m in measures.items()])
+    )
+
+
+def cut_points(df: DataFrame, value: str, ranges: int) -> list[float]:
+    """At most ``ranges`` - 1 values splitting the rows about evenly; nothing when one task can take them all."""
+    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    found = df.agg(
+        F.count(value).alias("n"), F.percentile_approx(value, shares, 4 * MAX_RANGES).alias("cuts")
     ).first()
-    cuts = [c for c in found["cuts"] or [] if isfinite(c)]
-    frequent = {a for a, b in zip(cuts, cuts[1:]) if a == b}
-    return ValueSpread(tuple(sorted(set(cuts))), tuple(sorted(frequent)), found["distinct"])
+    if found["n"] <= ONE_TASK_VALUES:
+        return []
+    return sorted({c for c in found["cuts"] if isfinite(c)})
 
 
 def add_range(df: DataFrame, value: str, cuts: Sequence[float], name: str = "_range") -> DataFrame:
     """Add the number of cut points not above ``value``."""
-    if not cuts:
-        return df.withColumn(name, F.lit(0.0))
     splits = [float("-inf"), *cuts, float("inf")]
     return Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(df)
 
 
-def ordered_counts(
-    df: DataFrame,
-    value: str,
-    measures: Mapping[str, Column],
-    by: Sequence[str] = (),
-    spread: ValueSpread | None = None,
-    previous: bool = False,
+def running_totals(
+    counts: DataFrame, value: str, measures: Sequence[str], by: Sequence[str] = (), previous: bool = False
 ) -> DataFrame:
-    """One row per (``by``, distinct non-null ``value``) with additive ``measures`` and their running totals.
+    """Running totals over a :func:`value_table`, missing values left out.
 
     For each measure m the result holds m, m_before (sum over smaller values) and m_total; with
     ``previous`` also m_previous, the measure of the next smaller value (null for the smallest).
     ``by`` must take few values: the offset table holds a row per range for each of them.
     """
     by = list(by)
-    spread = spread or value_spread(df, value)
-    counts = (
-        df.withColumn(value, present(F.col(value)))
-        .filter(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(*[m.alias(name) for name, m in measures.items()])
-    )
-    counts = add_range(counts, value, spread.cuts)
-
+    known = counts.filter(F.col(value).isNotNull())
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    cuts = cut_points(known, value, range_limit(counts))
+    if cuts:
+        rows, inside = _with_offsets(add_range(known, value, cuts), value, measures, by, group)
+    else:
+        totals = {f"{m}_total": F.sum(m).over(group) for m in measures}
+        rows, inside = known.withColumns({**totals, **{f"_offset_{m}": F.lit(0) for m in measures}}), group
+    ordered = inside.orderBy(value)
+    smaller = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    columns = [*by, value]
+    for m in measures:
+        before = F.col(f"_offset_{m}") + F.coalesce(F.sum(m).over(smaller), F.lit(0))
+        columns += [m, before.alias(f"{m}_before"), f"{m}_total"]
+        if previous:
+            below = F.lag(m).over(ordered)
+            columns.append((F.coalesce(below, F.col(f"_below.{m}")) if cuts else below).alias(f"{m}_previous"))
+    return rows.select(*columns)
+
+
+def _with_offsets(ranged: DataFrame, value: str, measures: Sequence[str], by: list[str], group):
+    """Rows with the totals of the ranges below theirs and of all ranges, and the window of one range."""
     earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = counts.groupBy(*by, "_range").agg(
+    totals = ranged.groupBy(*by, "_range").agg(
         *[F.sum(m).alias(m) for m in measures],
         F.max_by(F.struct(*measures), F.col(value)).alias("_top"),
     )
+    # At most MAX_RANGES rows per group.
     offsets = totals.select(
         *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)],
         F.col("_range").alias("_range_key"),
@@ -95,21 +105,16 @@ def ordered_counts(
         *[F.sum(m).over(group).alias(f"{m}_total") for m in measures],
         F.lag("_top").over(group.orderBy("_range")).alias("_below"),
     )
-    same_group = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
-    joined = counts.join(F.broadcast(offsets), [F.col("_range") == F.col("_range_key"), *same_group])
+    same = [F.col("_range") == F.col("_range_key")]
+    same += [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
+    return ranged.join(F.broadcast(offsets), same), Window.partitionBy(*by, "_range")
 
-    inside = Window.partitionBy(*by, "_range").orderBy(value)
-    smaller = inside.rowsBetween(Window.unboundedPreceding, -1)
-    columns = [*by, value]
-    for m in measures:
-        columns += [
-            m,
-            (F.col(f"_offset_{m}") + F.coalesce(F.sum(m).over(smaller), F.lit(0))).alias(f"{m}_before"),
-            f"{m}_total",
-        ]
-        if previous:
-            columns.append(F.coalesce(F.lag(m).over(inside), F.col(f"_below.{m}")).alias(f"{m}_previous"))
-    return joined.select(*columns)
+
+def ordered_counts(
+    df: DataFrame, value: str, measures: Mapping[str, Column], by: Sequence[str] = (), previous: bool = False
+) -> DataFrame:
+    """:func:`running_totals` straight from rows."""
+    return running_totals(value_table(df, value, measures, by), value, list(measures), by, previous)
 
 
 def average_rank(count: str = "n") -> Column:
@@ -117,34 +122,33 @@ def average_rank(count: str = "n") -> Column:
     return F.col(f"{count}_before") + (F.col(count) + 1) / 2
 
 
-def percentile_ranks(
-    df: DataFrame, value: str, measures: Mapping[str, Column] | None = None, spread: ValueSpread | None = None
-) -> DataFrame:
-    """One row per distinct value with its average rank as a percentage of all ranked rows."""
-    counted = ordered_counts(df, value, {"n": F.count(F.lit(1)), **(measures or {})}, spread=spread)
-    return counted.withColumn("percentile", average_rank() / F.col("n_total") * 100)
+def percentile_ranks(counts: DataFrame, value: str, measures: Sequence[str] = ("n",)) -> DataFrame:
+    """Running totals of a :func:`value_table` with each value's average rank as a percentage of all ranked rows."""
+    return running_totals(counts, value, measures).withColumn("percentile", average_rank() / F.col("n_total") * 100)
 
 
-def look_up_by_value(rows: DataFrame, table: DataFrame, value: str, spread: ValueSpread) -> DataFrame:
-    """Left join ``rows`` to ``table``, which has one row per distinct ``value``.
+def look_up_by_value(rows: DataFrame, ranks: DataFrame, value: str) -> DataFrame:
+    """Left join ``rows`` to ``ranks``, which has one row per distinct ``value`` with its row counts n and n_total.
 
     A small table is broadcast.  Otherwise the rows of each frequent value are dealt over several
     tasks, and the few matching table rows are repeated once per task; null values match nothing and
     are dealt out the same way.
     """
-    if spread.distinct <= BROADCAST_VALUES:
-        return rows.join(F.broadcast(table), value, "left")
-    salts = len(spread.cuts) + 1
-    crowded = F.col(value).isin(list(spread.frequent)) if spread.frequent else F.lit(False)
-    dealt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int")
+    if ranks.count() <= BROADCAST_VALUES:
+        return rows.join(F.broadcast(ranks), value, "left")
+    tasks = range_limit(rows)
+    # Fewer than ``tasks`` values can each hold more than 1/tasks of the rows.
+    frequent = [r[0] for r in ranks.filter(F.col("n") * tasks > F.col("n_total")).select(value).collect()]
+    crowded = F.col(value).isin(frequent) if frequent else F.lit(False)
+    dealt = F.pmod(F.xxhash64(*rows.columns), F.lit(tasks)).cast("int")
     salted_rows = rows.withColumn("_salt", F.when(crowded | F.col(value).isNull(), dealt).otherwise(0))
-    copies = F.when(crowded, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_table = table.withColumn("_salt", F.explode(copies))
-    return salted_rows.join(salted_table, [value, "_salt"], "left").drop("_salt")
+    copies = F.when(crowded, F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(F.array(F.lit(0)))
+    salted_ranks = ranks.withColumn("_salt", F.explode(copies))
+    return salted_rows.join(salted_ranks, [value, "_salt"], "left").drop("_salt")
 
 
 def quantile_columns(value: str, shares: Sequence[float], count: str = "n") -> dict[str, Column]:
-    """Aggregates over :func:`ordered_counts` rows giving linearly interpolated quantiles."""
+    """Aggregates over :func:`running_totals` rows giving linearly interpolated quantiles."""
     before, own, total = F.col(f"{count}_before"), F.col(count), F.col(f"{count}_total")
 
     def value_at(position: Column) -> Column:
@@ -161,10 +165,3 @@ def quantile_columns(value: str, shares: Sequence[float], count: str = "n") -> d
 
 def quantile_name(share: float) -> str:
     return f"p{share * 100:g}".replace(".", "_")
-
-
-def quantiles(df: DataFrame, value: str, shares: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact quantiles per group (``by`` must take few values)."""
-    counted = ordered_counts(df, value, {"n": F.count(F.lit(1))}, by)
-    aggregates = [c.alias(name) for name, c in quantile_columns(value, shares).items()]
-    return counted.groupBy(*by).agg(*aggregates) if by else counted.agg(*aggregates)

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usertide.functions.numeric import share_of
-from usertide.operators.ranking import ordered_counts, present, quantile_columns, quantile_name, quantiles
+from usertide.operators.ranking import (
+    ordered_counts,
+    present,
+    quantile_columns,
+    quantile_name,
+    running_totals,
+    value_table,
+)
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -94,22 +101,24 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 100) -> DataFra
 def boxplot_stats(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Per group and column: quartiles, whisker ends (last values within 1.5 IQR) and outlier count.
 
-    ``by`` must take few values.
+    ``by`` must take few values.  The rows are read once; both steps work on the distinct values.
     """
-    rows = to_long(df, columns, [by])
-    boxes = quantiles(rows, "value", QUARTILES, [by, "metric"])
+    keys = [by, "metric"]
+    counts = value_table(to_long(df, columns, [by]), "value", {"n": F.count(F.lit(1))}, keys)
+    quartiles = [c.alias(name) for name, c in quantile_columns("value", QUARTILES).items()]
+    boxes = running_totals(counts, "value", ["n"], keys).groupBy(*keys).agg(*quartiles)
     q1, q3 = F.col(quantile_name(0.25)), F.col(quantile_name(0.75))
     reach = (q3 - q1) * 1.5
     # ``boxes`` has one row per group and column.
-    placed = rows.join(F.broadcast(boxes), [by, "metric"]).withColumn(
+    placed = counts.join(F.broadcast(boxes), keys).withColumn(
         "_inside", F.col("value").between(q1 - reach, q3 + reach)
     )
-    return placed.groupBy(by, "metric").agg(
-        F.count(F.lit(1)).alias("n"),
+    return placed.groupBy(*keys).agg(
+        F.sum("n").alias("n"),
         *[F.max(quantile_name(s)).alias(quantile_name(s)) for s in QUARTILES],
         F.min(F.when(F.col("_inside"), F.col("value"))).alias("whisker_low"),
         F.max(F.when(F.col("_inside"), F.col("value"))).alias("whisker_high"),
-        F.count_if(~F.col("_inside")).alias("outliers"),
+        F.coalesce(F.sum(F.when(~F.col("_inside"), F.col("n"))), F.lit(0)).alias("outliers"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usertide.functions.numeric import evenly_spaced, label_at, right_closed_bin, risk_band, share_of
-from usertide.operators.ranking import look_up_by_value, percentile_ranks, present, value_spread
+from usertide.operators.ranking import look_up_by_value, percentile_ranks, present, value_table
 from usertide.operators.stats import describe
 from usertide.schema import first_column_like, require_columns
 
@@ -90,11 +90,11 @@ def risk_segments(df: DataFrame, score: str = "score") -> DataFrame:
     A missing score has no percentile and counts as the lowest segment.
     """
     rows = df.withColumn(score, present(F.col(score)))
-    spread = value_spread(rows, score)
-    ranks = percentile_ranks(rows.select(score), score, spread=spread).select(
-        score, F.col("percentile").alias("churn_percentile")
+    counts = value_table(rows.select(score), score, {"n": F.count(F.lit(1))})
+    ranks = percentile_ranks(counts, score).select(
+        F.col(score), "n", "n_total", F.col("percentile").alias("churn_percentile")
     )
-    placed = look_up_by_value(rows, ranks, score, spread)
+    placed = look_up_by_value(rows, ranks, score)
     return placed.select(*df.columns, "churn_percentile", risk_band(F.col("churn_percentile")).alias("risk_segment"))
 
 
@@ -103,11 +103,14 @@ def segment_summary(df: DataFrame, score: str = "score", id_col: str = "user_id"
 
     Works on one row per distinct score; single rows are never ranked.
     """
-    rows = df.select(present(F.col(score)).alias("score"), F.col(id_col).alias("id"))
-    ranks = percentile_ranks(rows.select("score"), "score").select("score", "percentile")
-    counts = rows.groupBy("score").agg(F.count("id").alias("users"), F.count(F.lit(1)).alias("n"))
+    rows = df.select(F.col(score).alias("score"), F.col(id_col).alias("id"))
+    counts = value_table(rows, "score", {"n": F.count(F.lit(1)), "users": F.count("id")})
+    ranked = percentile_ranks(counts, "score", ["n", "users"]).select("percentile", "n", "users")
+    unscored = counts.filter(F.col("score").isNull()).select(
+        F.lit(None).cast("double").alias("percentile"), "n", "users"
+    )
     segments = (
-        counts.join(ranks, "score", "left")
+        ranked.unionByName(unscored)
         .groupBy(risk_band(F.col("percentile")).alias("risk_segment"))
         .agg(F.sum("users").alias("user_count"), F.sum("n").alias("n"))
     )

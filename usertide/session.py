@@ -33,8 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, grouped by application; nothing is created yet."""
+    return f"{shared_dir(spark)}/usertide/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
