@@ -181,21 +181,18 @@ _SQL: dict[str, tuple[tuple[str, ...], str]] = {
                THEN CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') END AS session_id
         FROM events"""),
     "raw_users": (("app_users",), """
-        SELECT CASE WHEN user_id % 101 = 5 THEN NULL ELSE user_id END AS user_id,
-          CASE WHEN user_id % 103 = 7 THEN 'not a date' ELSE CAST(signup_date AS VARCHAR) END AS signup_date,
-          CAST(last_active_date AS VARCHAR) AS last_active_date, country, user_id % 2 AS churned_30d
-        FROM app_users
-        UNION ALL
-        SELECT user_id, CAST(signup_date AS VARCHAR), CAST(last_active_date + INTERVAL 1 DAY AS VARCHAR), country, 0
-        FROM app_users WHERE user_id % 50 = 1"""),
+        SELECT CASE WHEN copy = 0 AND user_id % 101 = 5 THEN NULL ELSE user_id END AS user_id,
+          CASE WHEN copy = 0 AND user_id % 103 = 7 THEN 'not a date' ELSE CAST(signup_date AS VARCHAR) END
+            AS signup_date,
+          CAST(last_active_date + to_days(copy) AS VARCHAR) AS last_active_date, country,
+          CASE WHEN copy = 0 THEN user_id % 2 ELSE 0 END AS churned_30d
+        FROM (SELECT *, unnest(CASE WHEN user_id % 50 = 1 THEN [0, 1] ELSE [0] END) AS copy FROM app_users)"""),
     "raw_events": (("app_events",), """
-        SELECT CASE WHEN CAST(event_uuid AS BIGINT) % 101 = 0 THEN NULL ELSE event_uuid END AS event_uuid,
-          CASE WHEN CAST(event_uuid AS BIGINT) % 107 = 0 THEN NULL ELSE user_id END AS user_id,
-          event_type, event_timestamp, created_at, received_at
-        FROM app_events
-        UNION ALL
-        SELECT event_uuid, user_id, event_type, event_timestamp + INTERVAL 1 SECOND, created_at, received_at
-        FROM app_events WHERE CAST(event_uuid AS BIGINT) % 50 = 0"""),
+        SELECT CASE WHEN copy = 0 AND event_id % 101 = 0 THEN NULL ELSE event_uuid END AS event_uuid,
+          CASE WHEN copy = 0 AND event_id % 107 = 0 THEN NULL ELSE user_id END AS user_id,
+          event_type, event_timestamp + to_seconds(copy) AS event_timestamp, created_at, received_at
+        FROM (SELECT *, unnest(CASE WHEN event_id % 50 = 0 THEN [0, 1] ELSE [0] END) AS copy
+              FROM (SELECT *, CAST(event_uuid AS BIGINT) AS event_id FROM app_events))"""),
     "order_events": ((), """
         SELECT CAST(o_orderkey AS VARCHAR) AS event_uuid, o_custkey AS user_id, o_orderpriority AS event_type,
           o_orderdate AS event_timestamp

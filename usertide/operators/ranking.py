@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from usertide.session import materialize
 
-MAX_RANGES = 1024
 # Up to this many distinct values (counted first) are ordered by one task.
 ONE_TASK_VALUES = 100_000
+# Beyond that, ranges hold about this many values each, as far as the number of ranges allows.
+VALUES_PER_RANGE = 1_000_000
+MAX_RANGES = 20_000
 # Up to this many rank rows (three numbers each, about 24 MB) are sent to every task.
 BROADCAST_VALUES = 500_000
 
@@ -30,10 +32,6 @@ def present(col: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def range_limit(df: DataFrame) -> int:
-    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
-
-
 def value_table(df: DataFrame, value: str, measures: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """One stored row per (``by``, distinct ``value``) with additive ``measures``; missing values form one row."""
     return materialize(
@@ -43,15 +41,20 @@ def value_table(df: DataFrame, value: str, measures: Mapping[str, Column], by: S
     )
 
 
-def cut_points(df: DataFrame, value: str, ranges: int) -> list[float]:
-    """At most ``ranges`` - 1 values splitting the rows about evenly; nothing when one task can take them all."""
-    shares = [i / ranges for i in range(1, ranges)] or [0.5]
-    found = df.agg(
-        F.count(value).alias("n"), F.percentile_approx(value, shares, 4 * MAX_RANGES).alias("cuts")
-    ).first()
-    if found["n"] <= ONE_TASK_VALUES:
+def parallelism(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def cut_points(df: DataFrame, value: str) -> list[float]:
+    """Values splitting the rows into even ranges; none when one task can take all rows."""
+    rows = df.count()
+    if rows <= ONE_TASK_VALUES:
         return []
-    return sorted({c for c in found["cuts"] if isfinite(c)})
+    ranges = min(max(parallelism(df), rows // VALUES_PER_RANGE, 2), MAX_RANGES)
+    shares = [i / ranges for i in range(1, ranges)]
+    # The sketch and the answer have a size set by ``ranges``, whatever the data.
+    found = df.agg(F.percentile_approx(value, shares, 10 * ranges)).first()[0]
+    return sorted({c for c in found if isfinite(c)})
 
 
 def add_range(df: DataFrame, value: str, cuts: Sequence[float], name: str = "_range") -> DataFrame:
@@ -72,7 +75,7 @@ def running_totals(
     by = list(by)
     known = counts.filter(F.col(value).isNotNull())
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    cuts = cut_points(known, value, range_limit(counts))
+    cuts = cut_points(known, value)
     if cuts:
         rows, inside = _with_offsets(add_range(known, value, cuts), value, measures, by, group)
     else:
@@ -97,7 +100,6 @@ def _with_offsets(ranged: DataFrame, value: str, measures: Sequence[str], by: li
         *[F.sum(m).alias(m) for m in measures],
         F.max_by(F.struct(*measures), F.col(value)).alias("_top"),
     )
-    # At most MAX_RANGES rows per group.
     offsets = totals.select(
         *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)],
         F.col("_range").alias("_range_key"),
@@ -107,7 +109,10 @@ def _with_offsets(ranged: DataFrame, value: str, measures: Sequence[str], by: li
     )
     same = [F.col("_range") == F.col("_range_key")]
     same += [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
-    return ranged.join(F.broadcast(offsets), same), Window.partitionBy(*by, "_range")
+    if not by:
+        # At most MAX_RANGES rows.
+        offsets = F.broadcast(offsets)
+    return ranged.join(offsets, same), Window.partitionBy(*by, "_range")
 
 
 def ordered_counts(
@@ -136,7 +141,7 @@ def look_up_by_value(rows: DataFrame, ranks: DataFrame, value: str) -> DataFrame
     """
     if ranks.count() <= BROADCAST_VALUES:
         return rows.join(F.broadcast(ranks), value, "left")
-    tasks = range_limit(rows)
+    tasks = parallelism(rows)
     # Fewer than ``tasks`` values can each hold more than 1/tasks of the rows.
     frequent = [r[0] for r in ranks.filter(F.col("n") * tasks > F.col("n_total")).select(value).collect()]
     crowded = F.col(value).isin(frequent) if frequent else F.lit(False)

@@ -109,10 +109,7 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     boxes = running_totals(counts, "value", ["n"], keys).groupBy(*keys).agg(*quartiles)
     q1, q3 = F.col(quantile_name(0.25)), F.col(quantile_name(0.75))
     reach = (q3 - q1) * 1.5
-    # ``boxes`` has one row per group and column.
-    placed = counts.join(F.broadcast(boxes), keys).withColumn(
-        "_inside", F.col("value").between(q1 - reach, q3 + reach)
-    )
+    placed = counts.join(boxes, keys).withColumn("_inside", F.col("value").between(q1 - reach, q3 + reach))
     return placed.groupBy(*keys).agg(
         F.sum("n").alias("n"),
         *[F.max(quantile_name(s)).alias(quantile_name(s)) for s in QUARTILES],

@@ -45,7 +45,7 @@ def confusion_matrix(df: DataFrame, threshold: float, label: str = "label", scor
     called = label_at(F.col("score"), threshold)
     cells = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
     return rows.agg(
-        *[F.count_if((F.col("label") == actual) & (called == said)).alias(name) for name, (actual, said) in cells.items()]
+        *[F.count_if((F.col("label") == true) & (called == said)).alias(name) for name, (true, said) in cells.items()]
     )
 
 

@@ -1,4 +1,4 @@
-"""Business figures named in the reference's documents: usage, revenue, sessions, credits."""
+"""Business figures: usage, revenue, sessions, credits."""
 
 from __future__ import annotations
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +17,8 @@ from usertide.session import materialize
 # A text column with more values than this is an identifier, not a category.
 MAX_LEVELS = 2000
 HASH_BITS = 48
-BUCKET_BITS = 12
+RANGE_BITS = 12
+MAX_LABELS = 100
 
 
 def join_label(features: DataFrame, labels: DataFrame, compat: bool = False, check_keys: bool = True) -> DataFrame:
@@ -50,36 +53,38 @@ def stratified_split(
     """Add ``split``: exactly round(test_share x n) rows of each label are 'test', the rest 'train'.
 
     The rows with the smallest hash keys are the test rows.  Counts per label and key range find the
-    range that holds the last test row, and only that range (one in 4096) is ranked; the rows
-    themselves are then compared with one cut per label and never shuffled.
+    range that holds the last test row, and only that range (one in 4096) is ranked.  What remains is
+    one cut per label, so the result is a plain projection of ``df``, which is best a stored table: it
+    is read three times.
     """
-    keyed = df.withColumn("_key", split_key(id_col, seed))
-    slim = keyed.select(
-        F.col(label).alias("_label"),
-        F.col(id_col).alias("_id"),
-        "_key",
-        F.shiftright("_key", HASH_BITS - BUCKET_BITS).alias("_bucket"),
+    key = split_key(id_col, seed)
+    keyed = df.select(F.col(label).alias("label"), F.col(id_col).alias("id"), key.alias("key")).withColumn(
+        "range", F.shiftright("key", HASH_BITS - RANGE_BITS)
     )
-    counts = slim.groupBy("_label", "_bucket").agg(F.count(F.lit(1)).alias("n"))
-    by_label = Window.partitionBy("_label")
-    before = by_label.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 4096 rows per label reach these windows.
-    last_bucket = (
+    counts = keyed.groupBy("label", "range").agg(F.count(F.lit(1)).alias("n"))
+    by_label = Window.partitionBy("label")
+    before = by_label.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # At most 4096 rows per label reach these windows, and one per label comes back.
+    last = (
         counts.withColumn("wanted", F.round(F.sum("n").over(by_label) * F.lit(test_share)).cast("bigint"))
         .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .filter((F.col("before") < F.col("wanted")) & (F.col("wanted") <= F.col("before") + F.col("n")))
-        .select("_label", "_bucket", (F.col("wanted") - F.col("before")).alias("place"))
-    )
-    ranked = slim.join(F.broadcast(last_bucket), ["_label", "_bucket"]).withColumn(
-        "position", F.row_number().over(Window.partitionBy("_label", "_bucket").orderBy("_key", "_id"))
-    )
-    cuts = ranked.filter(F.col("position") == F.col("place")).select(
-        F.col("_label").alias("_cut_label"), F.struct(F.col("_key"), F.col("_id")).alias("_cut")
+        .select("label", "range", (F.col("wanted") - F.col("before")).alias("place"))
+        .limit(MAX_LABELS + 1)
+        .collect()
     )
-    # One row per label.
-    placed = keyed.join(F.broadcast(cuts), F.col(label) == F.col("_cut_label"), "left")
-    in_test = F.struct(F.col("_key"), F.col(id_col).alias("_id")) <= F.col("_cut")
-    return placed.select(*df.columns, F.when(in_test, "test").otherwise("train").alias("split"))
+    if len(last) > MAX_LABELS:
+        raise ValueError(f"{label} has more than {MAX_LABELS} values and is no label")
+    in_test = F.lit(False)
+    if last:
+        here = [(F.col("label") == r["label"]) & (F.col("range") == r["range"]) for r in last]
+        place = reduce(lambda rest, r: F.when(F.col("label") == r["label"], r["place"]).otherwise(rest), last, F.lit(0))
+        position = F.row_number().over(Window.partitionBy("label", "range").orderBy("key", "id"))
+        ranked = keyed.filter(reduce(or_, here)).withColumn("position", position)
+        for cut in ranked.filter(F.col("position") == place).collect():
+            low = (key < cut["key"]) | ((key == cut["key"]) & (F.col(id_col) <= cut["id"]))
+            in_test = in_test | ((F.col(label) == cut["label"]) & low)
+    return df.withColumn("split", F.when(in_test, "test").otherwise("train"))
 
 
 def class_weights(df: DataFrame, label: str = "churn_30d") -> DataFrame:

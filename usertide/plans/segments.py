@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from math import sqrt
 from operator import add
 
 import numpy as np
@@ -22,6 +23,10 @@ from usertide.plans.model_data import fit_scaler, scaled_columns
 from usertide.schema import available_columns, numeric_columns, require_columns
 from usertide.session import materialize
 
+# Fits stop once the squared moves of all centroids add up to this or less (variables have variance 1).
+# Spark bounds the move of each centroid, hence the square root of an equal share.
+TOTAL_SHIFT = 1e-4
+
 # The variables clusters are built from, and those drawn per cluster.
 VARIABLES = (
     "event_count", "recency_days", "unique_event_types", "credits_purchased", "credits_spent", "views",
@@ -70,7 +75,7 @@ def segment_users(
     best: tuple[float, KMeansModel] | None = None
     try:
         for k in ks:
-            model = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4).fit(kept)
+            model = KMeans(k=k, seed=seed, maxIter=300, tol=sqrt(TOTAL_SHIFT / k)).fit(kept)
             silhouette = judge.evaluate(model.transform(kept))
             tried.append((k, model.summary.trainingCost, silhouette))
             if best is None or silhouette > best[0]:
