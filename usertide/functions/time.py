@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MICROS_PER_DAY = 86_400_000_000
 
@@ -18,6 +19,18 @@ def parse_utc(col: Column, formats: tuple[str, ...] = ()) -> Column:
     return F.coalesce(*attempts).cast("timestamp_ntz")
 
 
+def utc_column(df: DataFrame, name: str, formats: tuple[str, ...] = ()) -> Column:
+    """The column as naive UTC; text is parsed, a column that has the type already costs nothing."""
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        return F.col(name)
+    return parse_utc(F.col(name), formats)
+
+
+def micros(col: Column) -> Column:
+    """Microseconds since 1970 in UTC."""
+    return F.unix_micros(col.cast("timestamp"))
+
+
 def midnight(col: Column) -> Column:
     return F.to_date(col).cast("timestamp_ntz")
 
@@ -33,11 +46,10 @@ def month_start(col: Column) -> Column:
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)
+    return (micros(end) - micros(start)) / F.lit(1e6)
 
 
 def whole_days_between(start: Column, end: Column) -> Column:
     """Elapsed days rounded down, so one hour before ``start`` is day -1."""
-    micros = F.timestamp_diff("MICROSECOND", start, end)
-    day = F.lit(MICROS_PER_DAY)
-    return ((micros - F.pmod(micros, day)) / day).cast("bigint")
+    elapsed, day = micros(end) - micros(start), F.lit(MICROS_PER_DAY)
+    return ((elapsed - F.pmod(elapsed, day)) / day).cast("bigint")

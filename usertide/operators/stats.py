@@ -61,8 +61,12 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 100) -> DataFra
     gets a range of 1 around it.
     """
     rows = to_long(df, columns)
-    limits = rows.groupBy("metric").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    spans = [
+        F.struct(F.lit(c).alias("metric"), F.min(present(F.col(c))).alias("lo"), F.max(present(F.col(c))).alias("hi"))
+        for c in columns
+    ]
     single = F.col("lo") == F.col("hi")
+    limits = df.agg(F.array(*spans).alias("spans")).select(F.inline("spans")).filter("lo is not null")
     limits = limits.select(
         "metric",
         F.when(single, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usertide.functions.time import midnight, parse_utc
+from usertide.functions.time import midnight, utc_column
 from usertide.operators.checks import keep_earliest, keep_latest, null_count, swap_inverted, tidy
 from usertide.schema import missing_columns
 
@@ -29,7 +29,7 @@ def _missing_report(df: DataFrame, missing: list[str]) -> DataFrame:
 def parse_users(users: DataFrame, formats: tuple[str, ...] = ()) -> DataFrame:
     """Raw users without the native label and with both dates at UTC midnight."""
     return users.drop(NATIVE_LABEL).withColumns(
-        {c: midnight(parse_utc(F.col(c), formats)) for c in ("signup_date", "last_active_date")}
+        {c: midnight(utc_column(users, c, formats)) for c in ("signup_date", "last_active_date")}
     )
 
 
@@ -75,7 +75,7 @@ def clean_events(events: DataFrame, formats: tuple[str, ...] = (), store: Store
     if missing:
         return events, _missing_report(events, missing)
     times = [c for c in EVENT_TIMES if c in events.columns]
-    parsed = events.withColumns({c: parse_utc(F.col(c), formats) for c in times})
+    parsed = events.withColumns({c: utc_column(events, c, formats) for c in times})
     clean = keep_earliest(parsed.filter(F.col("event_uuid").isNotNull()), "event_uuid", "event_timestamp")
     if store:
         clean = store(clean)
