@@ -261,6 +261,17 @@ def test_activity_without_sessions_and_with_unknown_types(spark):
     assert (rows[3]["ev_play"], rows[3]["active_days"], rows[3]["subscription_type"]) == (0, 0, "unknown")
 
 
+def test_activity_without_types_counts_events(spark):
+    _, events = small_world(spark)
+    got = features.activity(events.drop("event_type"))
+    assert sorted(values(got, "user_id", "ev_count", "active_days")) == [(1, 2, 2), (2, 2, 1), (9, 1, 1)]
+
+
+def test_cardinality_of_absent_columns_is_empty(spark):
+    users, events = small_world(spark)
+    assert audits.domain_cardinality(users, events.drop("event_type")).count() == 0
+
+
 def test_fused_sessions_equal_two_level_grouping(spark):
     rows = [(1, "a"), (1, "a"), (1, "b"), (2, None), (3, "c"), (1, None)]
     events = spark.createDataFrame(

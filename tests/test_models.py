@@ -85,6 +85,21 @@ def test_stored_model_scores_the_same(spark, trained, data, tmp_path):
     assert top.count() == 5
 
 
+def test_absent_columns_count_as_zero(trained, data):
+    model = trained.models["logreg"]
+    filled = data.withColumn("views", F.lit(0)).withColumn("country", F.lit(None).cast("string"))
+    want = model.score(filled).select("user_id", "score").collect()
+    got = model.score(data.drop("views", "country")).select("user_id", "score").collect()
+    assert sorted(got) == sorted(want)
+
+
+def test_folder_without_column_lists_is_no_model(spark, trained, tmp_path):
+    trained.models["logreg"].save(str(tmp_path / "m"))
+    spark.createDataFrame([('{"name": "x"}',)], "value string").write.mode("overwrite").text(str(tmp_path / "m/metadata"))
+    with pytest.raises(ValueError, match="no stored model"):
+        training.load_model(spark, str(tmp_path / "m"))
+
+
 def test_scoring_needs_the_id(trained, data):
     with pytest.raises(ValueError, match="user_id"):
         training.score_users(trained.models["logreg"], data.drop("user_id"), "x")

@@ -297,6 +297,19 @@ def _(v):
     )
 
 
+@query("preview_users", "SELECT user_id, country, device FROM app_users ORDER BY user_id LIMIT 5", ("app_users",))
+def _(v):
+    return v.users().select("user_id", "country", "device").orderBy("user_id").limit(5)
+
+
+@query("row_counts", """
+SELECT 'users' AS metric, count(*) AS value FROM app_users UNION ALL SELECT 'events', count(*) FROM app_events
+""", ("app_users", "app_events"))
+def _(v):
+    users, events = (t.agg(F.count(F.lit(1)).alias(n)) for t, n in ((v.users(), "users"), (v.events(), "events")))
+    return checks.tidy(users).unionByName(checks.tidy(events))
+
+
 @query("scalar_time_functions", """
 SELECT event_uuid, CAST(event_timestamp AS DATE) AS event_date, strftime(event_timestamp, '%Y-%m') AS event_month,
   CAST(date_trunc('day', event_timestamp) AS TIMESTAMP) AS event_midnight,

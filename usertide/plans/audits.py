@@ -26,12 +26,15 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 def domain_cardinality(users: DataFrame, events: DataFrame, columns: Sequence[str] = DOMAIN_COLUMNS) -> DataFrame:
     """Distinct non-null values per column, read from the users if they have it, else from the events."""
-    parts = []
-    for table, here in ((users, [c for c in columns if c in users.columns]),
-                        (events, [c for c in columns if c not in users.columns and c in events.columns])):
-        if here:
-            parts.append(tidy(table.agg(*[F.count_distinct(c).alias(c) for c in here])))
-    return _union(parts).select(F.col("metric").alias("column"), F.col("value").alias("distinct_values"))
+    in_users = [c for c in columns if c in users.columns]
+    in_events = [c for c in columns if c not in users.columns and c in events.columns]
+    counts = [
+        tidy(table.agg(*[F.count_distinct(c).alias(c) for c in here]))
+        for table, here in ((users, in_users), (events, in_events))
+        if here
+    ]
+    none = users.sparkSession.createDataFrame([], "metric string, value bigint")
+    return _union([none, *counts]).select(F.col("metric").alias("column"), F.col("value").alias("distinct_values"))
 
 
 def quality_audit(users: DataFrame, events: DataFrame) -> DataFrame:

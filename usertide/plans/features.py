@@ -70,12 +70,15 @@ def activity(events: DataFrame, event_types: Sequence[str] | None = EVENT_TYPES)
 
     One grouping serves all of them.  The mean session size is the events inside sessions over the
     number of sessions, so no second grouping by session is needed.  ``event_types=None`` looks the
-    types up.
+    types up.  Events without a type column give one count, ev_count.
     """
-    types = event_types_of(events) if event_types is None else list(event_types)
-    measures = [
-        F.count(F.when(F.col("event_type") == t, F.col("event_uuid"))).alias(f"ev_{t}") for t in types
-    ]
+    if "event_type" in events.columns:
+        types = event_types_of(events) if event_types is None else list(event_types)
+        measures = [
+            F.count(F.when(F.col("event_type") == t, F.col("event_uuid"))).alias(f"ev_{t}") for t in types
+        ]
+    else:
+        measures = [F.count(F.lit(1)).alias("ev_count")]
     measures.append(F.count_distinct(F.to_date("event_timestamp")).alias("active_days"))
     if "session_id" in events.columns:
         sessions = F.count_distinct("session_id")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -27,16 +27,23 @@ DEFAULT_THRESHOLD = 0.5
 
 @dataclass(frozen=True)
 class ChurnModel:
-    """A fitted pipeline from raw model columns to a probability, with its threshold and feature names."""
+    """A fitted pipeline from raw model columns to a probability, with its threshold, features and inputs."""
 
     name: str
     pipeline: PipelineModel
     features: list[str]
+    numbers: list[str]
+    categories: list[str]
     threshold: float = DEFAULT_THRESHOLD
 
     def score(self, df: DataFrame) -> DataFrame:
-        """``df`` with ``score``, the probability of churn."""
-        scored = self.pipeline.transform(df)
+        """``df`` with ``score``, the probability of churn.
+
+        A model column that ``df`` lacks counts as 0, or as no known category.
+        """
+        absent = {c: F.lit(0) for c in self.numbers if c not in df.columns}
+        absent |= {c: F.lit(None).cast("string") for c in self.categories if c not in df.columns}
+        scored = self.pipeline.transform(df.withColumns(absent) if absent else df)
         return scored.select(*df.columns, F.element_at(vector_to_array("probability"), 2).alias("score"))
 
     def importances(self) -> DataFrame:
@@ -52,23 +59,19 @@ class ChurnModel:
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        metadata = json.dumps({"name": self.name, "threshold": self.threshold, "features": self.features})
+        metadata = json.dumps({k: v for k, v in vars(self).items() if k != "pipeline"})
         spark.createDataFrame([(metadata,)], "value string").coalesce(1).write.mode("overwrite").text(
             f"{path}/metadata"
         )
 
 
 def load_model(spark: SparkSession, path: str) -> ChurnModel:
-    """Read a stored model; the threshold falls back to 0.5, a missing feature list is an error."""
+    """Read a stored model; the threshold falls back to 0.5, a missing list of columns is an error."""
     metadata = json.loads(spark.read.text(f"{path}/metadata").first()["value"])
-    if "features" not in metadata:
-        raise ValueError(f"{path} holds no feature list")
-    return ChurnModel(
-        metadata.get("name", "model"),
-        PipelineModel.load(f"{path}/pipeline"),
-        metadata["features"],
-        metadata.get("threshold", DEFAULT_THRESHOLD),
-    )
+    missing = {"features", "numbers", "categories"} - set(metadata)
+    if missing:
+        raise ValueError(f"{path} is no stored model: no {', '.join(sorted(missing))}")
+    return ChurnModel(pipeline=PipelineModel.load(f"{path}/pipeline"), **{"name": "model", **metadata})
 
 
 def _quoted(text: str) -> str:
@@ -99,7 +102,7 @@ def _weighted(train: DataFrame, label: str) -> tuple[DataFrame, float]:
 
 def _fit(name: str, train: DataFrame, encoding: Encoding, classifier: Estimator) -> ChurnModel:
     pipeline = Pipeline(stages=[*_encoder_stages(encoding), classifier]).fit(train)
-    return ChurnModel(name, pipeline, encoding.features)
+    return ChurnModel(name, pipeline, encoding.features, list(encoding.scaler), list(encoding.levels))
 
 
 def fit_logistic(
@@ -147,7 +150,7 @@ def with_threshold(
 ) -> ChurnModel:
     """The model with the threshold its test scores ask for."""
     chosen = pick_threshold(scored, min_recall, min_precision, label).first()["threshold"]
-    return ChurnModel(model.name, model.pipeline, model.features, DEFAULT_THRESHOLD if chosen is None else chosen)
+    return replace(model, threshold=DEFAULT_THRESHOLD if chosen is None else chosen)
 
 
 def train_churn_models(
