@@ -1,11 +1,12 @@
 """Files: CSV with missing and extra columns, reports, stored tables."""
 
 import datetime as dt
+from pathlib import Path
 
 from usertide import schema
 from usertide.catalog.views import Views
 from usertide.plans import cleaning
-from usertide.session import materialize, shared_dir
+from usertide.session import drop_materialized, materialize, shared_dir
 from usertide.sources import tables
 
 
@@ -53,3 +54,11 @@ def test_materialized_table_has_no_lineage(spark, sf_dir):
     assert stored.dtypes == df.dtypes and sorted(stored.collect()) == sorted(df.collect())
     plan = stored._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and shared_dir(spark) in plan
+
+
+def test_stored_tables_can_be_dropped(spark):
+    stored = materialize(spark.range(3))
+    assert stored.count() == 3
+    drop_materialized(spark)
+    folder = f"{shared_dir(spark)}/usertide/{spark.sparkContext.applicationId}".removeprefix("file:")
+    assert not Path(folder).exists()

@@ -46,3 +46,9 @@ def materialize(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete the tables this application has stored; frames that read them no longer work."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/usertide/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
