@@ -2,6 +2,9 @@
 
 import datetime as dt
 from pathlib import Path
+from types import SimpleNamespace
+
+import pytest
 
 from usertide import schema
 from usertide.catalog.views import Views
@@ -62,3 +65,12 @@ def test_stored_tables_can_be_dropped(spark):
     drop_materialized(spark)
     folder = f"{shared_dir(spark)}/usertide/{spark.sparkContext.applicationId}".removeprefix("file:")
     assert not Path(folder).exists()
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=conf, sparkContext=context))
+    named = SimpleNamespace(get=lambda key, default=None: "hdfs:///shared/")
+    assert shared_dir(SimpleNamespace(conf=named, sparkContext=context)) == "hdfs:///shared"

@@ -14,6 +14,7 @@ from usertide.operators.coverage import coverage_counts, events_per_user, known_
 from usertide.operators.stats import QUARTILES, describe, histogram
 from usertide.schema import require_columns
 
+# Audited columns, delays and percentiles of the delays.
 DOMAIN_COLUMNS = ("country", "device", "subscription_type", "event_type")
 EVENT_TIMES = ("event_timestamp", "created_at", "received_at")
 DELAYS = ("delay_event_created", "delay_created_received", "delay_event_received")

@@ -14,7 +14,9 @@ from usertide.schema import require_columns
 
 # The event types of the contract.
 EVENT_TYPES = ("play", "pause", "next", "open", "exit")
+# Fixed value: recency of users without events.
 NO_EVENTS_RECENCY = 9999
+# The profile columns kept beside the features, and the ratios built from event counts.
 PROFILE = ("user_id", "signup_date", "last_active_date", "country", "device", "language", "subscription_type")
 RATIOS = (("ev_play", "ev_open"), ("ev_pause", "ev_play"), ("ev_next", "ev_play"))
 # More event types than this means the column is not a type; the pivot would be unusable.

@@ -10,6 +10,7 @@ from usertide.operators.ranking import look_up_by_value, percentile_ranks, prese
 from usertide.operators.stats import describe
 from usertide.schema import first_column_like, require_columns
 
+# Percentiles of the score distribution.
 SCORE_SHARES = (0.1, 0.25, 0.5, 0.75, 0.9)
 
 
