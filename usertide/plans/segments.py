@@ -66,7 +66,7 @@ def segment_users(
     require_columns(features, [id_col], "features")
     columns = available_columns(features, VARIABLES)
     order_by = "credits_purchased" if "credits_purchased" in columns else columns[0]
-    stored = materialize(features.na.fill(0, columns))
+    stored = materialize(features.na.fill(0, columns), spread_by=id_col)
     vectors = scaled_vectors(stored, columns, stored.columns)
     # Every iteration of every fit reads the vectors; a lost part is rebuilt from the stored table.
     kept = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)

@@ -166,8 +166,8 @@ def train_churn_models(
 
     Scaling is fitted on the training rows; ``compat`` fits it on all rows.
     """
-    require_columns(data, [label, "split"], "model data")
-    stored = materialize(data)
+    require_columns(data, ["user_id", label, "split"], "model data")
+    stored = materialize(data, spread_by="user_id")
     train, test = stored.filter("split = 'train'"), stored.filter("split = 'test'")
     encoding = fit_encoding(stored if compat else train)
     fits = {

@@ -37,12 +37,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/usertide/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, spread_by: str | None = None) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back, which cuts its lineage.
 
     Used where one frame feeds several fits or passes.  A lost executor then costs a re-read of some
     files, not a recomputation of everything upstream, and later passes read only their columns.
+
+    ``spread_by`` names a unique column and gives every core a file of its own: iterative fits go
+    over the table many times, and a small table would otherwise end up in one file and one task.
     """
+    if spread_by:
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism, spread_by)
     path = new_folder(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
