@@ -22,10 +22,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each near-duplicate group; repeated rows of it stay as one."""
+    """The smallest document of each near-duplicate group, once; rows without an id stay.
+
+    Distinct rows need no shuffle of their own: the join has brought the rows of an id together.
+    """
     ship(spark)
     kept = near_duplicates.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.dropDuplicates().join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates().select(*COLUMNS).union(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usertide.llm import bpe, decontamination, language_id, near_duplicates, pii, toxicity
+from usertide.llm import archives, bpe, decontamination, language_id, near_duplicates, pii, token_lengths, toxicity, url_filters, vectors
 from usertide.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,75 @@ def op2(table: Callable) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+OP3_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (
+    SELECT DISTINCT hex,
+           list_transform(range(1, 41), lambda i: instr('0123456789abcdef', substr(hex, i, 1)) - 1) AS nibbles
+    FROM payloads
+),
+-- Five hexadecimal digits are four base32 letters.
+digests AS (
+    SELECT hex, array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+        ((nibbles[k // 4 * 5 + 1] * 65536 + nibbles[k // 4 * 5 + 2] * 4096 + nibbles[k // 4 * 5 + 3] * 256
+          + nibbles[k // 4 * 5 + 4] * 16 + nibbles[k // 4 * 5 + 5]) >> (15 - k % 4 * 5)) & 31 AS BIGINT), 1)), '') AS digest
+    FROM bits
+),
+firsts AS (SELECT hex, min(page_id) AS first FROM payloads GROUP BY hex)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM payloads JOIN digests USING (hex) JOIN firsts USING (hex)
+"""
+
+
+@query("op3_warc_archives", OP3_SQL)
+def op3(table: Callable) -> DataFrame:
+    return archives.archived(table("pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# The rules of the registered query.
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+# The pages declare no canonical links or refreshes, so every URL is its own component here.
+OP4_SQL = """
+WITH rules(rule_host, rule_path, verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+),
+places AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages
+),
+fits AS (
+    SELECT page_id, rule_host || rule_path AS rule, verdict,
+           row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS at
+    FROM places JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM places p LEFT JOIN fits f ON p.page_id = f.page_id AND at = 1
+"""
+
+
+@query("op4_url_filters", OP4_SQL)
+def op4(table: Callable) -> DataFrame:
+    pages = table("pages").select("page_id", "url", "html")
+    rules = pages.sparkSession.createDataFrame(RULES, "rule_host string, rule_path string, verdict string")
+    return url_filters.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op5_nearest_vectors")
+def op5(table: Callable) -> DataFrame:
+    return vectors.nearest_vectors(table("embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op6_token_lengths")
+def op6(table: Callable) -> DataFrame:
+    ranks = bpe.load_ranks(rank_file())
+    return token_lengths.histogram(token_lengths.lengths(table("documents"), ranks, public_tokenizers.PATTERN))
+
+
 @query("op7_near_duplicates")
 def op7(table: Callable) -> DataFrame:
     return near_duplicates.near_duplicates(table("documents"))
