@@ -124,11 +124,11 @@ places AS (
 ),
 fits AS (
     SELECT page_id, rule_host || rule_path AS rule, verdict,
-           row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS at
+           row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS place_no
     FROM places JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
 )
 SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
-FROM places p LEFT JOIN fits f ON p.page_id = f.page_id AND at = 1
+FROM places p LEFT JOIN fits f ON p.page_id = f.page_id AND place_no = 1
 """
 
 
