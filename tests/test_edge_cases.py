@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from usertide import schema
 from usertide.functions import numeric, time
 from usertide.operators import checks, coverage, ranking, stats
-from usertide.plans import audits, cleaning, cohorts, evaluation, features, model_data, scoring, segments
+from usertide.plans import audits, cleaning, cohorts, evaluation, features, model_data, scoring, segments, training
 
 
 def ts(text):
@@ -199,13 +199,13 @@ def small_world(spark):
 def test_early_activity_bounds(spark):
     users, events = small_world(spark)
     got = {r["user_id"]: (r["events_D7"], r["events_D30"], r["churn_30d"])
-           for r in cohorts.user_retention_metrics(users, events).collect()}
+           for r in cohorts.user_retention_metrics(users, events, exact_signup_time=False).collect()}
     # 2024-01-08T23:00 still belongs to day 7 of user 1; midnight after it is day 8.
     assert got == {1: (1, 2, 0), 2: (1, 1, 0), 3: (0, 0, 1)}
     strict = {r["user_id"]: r["churn_30d"] for r in cohorts.user_retention_metrics(users, events, min_day=0).collect()}
     assert strict == {1: 0, 2: 1, 3: 1}
     exact = {r["user_id"]: (r["events_D7"], r["events_D30"], r["churn_30d"])
-             for r in cohorts.user_retention_metrics(users, events, exact_signup_time=True).collect()}
+             for r in cohorts.user_retention_metrics(users, events).collect()}
     assert exact == got
 
 
@@ -213,9 +213,9 @@ def test_signup_time_of_day_is_refused_or_handled(spark):
     users, events = small_world(spark)
     later = users.withColumn("signup_date", F.col("signup_date") + F.expr("INTERVAL 1 HOUR"))
     with pytest.raises(Exception, match="midnight"):
-        cohorts.user_retention_metrics(later, events).collect()
+        cohorts.user_retention_metrics(later, events, exact_signup_time=False).collect()
     exact = {r["user_id"]: (r["events_D7"], r["events_D30"])
-             for r in cohorts.user_retention_metrics(later, events, exact_signup_time=True).collect()}
+             for r in cohorts.user_retention_metrics(later, events).collect()}
     assert exact == {1: (2, 2), 2: (1, 1), 3: (0, 0)}
 
 
@@ -253,7 +253,7 @@ def test_activity_without_sessions_and_with_unknown_types(spark):
     users, events = small_world(spark)
     profile = users.selectExpr("*", "signup_date AS last_active_date", "'x' AS country", "'y' AS device",
                                "'z' AS language", "cast(null as string) AS subscription_type")
-    got = features.behaviour_features(profile, events, event_types=None)
+    got = features.behaviour_features(profile, events)
     assert "sessions" not in got.columns and {"ev_open", "ev_play", "ratio_ev_play_ev_open"} <= set(got.columns)
     assert "ratio_ev_pause_ev_play" not in got.columns
     rows = {r["user_id"]: r for r in got.collect()}
@@ -398,4 +398,57 @@ def test_nearest_centroid_takes_lowest_index_on_ties(spark):
 
 def test_range_of_values_outside_cuts(spark):
     df = spark.createDataFrame([(-1.0,), (0.0,), (0.5,), (1.0,), (9.0,)], "v double")
-    assert [r["_range"] for r in ranking.add_range(df, "v", [0.0, 1.0]).collect()] == [0, 1, 1, 2, 2]
+    assert [r["_range"] for r in ranking.add_range(df, "v", [0.0, 1.0], "_range").collect()] == [0, 1, 1, 2, 2]
+
+
+def test_time_without_a_date_is_no_timestamp(spark):
+    texts = ["12:34:56", "T1:2", "99999", "2024", "2024-3", "2024-03-05", "2024-03-05T01:02:03Z", "2024-03-05 01:02:03+02:00", "x2024-03-05", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [None if r[0] is None else r[0].isoformat() for r in df.select(time.parse_utc(F.col("t"))).collect()]
+    assert got == [None, None, None, "2024-01-01T00:00:00", "2024-03-01T00:00:00", "2024-03-05T00:00:00", "2024-03-05T01:02:03", "2024-03-04T23:02:03", None, None]
+
+
+def test_top_scores_put_missing_scores_last(spark):
+    df = spark.createDataFrame([(1, 0.9), (2, float("nan")), (3, 0.1), (4, None)], "user_id int, score double")
+    assert [r["user_id"] for r in scoring.top_scores(df, 3).collect()] == [1, 3, 2]
+
+
+def test_columns_of_common_names(spark):
+    rows = [(i, i % 5 / 5, i, "x", 1.0) for i in range(10)]
+    df = spark.createDataFrame(rows, "user_id int, score double, n int, _salt string, `a.b` double")
+    got = scoring.risk_segments(df.withColumn("n_total", F.lit(1)).withColumn("churn_percentile", F.lit("old"))).toPandas()
+    assert sorted(got.n) == list(range(10)) and sorted(set(got.churn_percentile.round(9))) == [15.0, 35.0, 55.0, 75.0, 95.0]
+
+
+@pytest.mark.parametrize("name", ["weight", "x0", "features", "prediction", "a.b", "odd`name", "probability"])
+def test_a_models_column_names_do_not_matter(spark, name):
+    rows = [(i, float(i % 7), "ab"[i % 2], int(i % 3 == 0), "train" if i % 4 else "test") for i in range(80)]
+    plain = spark.createDataFrame(rows, "user_id int, value double, kind string, churn_30d int, split string")
+    results = []
+    for column in ("value", name):
+        data = plain.withColumnRenamed("value", column)
+        trained = training.train_churn_models(data, only=("logreg",))
+        model = trained.models["logreg"]
+        results.append((sorted(r["importance"] for r in model.importances().collect()), [r["score"] for r in model.score(data).orderBy("user_id").collect()]))
+    assert results[0][0] == pytest.approx(results[1][0]) and results[0][1] == pytest.approx(results[1][1])
+
+
+def test_scores_and_labels_may_be_missing(spark):
+    rows = [(i / 20, float(i % 3 == 0)) for i in range(20)] + [(None, 1.0), (0.5, None), (float("nan"), 0.0)]
+    df = spark.createDataFrame(rows, "score double, churn_30d double")
+    assert training.calibrate_platt(df).transform(df).count() == 21
+    assert training.calibrate_isotonic(df).transform(df.dropna()).filter("calibrated is null").count() == 0
+
+
+def test_all_event_types_become_columns(spark):
+    events = spark.createDataFrame([("1", 1, "like"), ("2", 1, "play"), ("3", 2, "a.b")], "event_uuid string, user_id int, event_type string")
+    assert features.pivot_event_counts(events).columns == ["user_id", "ev_a.b", "ev_like", "ev_play"]
+    long = features.event_counts_long(events)
+    assert {tuple(r) for r in long.collect()} == {(1, "like", 1), (1, "play", 1), (2, "a.b", 1)}
+
+
+@pytest.mark.parametrize("labels", [3, 150])
+def test_split_takes_any_number_of_labels(spark, labels):
+    df = spark.range(3000).select("id", F.when(F.col("id") % labels > 0, F.col("id") % labels).alias("y"))
+    got = model_data.stratified_split(df, "y", "id", 0.25).groupBy("y").agg(F.count_if(F.col("split") == "test").alias("t"), F.count(F.lit(1)).alias("n"))
+    assert all(r["t"] == int(r["n"] * 0.25 + 0.5) for r in got.collect())

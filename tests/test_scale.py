@@ -53,12 +53,8 @@ def test_hot_user_counts_equal_pandas(spark):
     assert coverage.coverage_counts(users, events).first()["valid_events"] == len(merged)
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_hot_score_percentiles(spark, monkeypatch, small):
-    """A third of the rows share one score; the small way and the ranged, salted way agree with pandas."""
-    if not small:
-        monkeypatch.setattr(ranking, "BROADCAST_VALUES", 0)
-        monkeypatch.setattr(ranking, "ONE_TASK_VALUES", 0)
+def test_hot_score_percentiles(spark):
+    """A third of the rows share one score; ranged and salted ranks agree with pandas."""
     rng = np.random.default_rng(3)
     data = rng.random(3000)
     data[::3] = 0.5
@@ -70,29 +66,27 @@ def test_hot_score_percentiles(spark, monkeypatch, small):
     assert got[-1] != got[-1] and len(got) == len(rows)
 
 
-LONG_WAY = [
-    "roc_auc", "roc_points", "pr_points", "pick_threshold", "threshold_by_segment", "threshold_sweep", "lift_by_decile",
-    "score_distribution", "latency_summary", "risk_segments", "segment_summary", "cluster_boxplots", "session_summary",
-]
-
-
-@pytest.mark.parametrize("name", LONG_WAY)
-def test_value_ranges_give_the_same_rows(spark, sf_dir, monkeypatch, name):
-    """The way meant for many distinct values, forced on small data, against the SQL twin."""
-    monkeypatch.setattr(ranking, "ONE_TASK_VALUES", 0)
-    monkeypatch.setattr(ranking, "BROADCAST_VALUES", 0)
-    assert differences(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name]) == []
-
-
-def test_cut_points_only_for_many_values(spark, monkeypatch):
-    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
-    assert ranking.cut_points(df, "v") == []
-    monkeypatch.setattr(ranking, "ONE_TASK_VALUES", 0)
-    monkeypatch.setattr(ranking, "VALUES_PER_RANGE", 50)
-    cuts = ranking.cut_points(df, "v")
-    assert len(cuts) == 19 and cuts == sorted(cuts)
-    sizes = [r["count"] for r in ranking.add_range(df, "v", cuts).groupBy("_range").count().collect()]
-    assert max(sizes) <= 60
+def test_a_million_distinct_scores(spark):
+    """AUC, percentiles and quantiles of many distinct scores, a third of the rows on one of them."""
+    n = 1_500_000
+    score = F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.pmod(F.xxhash64("id"), F.lit(2**50)) / 2.0**50)
+    rows = spark.range(n).select(F.col("id").alias("row_id"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10)) < 3).cast("int").alias("label"), score.alias("score"))
+    data = rows.toPandas()
+    ranks = data.score.rank()
+    positive = int(data.label.sum())
+    auc = (ranks[data.label == 1].sum() - positive * (positive + 1) / 2) / (positive * (n - positive))
+    assert evaluation.roc_auc(rows).first()[0] == pytest.approx(auc, abs=1e-12)
+    got = scoring.score_distribution(rows).first()
+    assert got["n"] == n and [got[f"p{q}"] for q in (10, 25, 50, 75, 90)] == [round(data.score.quantile(q / 100), 3) for q in (10, 25, 50, 75, 90)]
+    placed = scoring.risk_segments(rows).filter("row_id % 1009 = 0").toPandas().set_index("row_id").churn_percentile.sort_index()
+    assert list(placed) == pytest.approx(list((ranks / n * 100)[placed.index]))
+
+
+def test_ranges_hold_even_shares(spark):
+    df = spark.range(4000).select(F.col("id").cast("double").alias("v"))
+    table = ranking.value_table(df, "v", {"n": F.count(F.lit(1))})
+    sizes = [r["count"] for r in table.groupBy(ranking.RANGE).count().collect()]
+    assert len(sizes) == ranking.parallelism(df) and max(sizes) < 2 * 4000 / len(sizes)
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 64])

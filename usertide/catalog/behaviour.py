@@ -210,7 +210,15 @@ GROUP BY u.user_id, u.signup_date
 def _(v):
     offset = F.make_dt_interval(secs=(F.col("user_id") * 977 % 86400).cast("decimal(18,6)"))
     users = v.users().withColumn("signup_date", F.col("signup_date") + offset)
-    return cohorts.user_retention_metrics(users, v.events(), exact_signup_time=True)
+    return cohorts.user_retention_metrics(users, v.events())
+
+
+@query("event_counts_long", """
+SELECT user_id, event_type, count(event_uuid) AS n FROM app_events WHERE user_id IS NOT NULL AND event_type IS NOT NULL
+GROUP BY user_id, event_type
+""", ("app_events",))
+def _(v):
+    return features.event_counts_long(v.events())
 
 
 MONTHS = ("2023-12", "2024-01", "2024-02")

@@ -166,6 +166,16 @@ def _(v):
     return scoring.top_scores(v.scored(), 50, id_col="row_id").select("row_id", "score")
 
 
+@query("top_scores_with_gaps", """
+SELECT row_id, CASE WHEN row_id % 5 > 1 THEN score END AS score FROM scored ORDER BY score DESC NULLS LAST, row_id LIMIT 50
+""".replace("ORDER BY score", "ORDER BY CASE WHEN row_id % 5 > 1 THEN score END"), SCORED)
+def _(v):
+    """Missing scores and NaN among the rows: both come last."""
+    key = F.col("row_id") % 5
+    rows = v.scored().withColumn("score", F.when(key == 0, F.lit(float("nan"))).when(key > 1, F.col("score")))
+    return scoring.top_scores(rows, 50, id_col="row_id").select("row_id", "score")
+
+
 @query("score_distribution", """
 SELECT 'score' AS metric, count(*) AS n, round(avg(score), 3) AS mean, round(stddev_samp(score), 3) AS std,
   round(min(score), 3) AS min, round(quantile_cont(score, 0.1), 3) AS p10, round(quantile_cont(score, 0.25), 3) AS p25,
@@ -228,6 +238,16 @@ def _(v):
     return rounded(scoring.risk_segments(v.scored()))
 
 
+@query("segmented_users", f"""
+SELECT r.row_id, r.user_id, r.label, r.score, round(percentile, 6) AS churn_percentile, {BAND} AS risk_segment,
+  u.country, u.device, u.language, u.subscription_type
+FROM ({RANKED}) r JOIN app_users u ON r.user_id = u.user_id
+""", ("scored", "app_users"))
+def _(v):
+    users = v.users().select("user_id", "country", "device", "language", "subscription_type")
+    return rounded(scoring.segmented_users(v.scored(), users))
+
+
 @query("segment_summary", f"""
 SELECT {BAND} AS risk_segment, count(user_id) AS user_count,
   round(100.0::DOUBLE * count(user_id) / (SELECT count(*) FROM scored), 2) AS pct

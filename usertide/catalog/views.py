@@ -144,7 +144,7 @@ class Views:
         return user_features(self.users(), self.events())
 
     def metrics(self) -> DataFrame:
-        return user_retention_metrics(self.users(), self.events())
+        return user_retention_metrics(self.users(), self.events(), exact_signup_time=False)
 
 
 def _days_after_start(days: Column) -> Column:

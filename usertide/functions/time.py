@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MICROS_PER_DAY = 86_400_000_000
+ISO_DATE = r"^\s*[0-9]{4}(-[0-9]{1,2}(-[0-9]{1,2}([ T].*)?)?)?\s*$"
 
 
 def parse_utc(col: Column, formats: tuple[str, ...] = ()) -> Column:
     """Lenient parse: ISO-8601 first, then each extra format; text that fits none becomes null.
 
-    An explicit zone offset is converted to UTC.  Needs the session zone set to UTC.
+    An explicit zone offset is converted to UTC.  Needs the session zone set to UTC.  ISO text starts with a
+    four-digit year, so text that holds only a time never takes the day of the run.
     """
-    attempts = [col.try_cast("timestamp")]
+    attempts = [F.when(col.cast("string").rlike(ISO_DATE), col.try_cast("timestamp"))]
     attempts += [F.try_to_timestamp(col.cast("string"), F.lit(fmt)) for fmt in formats]
     return F.coalesce(*attempts).cast("timestamp_ntz")
 

@@ -1,29 +1,23 @@
 """Exact global ranks, cumulative counts and quantiles without a single-task sort.
 
-Rows are first reduced to one stored row per distinct value, in a single pass over the input.  Those
-rows are spread over value ranges whose cut points come from a quantile sketch.  The cut points decide
-only how even the ranges are, never the result: range totals give each range its offset, and a window
-inside the range adds the rest.  The offset table has at most one row per range and group.
+Rows are first reduced to one row per distinct value and stored, range-partitioned by value, with the number
+of their range.  Range totals give each range its offset, and a window inside the range adds the rest.  The
+ranges decide only how even the work is, never the result; there are as many as shuffle partitions, whatever
+the data, and the offset table has at most one row per range and group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from math import isfinite
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from usertide.schema import quoted
 from usertide.session import materialize
 
-# Up to this many distinct values (counted first) are ordered by one task.
-ONE_TASK_VALUES = 100_000
-# Beyond that, ranges hold about this many values each, as far as the number of ranges allows.
-VALUES_PER_RANGE = 1_000_000
-MAX_RANGES = 20_000
-# Up to this many rank rows (three numbers each, about 24 MB) are sent to every task.
-BROADCAST_VALUES = 500_000
+RANGE = "__range"
 
 
 def present(col: Column) -> Column:
@@ -33,31 +27,24 @@ def present(col: Column) -> Column:
 
 
 def value_table(df: DataFrame, value: str, measures: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
-    """One stored row per (``by``, distinct ``value``) with additive ``measures``; missing values form one row."""
-    return materialize(
-        df.withColumn(value, present(F.col(value)))
-        .groupBy(*by, value)
+    """One stored row per (``by``, distinct ``value``) with additive ``measures`` and the row's range.
+
+    Missing values form one row.
+    """
+    counts = (
+        df.withColumn(value, present(F.col(quoted(value))))
+        .groupBy(*[quoted(c) for c in (*by, value)])
         .agg(*[m.alias(name) for name, m in measures.items()])
     )
+    ranged = counts.repartitionByRange(parallelism(df), quoted(value)).withColumn(RANGE, F.spark_partition_id())
+    return materialize(ranged)
 
 
 def parallelism(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def cut_points(df: DataFrame, value: str) -> list[float]:
-    """Values splitting the rows into even ranges; none when one task can take all rows."""
-    rows = df.count()
-    if rows <= ONE_TASK_VALUES:
-        return []
-    ranges = min(max(parallelism(df), rows // VALUES_PER_RANGE, 2), MAX_RANGES)
-    shares = [i / ranges for i in range(1, ranges)]
-    # The sketch and the answer have a size set by ``ranges``, whatever the data.
-    found = df.agg(F.percentile_approx(value, shares, 10 * ranges)).first()[0]
-    return sorted({c for c in found if isfinite(c)})
-
-
-def add_range(df: DataFrame, value: str, cuts: Sequence[float], name: str = "_range") -> DataFrame:
+def add_range(df: DataFrame, value: str, cuts: Sequence[float], name: str) -> DataFrame:
     """Add the number of cut points not above ``value``."""
     splits = [float("-inf"), *cuts, float("inf")]
     return Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(df)
@@ -75,44 +62,39 @@ def running_totals(
     by = list(by)
     known = counts.filter(F.col(value).isNotNull())
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    cuts = cut_points(known, value)
-    if cuts:
-        rows, inside = _with_offsets(add_range(known, value, cuts), value, measures, by, group)
-    else:
-        totals = {f"{m}_total": F.sum(m).over(group) for m in measures}
-        rows, inside = known.withColumns({**totals, **{f"_offset_{m}": F.lit(0) for m in measures}}), group
-    ordered = inside.orderBy(value)
+    rows = _with_offsets(known, value, measures, by, group)
+    ordered = Window.partitionBy(*by, RANGE).orderBy(value)
     smaller = ordered.rowsBetween(Window.unboundedPreceding, -1)
     columns = [*by, value]
     for m in measures:
         before = F.col(f"_offset_{m}") + F.coalesce(F.sum(m).over(smaller), F.lit(0))
         columns += [m, before.alias(f"{m}_before"), f"{m}_total"]
         if previous:
-            below = F.lag(m).over(ordered)
-            columns.append((F.coalesce(below, F.col(f"_below.{m}")) if cuts else below).alias(f"{m}_previous"))
+            columns.append(F.coalesce(F.lag(m).over(ordered), F.col(f"_below.{m}")).alias(f"{m}_previous"))
     return rows.select(*columns)
 
 
-def _with_offsets(ranged: DataFrame, value: str, measures: Sequence[str], by: list[str], group):
-    """Rows with the totals of the ranges below theirs and of all ranges, and the window of one range."""
-    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy(*by, "_range").agg(
+def _with_offsets(ranged: DataFrame, value: str, measures: Sequence[str], by: list[str], group) -> DataFrame:
+    """Rows with the totals of the ranges below theirs and of all ranges."""
+    in_order = group.orderBy(RANGE)
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(*by, RANGE).agg(
         *[F.sum(m).alias(m) for m in measures],
         F.max_by(F.struct(*measures), F.col(value)).alias("_top"),
     )
     offsets = totals.select(
         *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)],
-        F.col("_range").alias("_range_key"),
+        F.col(RANGE).alias("_range_key"),
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_offset_{m}") for m in measures],
         *[F.sum(m).over(group).alias(f"{m}_total") for m in measures],
-        F.lag("_top").over(group.orderBy("_range")).alias("_below"),
+        F.lag("_top").over(in_order).alias("_below"),
     )
-    same = [F.col("_range") == F.col("_range_key")]
+    same = [F.col(RANGE) == F.col("_range_key")]
     same += [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
     if not by:
-        # At most MAX_RANGES rows.
+        # One row per shuffle partition at most.
         offsets = F.broadcast(offsets)
-    return ranged.join(offsets, same), Window.partitionBy(*by, "_range")
+    return ranged.join(offsets, same)
 
 
 def ordered_counts(
@@ -132,24 +114,26 @@ def percentile_ranks(counts: DataFrame, value: str, measures: Sequence[str] = ("
     return running_totals(counts, value, measures).withColumn("percentile", average_rank() / F.col("n_total") * 100)
 
 
-def look_up_by_value(rows: DataFrame, ranks: DataFrame, value: str) -> DataFrame:
-    """Left join ``rows`` to ``ranks``, which has one row per distinct ``value`` with its row counts n and n_total.
+def look_up_by_value(rows: DataFrame, ranks: DataFrame, value: str, found: str) -> DataFrame:
+    """``rows`` with the column ``found`` of ``ranks``, which has a row per distinct ``value`` with counts n and n_total.
 
-    A small table is broadcast.  Otherwise the rows of each frequent value are dealt over several
-    tasks, and the few matching table rows are repeated once per task; null values match nothing and
-    are dealt out the same way.
+    The ranks are stored.  Rows of each frequent value are dealt over several tasks, and the few matching
+    rank rows are repeated once per task; null values match nothing and are dealt out the same way.  Whether
+    the join broadcasts is left to the optimizer.
     """
-    if ranks.count() <= BROADCAST_VALUES:
-        return rows.join(F.broadcast(ranks), value, "left")
     tasks = parallelism(rows)
+    known = ranks.select(F.col(value).alias("__value"), F.col("n").alias("__n"), F.col("n_total").alias("__total"), F.col(found).alias("__found"))
+    known = materialize(known)
     # Fewer than ``tasks`` values can each hold more than 1/tasks of the rows.
-    frequent = [r[0] for r in ranks.filter(F.col("n") * tasks > F.col("n_total")).select(value).collect()]
-    crowded = F.col(value).isin(frequent) if frequent else F.lit(False)
-    dealt = F.pmod(F.xxhash64(*rows.columns), F.lit(tasks)).cast("int")
-    salted_rows = rows.withColumn("_salt", F.when(crowded | F.col(value).isNull(), dealt).otherwise(0))
-    copies = F.when(crowded, F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(F.array(F.lit(0)))
-    salted_ranks = ranks.withColumn("_salt", F.explode(copies))
-    return salted_rows.join(salted_ranks, [value, "_salt"], "left").drop("_salt")
+    frequent = [r[0] for r in known.filter(F.col("__n") * tasks > F.col("__total")).select("__value").collect()]
+    here = F.col(quoted(value))
+    crowded = lambda c: c.isin(frequent) if frequent else F.lit(False)
+    dealt = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c, kind in rows.dtypes if not kind.startswith("map")]), F.lit(tasks)).cast("int")
+    salted = rows.withColumn("__salt", F.when(crowded(here) | here.isNull(), dealt).otherwise(0))
+    copies = F.when(crowded(F.col("__value")), F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(F.array(F.lit(0)))
+    spread = known.select("__value", "__found", F.explode(copies).alias("__copy"))
+    joined = salted.join(spread, (here == F.col("__value")) & (F.col("__salt") == F.col("__copy")), "left")
+    return joined.withColumn(found, F.col("__found")).drop("__salt", "__value", "__found", "__copy")
 
 
 def quantile_columns(value: str, shares: Sequence[float], count: str = "n") -> dict[str, Column]:

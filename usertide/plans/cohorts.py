@@ -41,11 +41,8 @@ def retention_cohorts(users: DataFrame, events: DataFrame) -> DataFrame:
     cohorts = users.select("user_id", month_start(F.col("signup_date")).alias("cohort")).filter(
         F.col("cohort").isNotNull()
     )
-    active = (
-        months.join(cohorts, "user_id")
-        .groupBy("cohort", "month")
-        .agg(F.count_distinct("user_id").alias("active_users"))
-    )
+    # A user has one row per cohort and month, so counting rows counts users.
+    active = months.join(cohorts.distinct(), "user_id").groupBy("cohort", "month").agg(F.count(F.lit(1)).alias("active_users"))
     # One row per calendar month of signup.
     return active.join(F.broadcast(cohort_sizes(users)), "cohort").select(
         month_key(F.col("cohort")).alias("cohort_month"),
@@ -59,7 +56,7 @@ def retention_cohorts(users: DataFrame, events: DataFrame) -> DataFrame:
 def _at_midnight(signup: Column) -> Column:
     """The signup timestamp; the query fails if it carries a time of day."""
     fine = signup.isNull() | (signup == midnight(signup))
-    problem = F.lit("signup_date must be at midnight; clean the users first or pass exact_signup_time=True")
+    problem = F.lit("signup_date must be at midnight; clean the users first or leave exact_signup_time on")
     return F.when(fine, signup).otherwise(F.raise_error(problem).cast("timestamp_ntz"))
 
 
@@ -68,7 +65,7 @@ def early_activity(
     events: DataFrame,
     days: Sequence[int] = (7, 30),
     min_day: int | None = None,
-    exact_signup_time: bool = False,
+    exact_signup_time: bool = True,
 ) -> DataFrame:
     """One row per user: user_id, signup_date and events_D<n>, the events up to day n after signup.
 
@@ -76,9 +73,9 @@ def early_activity(
     ``min_day`` sets one, so activity before signup counts.  Users must be unique, as cleaned users are.
 
     Events are cut to one row per user and calendar day before the join, so a user with very many
-    events weighs no more than the days of the period.  That is exact for signups at midnight, as
-    cleaned users have.  With ``exact_signup_time`` the days on which a bound falls are counted from
-    the events themselves.
+    events weighs no more than the days of the period.  The days on which a bound falls are counted from
+    the events themselves; ``exact_signup_time=False`` saves that where all signups are at midnight, as
+    cleaned users have them, and fails otherwise.
     """
     dated = events.select(
         "user_id", F.col("event_timestamp").cast("timestamp_ntz").alias("at"), F.to_date("event_timestamp").alias("day")
@@ -127,7 +124,7 @@ def user_retention_metrics(
     events: DataFrame,
     min_day: int | None = None,
     observed_only: bool = False,
-    exact_signup_time: bool = False,
+    exact_signup_time: bool = True,
 ) -> DataFrame:
     """Per user: signup, cohort, churn_30d (1 = no activity by day 30), events_D7 and events_D30.
 

@@ -19,8 +19,6 @@ NO_EVENTS_RECENCY = 9999
 # The profile columns kept beside the features, and the ratios built from event counts.
 PROFILE = ("user_id", "signup_date", "last_active_date", "country", "device", "language", "subscription_type")
 RATIOS = (("ev_play", "ev_open"), ("ev_pause", "ev_play"), ("ev_next", "ev_play"))
-# More event types than this means the column is not a type; the pivot would be unusable.
-MAX_EVENT_TYPES = 1000
 
 
 def event_summary(events: DataFrame) -> DataFrame:
@@ -59,20 +57,22 @@ def user_features(users: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def event_types_of(events: DataFrame) -> list[str]:
-    """The event types that occur, sorted."""
-    found = events.select("event_type").filter("event_type is not null").distinct().limit(MAX_EVENT_TYPES + 1)
-    types = sorted(r[0] for r in found.collect())
-    if len(types) > MAX_EVENT_TYPES:
-        raise ValueError(f"more than {MAX_EVENT_TYPES} event types; pass the types to count")
-    return types
+    """The event types that occur, sorted.  They become column names; ``event_counts_long`` needs none."""
+    return sorted(r[0] for r in events.select("event_type").filter("event_type is not null").distinct().collect())
 
 
-def activity(events: DataFrame, event_types: Sequence[str] | None = EVENT_TYPES) -> DataFrame:
+def event_counts_long(events: DataFrame) -> DataFrame:
+    """(user_id, event_type, n): the counts as rows, for any number of types."""
+    known = events.filter(F.col("user_id").isNotNull() & F.col("event_type").isNotNull())
+    return known.groupBy("user_id", "event_type").agg(F.count("event_uuid").alias("n"))
+
+
+def activity(events: DataFrame, event_types: Sequence[str] | None = None) -> DataFrame:
     """Per user: ev_<type> counts, active_days and, when sessions are known, sessions and their mean size.
 
     One grouping serves all of them.  The mean session size is the events inside sessions over the
-    number of sessions, so no second grouping by session is needed.  ``event_types=None`` looks the
-    types up.  Events without a type column give one count, ev_count.
+    number of sessions, so no second grouping by session is needed.  The types that
+    occur are looked up unless ``event_types`` names them.  Events without a type column give one count, ev_count.
     """
     if "event_type" in events.columns:
         types = event_types_of(events) if event_types is None else list(event_types)
@@ -93,8 +93,9 @@ def activity(events: DataFrame, event_types: Sequence[str] | None = EVENT_TYPES)
     return events.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(*measures)
 
 
-def pivot_event_counts(events: DataFrame, event_types: Sequence[str] = EVENT_TYPES) -> DataFrame:
-    """One row per user and one ev_<type> column per type, absent = 0."""
+def pivot_event_counts(events: DataFrame, event_types: Sequence[str] | None = None) -> DataFrame:
+    """One row per user and one ev_<type> column per type that occurs or is named, absent = 0."""
+    event_types = event_types_of(events) if event_types is None else event_types
     counts = (
         events.filter(F.col("user_id").isNotNull())
         .groupBy("user_id")
@@ -133,11 +134,15 @@ def behaviour_features(
     users: DataFrame,
     events: DataFrame,
     weights: Mapping[str, float] = ENGAGEMENT_WEIGHTS,
-    event_types: Sequence[str] | None = EVENT_TYPES,
+    event_types: Sequence[str] | None = None,
 ) -> DataFrame:
-    """User profile with activity, ratios and the engagement score; remaining nulls are filled by type."""
+    """User profile with activity, ratios and the engagement score; remaining nulls are filled by type.
+
+    Profile columns that ``users`` lacks are left out.
+    """
+    require_columns(users, ["user_id"], "users")
     measured = activity(cast_key_like(events, users, "user_id"), event_types)
-    joined = users.select(*PROFILE).join(measured, "user_id", "left")
+    joined = users.select(*[c for c in PROFILE if c in users.columns]).join(measured, "user_id", "left")
     return fill_by_type(add_engagement(add_ratios(joined), weights))
 
 

@@ -35,7 +35,7 @@ def run_all(
     base: str,
     scored_at: str,
     trees: int = 400,
-    depth: int = 15,
+    depth: int = 30,
     ks: Sequence[int] = range(2, 10),
 ) -> None:
     """Clean, audit, build features and cohorts, train, score, report and segment.
@@ -61,14 +61,17 @@ def run_all(
         report(audits.latency_histogram(events), "latency_histogram")
 
     if set(features.PROFILE) <= set(users.columns):
-        store(features.behaviour_features(users, events, event_types=None), "features/behaviour")
+        store(features.behaviour_features(users, events), "features/behaviour")
     user_features = store(features.user_features(users, events), "features/users")
     retention = store(cohorts.retention_cohorts(users, events), "cohorts/retention")
-    metrics = store(cohorts.user_retention_metrics(users, events), "cohorts/user_metrics")
+    metrics = store(cohorts.user_retention_metrics(users, events, exact_signup_time=False), "cohorts/user_metrics")
     store(cohorts.retention_matrix(retention), "cohorts/matrix")
     report(cohorts.retention_summary(metrics, scored_at), "retention_summary")
 
     data = store(model_data.prepare_model_data(user_features, metrics), "models/data")
+    train, test = model_data.encoded_tables(data)
+    store(train, "models/encoded_train")
+    store(test, "models/encoded_test")
     trained = training.train_churn_models(data, trees=trees, depth=depth)
     report(trained.comparison, "model_comparison")
     for name, model in trained.models.items():
@@ -88,6 +91,7 @@ def run_all(
             report(scoring.mean_score_by(scores, users, column, "proba_churn"), f"churn_by_{column}")
     report(scoring.calibration_table(scores, score="proba_churn", outcome="pred_churn"), "calibration")
     store(scoring.risk_segments(scores, "proba_churn"), "models/risk_segments")
+    store(scoring.segmented_users(scores, users, "proba_churn"), "models/segmented_users")
     report(scoring.segment_summary(scores, "proba_churn"), "risk_segment_summary")
 
     found = segments.segment_users(data.drop("split", training.LABEL), ks)

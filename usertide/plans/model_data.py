@@ -4,21 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usertide.operators.checks import assert_unique
-from usertide.schema import numeric_columns, require_columns, text_columns
+from usertide.schema import numeric_columns, quoted, require_columns, text_columns
 from usertide.session import materialize
 
-# A text column with more values than this is an identifier, not a category.
-MAX_LEVELS = 2000
 HASH_BITS = 48
-RANGE_BITS = 12
-MAX_LABELS = 100
+# Bits of the hash key that one pass of the split looks at.
+STEP_BITS = 16
 
 
 def join_label(features: DataFrame, labels: DataFrame, compat: bool = False, check_keys: bool = True) -> DataFrame:
@@ -52,39 +48,43 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split``: exactly round(test_share x n) rows of each label are 'test', the rest 'train'.
 
-    The rows with the smallest hash keys are the test rows.  Counts per label and key range find the
-    range that holds the last test row, and only that range (one in 4096) is ranked.  What remains is
-    one cut per label, so the result is a plain projection of ``df``, which is best a stored table: it
-    is read three times.
+    The rows with the smallest hash keys are the test rows.  Three passes of counts per label and key
+    prefix find the key of each label's last test row, 16 bits at a time; only rows that share this very
+    key are ordered, by id.  The cuts are a table with a row per label that the rows then join, so any
+    number of labels will do.  ``df`` is best a stored table: it is read five times.
     """
-    key = split_key(id_col, seed)
-    keyed = df.select(F.col(label).alias("label"), F.col(id_col).alias("id"), key.alias("key")).withColumn(
-        "range", F.shiftright("key", HASH_BITS - RANGE_BITS)
+    keyed = df.select(
+        F.col(quoted(label)).alias("__label"), F.col(quoted(id_col)).alias("__id"), split_key(quoted(id_col), seed).alias("__key")
     )
-    counts = keyed.groupBy("label", "range").agg(F.count(F.lit(1)).alias("n"))
-    by_label = Window.partitionBy("label")
-    before = by_label.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 4096 rows per label reach these windows, and one per label comes back.
-    last = (
-        counts.withColumn("wanted", F.round(F.sum("n").over(by_label) * F.lit(test_share)).cast("bigint"))
-        .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .filter((F.col("before") < F.col("wanted")) & (F.col("wanted") <= F.col("before") + F.col("n")))
-        .select("label", "range", (F.col("wanted") - F.col("before")).alias("place"))
-        .limit(MAX_LABELS + 1)
-        .collect()
+    sizes = keyed.groupBy("__label").agg(F.count(F.lit(1)).alias("__n"))
+    wanted = F.round(F.col("__n") * F.lit(test_share)).cast("bigint").alias("__place")
+    # A row per label whose next test row is looked for among the keys that begin with __prefix.
+    found = materialize(sizes.select(F.col("__label").alias("__of"), F.lit(0).cast("bigint").alias("__prefix"), wanted).filter("__place > 0"))
+    for bits in range(0, HASH_BITS, STEP_BITS):
+        here = (F.col("__label").eqNullSafe(F.col("__of"))) & (F.shiftright("__key", HASH_BITS - bits) == F.col("__prefix"))
+        counts = (
+            keyed.join(found, here)
+            .groupBy("__of", "__place", F.shiftright("__key", HASH_BITS - bits - STEP_BITS).alias("__next"))
+            .agg(F.count(F.lit(1)).alias("__n"))
+        )
+        # At most 65,536 rows per label.
+        before = Window.partitionBy("__of").orderBy("__next").rowsBetween(Window.unboundedPreceding, -1)
+        placed = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        last = (F.col("__before") < F.col("__place")) & (F.col("__place") <= F.col("__before") + F.col("__n"))
+        found = materialize(
+            placed.filter(last).select("__of", F.col("__next").alias("__prefix"), (F.col("__place") - F.col("__before")).alias("__place"))
+        )
+    same = keyed.join(found, F.col("__label").eqNullSafe(F.col("__of")) & (F.col("__key") == F.col("__prefix")))
+    position = F.row_number().over(Window.partitionBy("__of").orderBy("__id"))
+    cuts = materialize(
+        same.withColumn("__position", position)
+        .filter("__position = __place")
+        .select("__of", F.col("__key").alias("__cut"), F.col("__id").alias("__cut_id"))
     )
-    if len(last) > MAX_LABELS:
-        raise ValueError(f"{label} has more than {MAX_LABELS} values and is no label")
-    in_test = F.lit(False)
-    if last:
-        here = [(F.col("label") == r["label"]) & (F.col("range") == r["range"]) for r in last]
-        place = reduce(lambda rest, r: F.when(F.col("label") == r["label"], r["place"]).otherwise(rest), last, F.lit(0))
-        position = F.row_number().over(Window.partitionBy("label", "range").orderBy("key", "id"))
-        ranked = keyed.filter(reduce(or_, here)).withColumn("position", position)
-        for cut in ranked.filter(F.col("position") == place).collect():
-            low = (key < cut["key"]) | ((key == cut["key"]) & (F.col(id_col) <= cut["id"]))
-            in_test = in_test | ((F.col(label) == cut["label"]) & low)
-    return df.withColumn("split", F.when(in_test, "test").otherwise("train"))
+    key = split_key(quoted(id_col), seed)
+    in_test = (key < F.col("__cut")) | ((key == F.col("__cut")) & (F.col(quoted(id_col)) <= F.col("__cut_id")))
+    joined = df.drop("split").join(cuts, F.col(quoted(label)).eqNullSafe(F.col("__of")), "left")
+    return joined.withColumn("split", F.when(in_test, "test").otherwise("train")).drop("__of", "__cut", "__cut_id")
 
 
 def class_weights(df: DataFrame, label: str = "churn_30d") -> DataFrame:
@@ -97,23 +97,23 @@ def class_weights(df: DataFrame, label: str = "churn_30d") -> DataFrame:
 
 
 def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """The values of each category column, sorted; one pass for all columns."""
+    """The values of each category column, sorted; one pass for all columns.
+
+    Levels become columns, so they pass through the driver; a column of free text is no category.
+    """
     if not columns:
         return {}
     found = (
-        df.select(*columns)
-        .unpivot([], list(columns), "column", "level")
+        df.select(*[quoted(c) for c in columns])
+        .unpivot([], [quoted(c) for c in columns], "column", "level")
         .filter(F.col("level").isNotNull())
         .distinct()
-        .limit(MAX_LEVELS * len(columns) + 1)
         .collect()
     )
     levels: dict[str, list[str]] = {c: [] for c in columns}
     for row in found:
         levels[row["column"]].append(row["level"])
-    for column, values in levels.items():
-        if len(values) > MAX_LEVELS or len(found) > MAX_LEVELS * len(columns):
-            raise ValueError(f"{column} has too many values to encode; drop it or group its values")
+    for values in levels.values():
         values.sort()
     return levels
 
@@ -121,7 +121,7 @@ def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
 def dummy_columns(levels: Mapping[str, Sequence[str]]) -> dict[str, Column]:
     """One 0/1 column per level but the first; a null gives all zeros."""
     return {
-        f"{c}_{level}": F.when(F.col(c) == level, 1.0).otherwise(0.0)
+        f"{c}_{level}": F.when(F.col(quoted(c)) == level, 1.0).otherwise(0.0)
         for c, values in levels.items()
         for level in list(values)[1:]
     }
@@ -132,14 +132,14 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float,
     if not columns:
         return {}
     row = df.agg(
-        *[F.avg(c).alias(f"mean_{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(c).alias(f"std_{i}") for i, c in enumerate(columns)],
+        *[F.avg(quoted(c)).alias(f"mean_{i}") for i, c in enumerate(columns)],
+        *[F.stddev_pop(quoted(c)).alias(f"std_{i}") for i, c in enumerate(columns)],
     ).first()
     return {c: (row[f"mean_{i}"] or 0.0, row[f"std_{i}"] or 1.0) for i, c in enumerate(columns)}
 
 
 def scaled_columns(scaler: Mapping[str, tuple[float, float]]) -> dict[str, Column]:
-    return {c: (F.col(c).cast("double") - F.lit(mean)) / F.lit(std) for c, (mean, std) in scaler.items()}
+    return {c: (F.col(quoted(c)).cast("double") - F.lit(mean)) / F.lit(std) for c, (mean, std) in scaler.items()}
 
 
 @dataclass(frozen=True)
@@ -179,3 +179,13 @@ def prepare_model_data(
     """
     joined = materialize(join_label(materialize(features), materialize(labels), compat))
     return stratified_split(joined, test_share=test_share, seed=seed)
+
+
+def encoded_tables(data: DataFrame, compat: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Encoded train and test rows of a prepared table: id, label and features.
+
+    Levels and scaling are fitted on the training rows; ``compat`` fits them on all rows.
+    """
+    train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
+    encoding = fit_encoding(data if compat else train)
+    return encoding.apply(train, ("user_id", "churn_30d")), encoding.apply(test, ("user_id", "churn_30d"))

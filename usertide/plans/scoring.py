@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from usertide.functions.numeric import evenly_spaced, label_at, right_closed_bin, risk_band, share_of
 from usertide.operators.ranking import look_up_by_value, percentile_ranks, present, value_table
 from usertide.operators.stats import describe
-from usertide.schema import first_column_like, require_columns
+from usertide.schema import first_column_like, quoted, require_columns
 
 # Percentiles of the score distribution.
 SCORE_SHARES = (0.1, 0.25, 0.5, 0.75, 0.9)
@@ -29,8 +29,8 @@ def label_scores(
 
 
 def top_scores(df: DataFrame, n: int = 50, score: str = "score", id_col: str = "user_id") -> DataFrame:
-    """The ``n`` highest scores, ties by id."""
-    return df.orderBy(F.desc_nulls_last(score), id_col).limit(n)
+    """The ``n`` highest scores, ties by id; missing scores, NaN among them, come last."""
+    return df.orderBy(present(F.col(quoted(score))).desc_nulls_last(), quoted(id_col)).limit(n)
 
 
 def score_distribution(df: DataFrame, score: str = "score") -> DataFrame:
@@ -88,15 +88,24 @@ def calibration_table(df: DataFrame, bins: int = 10, score: str = "score", outco
 def risk_segments(df: DataFrame, score: str = "score") -> DataFrame:
     """Every row with its churn_percentile (ties share the mean rank) and risk_segment.
 
-    A missing score has no percentile and counts as the lowest segment.
+    A missing score has no percentile and counts as the lowest segment.  The two columns replace columns
+    of the same names.
     """
-    rows = df.withColumn(score, present(F.col(score)))
-    counts = value_table(rows.select(score), score, {"n": F.count(F.lit(1))})
-    ranks = percentile_ranks(counts, score).select(
-        F.col(score), "n", "n_total", F.col("percentile").alias("churn_percentile")
-    )
-    placed = look_up_by_value(rows, ranks, score)
-    return placed.select(*df.columns, "churn_percentile", risk_band(F.col("churn_percentile")).alias("risk_segment"))
+    rows = df.drop("churn_percentile", "risk_segment").withColumn(score, present(F.col(quoted(score))))
+    counts = value_table(rows.select(F.col(quoted(score)).alias("__score")), "__score", {"n": F.count(F.lit(1))})
+    ranks = percentile_ranks(counts, "__score").withColumnRenamed("percentile", "churn_percentile")
+    placed = look_up_by_value(rows, ranks.withColumnRenamed("__score", score), score, "churn_percentile")
+    return placed.withColumn("risk_segment", risk_band(F.col("churn_percentile")))
+
+
+def segmented_users(scores: DataFrame, users: DataFrame, score: str = "score") -> DataFrame:
+    """A row per scored user that is known: the score, its percentile and segment, and the user's columns.
+
+    Percentiles are taken over all scores.  User columns that the scores have too come from the scores.
+    """
+    ranked = risk_segments(scores, score)
+    added = [c for c in users.columns if c == "user_id" or c not in ranked.columns]
+    return ranked.join(users.select(*[quoted(c) for c in added]), "user_id")
 
 
 def segment_summary(df: DataFrame, score: str = "score", id_col: str = "user_id") -> DataFrame:

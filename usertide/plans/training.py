@@ -13,16 +13,26 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usertide.operators.ranking import present
 from usertide.plans.evaluation import compare_models, evaluate_at, pick_threshold
 from usertide.plans.model_data import Encoding, class_weights, fit_encoding
 from usertide.plans.scoring import label_scores, top_scores
-from usertide.schema import require_columns
+from usertide.schema import quoted, require_columns
 from usertide.session import materialize
 
 LABEL = "churn_30d"
 # Columns that describe the outcome and must not reach a model.
 OUTCOME_COLUMNS = ("churn_30d", "events_D7", "events_D30")
 DEFAULT_THRESHOLD = 0.5
+# Beginning of the columns that pipelines add; model columns can have any other name.
+OWN = "__model_"
+OWN_COLUMNS = {
+    "featuresCol": f"{OWN}features",
+    "weightCol": f"{OWN}weight",
+    "predictionCol": f"{OWN}prediction",
+    "probabilityCol": f"{OWN}probability",
+    "rawPredictionCol": f"{OWN}raw",
+}
 
 
 @dataclass(frozen=True)
@@ -39,12 +49,14 @@ class ChurnModel:
     def score(self, df: DataFrame) -> DataFrame:
         """``df`` with ``score``, the probability of churn.
 
-        A model column that ``df`` lacks counts as 0, or as no known category.
+        A model column that ``df`` lacks counts as 0, or as no known category.  ``score`` replaces a column
+        of that name.
         """
         absent = {c: F.lit(0) for c in self.numbers if c not in df.columns}
         absent |= {c: F.lit(None).cast("string") for c in self.categories if c not in df.columns}
         scored = self.pipeline.transform(df.withColumns(absent) if absent else df)
-        return scored.select(*df.columns, F.element_at(vector_to_array("probability"), 2).alias("score"))
+        kept = [F.col(quoted(c)) for c in df.columns if c != "score"]
+        return scored.select(*kept, F.element_at(vector_to_array(f"{OWN}probability"), 2).alias("score"))
 
     def importances(self) -> DataFrame:
         """(feature, importance), by absolute value descending: coefficients, or Gini shares of a forest."""
@@ -80,24 +92,25 @@ def _quoted(text: str) -> str:
 
 def _encoder_stages(encoding: Encoding) -> list:
     """Encoding as pipeline stages, so it is stored with the model."""
-    terms = [f"(CAST(`{c}` AS DOUBLE) - ({mean!r}D)) / {std!r}D" for c, (mean, std) in encoding.scaler.items()]
+    terms = [f"(CAST({quoted(c)} AS DOUBLE) - ({mean!r}D)) / {std!r}D" for c, (mean, std) in encoding.scaler.items()]
     terms += [
-        f"CASE WHEN `{c}` = {_quoted(level)} THEN 1.0D ELSE 0.0D END"
+        f"CASE WHEN {quoted(c)} = {_quoted(level)} THEN 1.0D ELSE 0.0D END"
         for c, levels in encoding.levels.items()
         for level in levels[1:]
     ]
-    names = [f"x{i}" for i in range(len(terms))]
+    names = [f"{OWN}x{i}" for i in range(len(terms))]
     statement = "SELECT *, " + ", ".join(f"{t} AS {n}" for t, n in zip(terms, names)) + " FROM __THIS__"
-    return [SQLTransformer(statement=statement), VectorAssembler(inputCols=names, outputCol="features")]
+    return [SQLTransformer(statement=statement), VectorAssembler(inputCols=names, outputCol=f"{OWN}features")]
 
 
 def _weighted(train: DataFrame, label: str) -> tuple[DataFrame, float]:
-    """Training rows with balanced class weights, and the sum of the weights."""
+    """Labelled training rows with balanced class weights, and the sum of the weights; there are few labels."""
+    train = train.filter(F.col(label).isNotNull())
     rows = class_weights(train, label).collect()
     weight = F.lit(None).cast("double")
     for row in rows:
         weight = F.when(F.col(label) == row[label], row["weight"]).otherwise(weight)
-    return train.withColumn("weight", weight), sum(r["n"] * r["weight"] for r in rows)
+    return train.withColumn(f"{OWN}weight", weight), sum(r["n"] * r["weight"] for r in rows)
 
 
 def _fit(name: str, train: DataFrame, encoding: Encoding, classifier: Estimator) -> ChurnModel:
@@ -112,7 +125,7 @@ def fit_logistic(
     weighted, total = _weighted(train, label)
     classifier = LogisticRegression(
         labelCol=label,
-        weightCol="weight",
+        **OWN_COLUMNS,
         regParam=1.0 / (strength * total),
         elasticNetParam=0.0,
         standardization=False,
@@ -123,13 +136,13 @@ def fit_logistic(
 
 
 def fit_forest(
-    train: DataFrame, encoding: Encoding, label: str = LABEL, trees: int = 400, depth: int = 15, seed: int = 42
+    train: DataFrame, encoding: Encoding, label: str = LABEL, trees: int = 400, depth: int = 30, seed: int = 42
 ) -> ChurnModel:
-    """Balanced random forest."""
+    """Balanced random forest; 30 is the greatest depth that MLlib allows."""
     weighted, _ = _weighted(train, label)
     classifier = RandomForestClassifier(
         labelCol=label,
-        weightCol="weight",
+        **OWN_COLUMNS,
         numTrees=trees,
         maxDepth=depth,
         featureSubsetStrategy="sqrt",
@@ -157,7 +170,7 @@ def train_churn_models(
     data: DataFrame,
     label: str = LABEL,
     trees: int = 400,
-    depth: int = 15,
+    depth: int = 30,
     seed: int = 42,
     compat: bool = False,
     only: tuple[str, ...] = ("logreg", "random_forest"),
@@ -196,9 +209,13 @@ def score_users(
 
 
 def calibrate_platt(scored: DataFrame, label: str = LABEL, score: str = "score") -> PipelineModel:
-    """Logistic curve from score to probability; ``transform`` adds ``probability``."""
-    assembler = VectorAssembler(inputCols=[score], outputCol="_score")
-    return Pipeline(stages=[assembler, LogisticRegression(featuresCol="_score", labelCol=label)]).fit(scored)
+    """Logistic curve from score to probability; ``transform`` adds ``probability``.
+
+    Rows without a score or label don't count, and get no probability: ``transform`` leaves them out.
+    """
+    assembler = VectorAssembler(inputCols=[score], outputCol="_score", handleInvalid="skip")
+    known = scored.filter(present(F.col(score)).isNotNull() & F.col(label).isNotNull())
+    return Pipeline(stages=[assembler, LogisticRegression(featuresCol="_score", labelCol=label)]).fit(known)
 
 
 def calibrate_isotonic(scored: DataFrame, label: str = LABEL, score: str = "score"):
@@ -206,7 +223,8 @@ def calibrate_isotonic(scored: DataFrame, label: str = LABEL, score: str = "scor
 
     Fitted on one weighted row per distinct score, which gives the same curve as the single rows.
     """
-    points = scored.groupBy(score).agg(F.avg(label).alias("_rate"), F.count(F.lit(1)).cast("double").alias("_n"))
+    known = scored.filter(present(F.col(score)).isNotNull() & F.col(label).isNotNull())
+    points = known.groupBy(score).agg(F.avg(label).alias("_rate"), F.count(F.lit(1)).cast("double").alias("_n"))
     return IsotonicRegression(
         featuresCol=score, labelCol="_rate", weightCol="_n", predictionCol="calibrated"
     ).fit(points)

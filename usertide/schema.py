@@ -54,6 +54,11 @@ def require_columns(df: DataFrame, required: Iterable[str], table: str = "table"
     return df
 
 
+def quoted(name: str) -> str:
+    """A column name as one identifier, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def available_columns(df: DataFrame, candidates: Sequence[str]) -> list[str]:
     """The candidates that exist in ``df``, in candidate order; raises when none does."""
     found = [name for name in candidates if name in df.columns]
