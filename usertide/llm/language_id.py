@@ -24,6 +24,8 @@ from usertide.session import materialize
 WORDS = 150_000
 GRAMS = 150_000
 LONGEST = 5
+#: Texts predicted at once.
+SLICE = 1000
 SMOOTH = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -146,7 +148,11 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFr
     def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, tuple[np.ndarray, int]] = {}
         for texts in batches:
-            langs, score = predictions(texts, shared.value, known)
+            langs, score = [], []
+            for i in range(0, len(texts), SLICE):
+                found, shares = predictions(texts.slice(i, SLICE), shared.value, known)
+                langs += found
+                score += shares.tolist()
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(score, pa.float64())], ["lang", "score"])
 
     out = docs.withColumn("__language", predicted(text_col))

@@ -35,6 +35,8 @@ SURE = 3.0
 LEAST = 0.25
 ALONE = 0.65
 THRESHOLD = 0.3
+#: Texts scored at once.
+SLICE = 1000
 PREFIXES = (4, 5, 6, 7, 8)
 
 #: What a character may stand for in leetspeak.
@@ -339,7 +341,7 @@ def toxicity(
         model, evidence = shared.value
         strong_words = Reader(model, strong(evidence))
         for texts in batches:
-            yield pa.array(scores(texts, strong_words))
+            yield pa.array(np.concatenate([scores(texts.slice(i, SLICE), strong_words) for i in range(0, len(texts), SLICE)] or [np.zeros(0)]))
 
     out = docs.withColumn("held_out", F.coalesce(rest(F.col(id_col)), F.lit(False))).withColumn("toxicity_score", scored(F.col(text_col)))
     return out.withColumn("toxicity_predicted", (F.col("toxicity_score") >= threshold).cast("int"))
