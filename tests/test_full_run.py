@@ -5,6 +5,7 @@ from pathlib import Path
 
 from usertide.catalog.views import Views
 from usertide.plans.full_run import run_files
+from usertide.session import shared_dir
 from usertide.sources import tables
 
 
@@ -16,6 +17,12 @@ def test_all_results_are_written_and_agree(spark, tmp_path):
     run_files(spark, str(tmp_path / "users_csv"), str(tmp_path / "events_csv"), str(base), "2024-02-01T00:00:00",
               trees=5, depth=4, ks=range(2, 4))
 
+    shared = Path(f"{shared_dir(spark).removeprefix('file:')}/usertide/{spark.sparkContext.applicationId}")
+    assert not list(shared.glob("run-*"))
+    assert spark.read.parquet(str(base / "models/segmented_users")).count() == v.users().count()
+    parts = [spark.read.parquet(str(base / f"models/encoded_{p}")).count() for p in ("train", "test")]
+    assert sum(parts) == v.users().count() and abs(parts[1] - 0.2 * sum(parts)) <= 1
+
     def rows(name):
         lines = [line for part in Path(base / name).glob("part-*.json") for line in part.read_text().splitlines()]
         return [json.loads(line) for line in lines]

@@ -141,22 +141,29 @@ def test_dedup_trims_copies_before_the_shuffle(spark, sf_dir):
     assert re.search(r"WindowGroupLimit .*row_number\(\), 1, Partial", plan)
 
 
-def test_orphan_join_splits_a_hot_user(spark):
-    """With thresholds lowered to test size, the adaptive plan splits the hot user's events."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.shuffle.partitions": "8",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
+def test_hot_users_and_nobody_stay_out_of_the_join(spark):
+    """A third of the events on one user and many on none: neither reaches the shuffle, with no help from skew joins."""
+    users, events = plain_users(spark), hot_events(spark, 60000)
+    known, unknown = coverage.heavy_users(events, coverage.known_users(users))
+    assert known == [0] and unknown == []
+    u, e = users.toPandas(), events.toPandas()
+    matched = e.user_id.isin(u.user_id)
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.skewJoin.enabled", "spark.sql.autoBroadcastJoinThreshold")}
     try:
-        for k, value in settings.items():
-            spark.conf.set(k, value)
-        joined = coverage.orphan_events(plain_users(spark), hot_events(spark, 60000))
-        assert "skew=true" in plan_of(joined)
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        valid, orphan = coverage.valid_events(users, events), coverage.orphan_events(users, events)
+        assert set(valid.toPandas().event_uuid) == set(e.event_uuid[matched]) and valid.count() == matched.sum()
+        assert set(orphan.toPandas().event_uuid) == set(e.event_uuid[~matched]) and orphan.columns == events.columns
+        nobody = coverage.orphan_events(users.limit(0), events)
+        assert nobody.count() == len(e) and coverage.heavy_users(events, users.limit(0).select("user_id"))[1] == [0]
     finally:
         for k, value in before.items():
             spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+
+
+def test_audit_reads_event_ids_alone_and_expands_no_events(spark, sf_dir):
+    """Besides the stored pass per user and category only the event ids are read, and no row is multiplied."""
+    plan = plan_of(QUERIES["quality_audit"](spark, sf_dir)).split("+- == Initial Plan ==")[0]
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "events.parquet" in line]
+    assert len(scans) == 1 and "ReadSchema: struct<event_id:bigint>" in scans[0]

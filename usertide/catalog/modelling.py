@@ -150,6 +150,23 @@ def _(v):
     )
 
 
+@query("isotonic_scores", """
+SELECT * FROM (WITH p AS (SELECT score, sum(label) AS s, count(*) AS n FROM scored GROUP BY score),
+c AS (SELECT score, row_number() OVER (ORDER BY score) AS i, sum(s) OVER (ORDER BY score) AS cs,
+  sum(n) OVER (ORDER BY score) AS cn, s, n FROM p),
+m AS (SELECT a.i AS j, b.i AS k, CAST(b.cs - a.cs + a.s AS DOUBLE) / CAST(b.cn - a.cn + a.n AS DOUBLE) AS mean
+  FROM c a JOIN c b ON a.i <= b.i),
+lowest AS (SELECT j, k AS i, min(mean) OVER (PARTITION BY j ORDER BY k DESC) AS low FROM m),
+fit AS (SELECT i, max(low) AS isotonic FROM lowest GROUP BY i)
+SELECT row_id, round(isotonic, 6) AS isotonic FROM scored JOIN c ON scored.score = c.score JOIN fit ON fit.i = c.i)
+""", ("scored",))
+def _(v):
+    """The isotonic curve at the scores it was fitted on; the twin is the min-max formula."""
+    scored = v.scored().withColumn("label", F.col("label").cast("double"))
+    curve = training.calibrate_isotonic(scored, "label")
+    return rounded(curve.transform(scored).select("row_id", F.col("calibrated").alias("isotonic")))
+
+
 # Centroids for the queries below: the mean user of each subscription type, in alphabetical order.
 CENTROID_COLUMNS = ("credits_purchased", "credits_spent", "views")
 MEANS = "SELECT subscription_type, " + ", ".join(f"avg({c}) AS {c}" for c in CENTROID_COLUMNS) + \

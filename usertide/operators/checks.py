@@ -44,11 +44,11 @@ def keep_one(
 ) -> DataFrame:
     """Keep the first row per ``key`` in ``order``; remaining ties go by ``ties`` ascending.
 
-    By default every other column takes part in the tie-break, so the outcome does not depend on
-    file order.  The filter on ``row_number`` lets Spark trim each key to one row per input
+    By default every other column that has an order takes part in the tie-break, so the outcome does not
+    depend on file order.  The filter on ``row_number`` lets Spark trim each key to one row per input
     partition before the shuffle, so a key with very many copies stays cheap.
     """
-    tie_columns = [c for c in df.columns if c != key] if ties is None else ties
+    tie_columns = [c for c, kind in df.dtypes if c != key and "map<" not in kind and kind != "variant"] if ties is None else ties
     position = F.row_number().over(
         Window.partitionBy(key).orderBy(order, *[F.asc_nulls_last(c) for c in tie_columns])
     )

@@ -21,14 +21,44 @@ def known_users(users: DataFrame) -> DataFrame:
     return users.select("user_id").distinct()
 
 
+def heavy_users(events: DataFrame, known: DataFrame) -> tuple[list, list]:
+    """Users with more than one task's share of the events, those among ``known`` and the others.
+
+    Fewer users than tasks can be that heavy, so both lists are short.
+    """
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_user = events.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    total = events.agg(F.count(F.lit(1))).scalar()
+    heavy = per_user.filter(F.col("n") * tasks > total).select("user_id")
+    found = heavy.join(known.withColumn("__known", F.lit(True)), "user_id", "left").collect()
+    return [r[0] for r in found if r[1]], [r[0] for r in found if not r[1]]
+
+
+def _split_events(users: DataFrame, events: DataFrame, kind: str) -> DataFrame:
+    """Events with (``left_semi``) or without (``left_anti``) a known user.
+
+    Events of heavy users and of nobody are told apart by a filter and never shuffled; only the rest joins.
+    """
+    known = known_users(users)
+    there, absent = heavy_users(events, known)
+    own = F.col("user_id")
+    alone = [x for group in (there, absent) for x in group]
+    rest = events.filter(own.isNotNull() & ~own.isin(alone)) if alone else events.filter(own.isNotNull())
+    joined = rest.join(known, "user_id", kind).select(*events.columns)
+    if kind == "left_anti":
+        aside = events.filter(own.isNull() | own.isin(absent)) if absent else events.filter(own.isNull())
+        return joined.union(aside)
+    return joined.union(events.filter(own.isin(there))) if there else joined
+
+
 def valid_events(users: DataFrame, events: DataFrame) -> DataFrame:
     """Events whose user exists."""
-    return events.join(known_users(users), "user_id", "left_semi")
+    return _split_events(users, events, "left_semi")
 
 
 def orphan_events(users: DataFrame, events: DataFrame) -> DataFrame:
     """Events whose user does not exist, a null user included."""
-    return events.join(known_users(users), "user_id", "left_anti")
+    return _split_events(users, events, "left_anti")
 
 
 def users_without_events(users: DataFrame, events: DataFrame) -> DataFrame:

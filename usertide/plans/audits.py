@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usertide.functions.time import seconds_between
-from usertide.operators.checks import duplicate_count, null_count, tidy
+from usertide.operators.checks import null_count, tidy
 from usertide.operators.coverage import coverage_counts, events_per_user, known_users
 from usertide.operators.stats import QUARTILES, describe, histogram
 from usertide.schema import require_columns
+from usertide.session import materialize
 
 # Audited columns, delays and percentiles of the delays.
 DOMAIN_COLUMNS = ("country", "device", "subscription_type", "event_type")
@@ -30,7 +31,7 @@ def domain_cardinality(users: DataFrame, events: DataFrame, columns: Sequence[st
     in_users = [c for c in columns if c in users.columns]
     in_events = [c for c in columns if c not in users.columns and c in events.columns]
     counts = [
-        tidy(table.agg(*[F.count_distinct(c).alias(c) for c in here]))
+        tidy(table.select(*here).distinct().agg(*[F.count_distinct(c).alias(c) for c in here]))
         for table, here in ((users, in_users), (events, in_events))
         if here
     ]
@@ -42,25 +43,39 @@ def quality_audit(users: DataFrame, events: DataFrame) -> DataFrame:
     """Rows (position, metric, value): completeness, uniqueness, references, time order, cardinalities."""
     in_users = [c for c in DOMAIN_COLUMNS if c in users.columns]
     in_events = [c for c in DOMAIN_COLUMNS if c not in users.columns and c in events.columns]
-    user_side = users.agg(
-        null_count("user_id").alias("users_null_user_id"),
-        duplicate_count("user_id").alias("users_duplicate_user_id"),
-        *[F.count_distinct(c).alias(f"distinct_{c}") for c in in_users],
+    rows = F.count(F.lit(1))
+    user_side = users.groupBy("user_id").agg(rows.alias("n")).agg(
+        F.coalesce(F.sum(F.when(F.col("user_id").isNull(), F.col("n"))), F.lit(0)).alias("users_null_user_id"),
+        (F.coalesce(F.sum("n"), F.lit(0)) - F.count("user_id")).alias("users_duplicate_user_id"),
     )
-    event_checks = [
-        null_count("event_uuid").alias("events_null_event_uuid"),
-        null_count("user_id").alias("events_null_user_id"),
-        duplicate_count("event_uuid").alias("events_duplicate_event_uuid"),
-    ]
-    if set(EVENT_TIMES) <= set(events.columns):
-        event_checks += [
-            F.count_if(F.col("created_at") < F.col("event_timestamp")).alias("events_created_before_event"),
-            F.count_if(F.col("received_at") < F.col("created_at")).alias("events_received_before_created"),
-        ]
-    event_side = events.agg(*event_checks, *[F.count_distinct(c).alias(f"distinct_{c}") for c in in_events])
-    references = coverage_counts(users, events).select(
-        F.col("valid_events").alias("events_with_known_user"), F.col("orphan_events").alias("events_orphan")
+    ids = events.groupBy("event_uuid").agg(rows.alias("n")).agg(
+        F.coalesce(F.sum(F.when(F.col("event_uuid").isNull(), F.col("n"))), F.lit(0)).alias("events_null_event_uuid"),
+        (F.coalesce(F.sum("n"), F.lit(0)) - F.count("event_uuid")).alias("events_duplicate_event_uuid"),
     )
+    # One pass gives all additive counts per user and category; users then tell known from unknown.
+    flags = {}
+    if set(EVENT_TIMES) <= set(events.columns):
+        flags = {
+            "events_created_before_event": F.col("created_at") < F.col("event_timestamp"),
+            "events_received_before_created": F.col("received_at") < F.col("created_at"),
+        }
+    per_user = events.groupBy("user_id", *in_events).agg(rows.alias("n"), *[F.count_if(c).alias(name) for name, c in flags.items()])
+    matched = per_user.join(known_users(users).withColumn("__known", F.lit(True)), "user_id", "left")
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    sums = {
+        "events_null_user_id": total(F.col("user_id").isNull()),
+        "events_with_known_user": total(F.col("__known")),
+        "events_orphan": total(F.col("__known").isNull()),
+        **{name: F.coalesce(F.sum(name), F.lit(0)) for name in flags},
+    }
+    # A row per combination of categories, stored so that sums and distinct values come from one pass.
+    by_category = materialize(matched.groupBy(*in_events).agg(*[c.alias(name) for name, c in sums.items()]))
+    event_side = by_category.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums])
+    distinct = domain_cardinality(users, by_category.select(*in_events) if in_events else events, [*in_users, *in_events])
+    distinct = distinct.select(F.concat(F.lit("distinct_"), "column").alias("metric"), F.col("distinct_values").alias("value"))
     order = [
         "users_null_user_id", "events_null_event_uuid", "events_null_user_id",
         "users_duplicate_user_id", "events_duplicate_event_uuid",
@@ -69,7 +84,7 @@ def quality_audit(users: DataFrame, events: DataFrame) -> DataFrame:
         *[f"distinct_{c}" for c in DOMAIN_COLUMNS],
     ]
     position = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("metric")).cast("int")
-    return _union([tidy(user_side), tidy(event_side), tidy(references)]).select(
+    return _union([tidy(user_side), tidy(ids), tidy(event_side), distinct]).select(
         position.alias("position"), "metric", "value"
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from usertide import schema
 from usertide.plans import audits, cleaning, cohorts, evaluation, features, model_data, scoring, segments, training
-from usertide.session import configure
+from usertide.session import configure, scratch
 from usertide.sources import tables
 
 SCORE_GROUPS = ("country", "device", "subscription_type")
@@ -30,19 +30,25 @@ def run_files(spark: SparkSession, users_csv: str, events_csv: str, base: str, s
 
 
 def run_all(
-    raw_users: DataFrame,
-    raw_events: DataFrame,
-    base: str,
-    scored_at: str,
-    trees: int = 400,
-    depth: int = 30,
-    ks: Sequence[int] = range(2, 10),
+    raw_users: DataFrame, raw_events: DataFrame, base: str, scored_at: str, trees: int = 400, depth: int = 30, ks: Sequence[int] = range(2, 10)
 ) -> None:
     """Clean, audit, build features and cohorts, train, score, report and segment.
 
-    Tables are Parquet under ``base``; reports are one JSON file each.
+    Tables are Parquet under ``base``; reports are one JSON file each.  Intermediate tables are deleted.
     """
+    with scratch(raw_users.sparkSession):
+        _run_all(raw_users, raw_events, base, scored_at, trees, depth, ks)
+
 
+def _run_all(
+    raw_users: DataFrame,
+    raw_events: DataFrame,
+    base: str,
+    scored_at: str,
+    trees: int,
+    depth: int,
+    ks: Sequence[int],
+) -> None:
     def store(df: DataFrame, name: str) -> DataFrame:
         return tables.write_table(df, f"{base}/{name}")
 

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWN_DIRS: dict[str, str] = {}
+_SCOPE: ContextVar[str] = ContextVar("scope", default="tables")
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings the results depend on: all timestamps are naive UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -28,13 +35,15 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and the executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="usertide-"))
-    return spark.sparkContext.getCheckpointDir()
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_DIRS:
+        _OWN_DIRS[application] = tempfile.mkdtemp(prefix="usertide-")
+    return _OWN_DIRS[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder, grouped by application; nothing is created yet."""
-    return f"{shared_dir(spark)}/usertide/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/usertide/{spark.sparkContext.applicationId}/{_SCOPE.get()}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, spread_by: str | None = None) -> DataFrame:
@@ -47,13 +56,31 @@ def materialize(df: DataFrame, spread_by: str | None = None) -> DataFrame:
     over the table many times, and a small table would otherwise end up in one file and one task.
     """
     if spread_by:
-        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism, spread_by)
+        session = df.sparkSession
+        tasks = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+        df = df.repartition(tasks, spread_by)
     path = new_folder(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored within the block go with its end; results must have been written or collected by then."""
+    scope = f"run-{uuid.uuid4().hex}"
+    token = _SCOPE.set(scope)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        _delete(spark, f"/{scope}")
+
+
 def drop_materialized(spark: SparkSession) -> None:
     """Delete the tables this application has stored; frames that read them no longer work."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/usertide/{spark.sparkContext.applicationId}")
+    _delete(spark, "")
+
+
+def _delete(spark: SparkSession, below: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/usertide/{spark.sparkContext.applicationId}{below}")
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
