@@ -7,13 +7,15 @@ bins give bucket keys: two documents of similarity 0.8 share none of them with p
 
 Texts with equal shingle sets form one class and only its smallest document goes on.  Within a bucket all
 members link to the smallest one, so candidate edges grow with the members and not with their pairs.
-The links are confirmed on full shingle sets in three passes:
+The links are confirmed on full shingle sets in two passes:
 
 1. every member against the star centre it shares most buckets with;
 2. where a bucket still holds several components, members outside its largest component against the
-   likeliest member of each other component;
-3. the same against all members of other components, block by block, pre-filtered by set size and by
-   agreement of the signatures.  So no pair that shares a bucket is left out unless it is connected already.
+   members of the others, block by block: pairs that set sizes and agreement of signatures don't rule out
+   are compared on their full sets within the block, so that only links leave it.
+
+So no pair that shares a bucket is left out unless it is connected already.  A pair that shares several
+buckets is looked at in the first of them only.
 """
 
 from __future__ import annotations
@@ -145,19 +147,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for a, b in zip(batch.column("hashes_a"), batch.column("hashes_b"), strict=True):
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                at = np.searchsorted(x, y)
-                common = int((x[np.minimum(at, len(x) - 1)] == y).sum()) if len(x) else 0
-                keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
+                keep.append(similar(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(run, pairs.select("a", "b").schema).distinct()
 
 
-def rest_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs ``a, b`` of different components that share a bucket and may still be similar enough.
-
-    ``nearest``: of a member's pairs with one other component in one block only the likeliest.
+def in_blocks(members: DataFrame, labels: DataFrame, details: DataFrame) -> DataFrame:
+    """The rows ``key, id`` of buckets that hold several components, dealt into blocks, with their ``details``.
 
     A bucket's members outside its largest component (``side`` 0) meet all its members (``side`` 1) in
     blocks of about ``BLOCK`` rows, dealt by a hash of the id, so no task holds a whole bucket.
@@ -171,43 +168,86 @@ def rest_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame, percent:
         .where("parts > 1")
         .select("key", "main", F.ceil((F.col("total") - F.col("most")) / BLOCK).alias("few"), F.ceil(F.col("total") / BLOCK).alias("all"))
     )
-    mixed_buckets = members.join(buckets, "key").withColumn("h", F.xxhash64("id"))
-    rows = mixed_buckets.join(reps.select("id", "n", "sketch"), "id")
-    outside = rows.where("component <> main").select(
-        "key", F.pmod("h", "few").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1)).alias("j"), F.lit(0).alias("side"), "id", "component", "n", "sketch"
-    )
-    everyone = rows.select(
-        "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("few") - 1)).alias("i"), F.pmod("h", "all").alias("j"), F.lit(1).alias("side"), "id", "component", "n", "sketch"
-    )
-    # Six standard deviations under the expected agreement of a pair at the threshold.
+    rows = members.join(buckets, "key").withColumn("h", F.xxhash64("id")).join(details, "id")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = lambda n: F.pmod("h", n)
+    carried = ["component", *details.columns]
+    outside = rows.where("component <> main").select("key", own("few").alias("i"), upto("all").alias("j"), F.lit(0).alias("side"), *carried)
+    everyone = rows.select("key", upto("few").alias("i"), own("all").alias("j"), F.lit(1).alias("side"), *carried)
+    return outside.union(everyone).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+
+
+def candidates(block: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each outside row of a block the rows it may be linked with, the likeliest first.
+
+    Left out are rows of its own component, sets too different in size, signatures that agree in fewer bins
+    than six standard deviations under the expected number at the threshold, and pairs whose first shared
+    bucket is another one.
+    """
     share = percent / 100
     least = BINS * share - 6 * (BINS * share * (1 - share)) ** 0.5
+    cut = int(np.searchsorted(block.column("side").to_numpy(), 1))
+    key = block.column("key")[0].as_py()
+    part, n = block.column("component").to_numpy(), block.column("n").to_numpy()
+    sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
+    bands = block.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    for x in range(cut):
+        at = cut + np.flatnonzero((part[cut:] != part[x]) & (100 * np.minimum(n[x], n[cut:]) >= percent * np.maximum(n[x], n[cut:])))
+        agree = (sketch[at] == sketch[x]).view(np.uint8).sum(axis=1, dtype=np.uint8)
+        at, agree = at[agree >= least], agree[agree >= least]
+        first = bands[x][(bands[at] == bands[x]).argmax(axis=1)] == key
+        yield x, at[first][np.argsort(-agree[first].astype(int), kind="stable")]
+
+
+def paired(block: pa.Table, found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    """Rows of a block and their partners as pairs of ids, the smaller one first."""
+    ids, kind = block.column("id").to_numpy(), block.schema.field("id").type
+    a = np.concatenate([np.minimum(ids[at], ids[x]) for x, at in found] or [ids[:0]])
+    b = np.concatenate([np.maximum(ids[at], ids[x]) for x, at in found] or [ids[:0]])
+    return pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
+
+
+def rest_links(members: DataFrame, labels: DataFrame, reps: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between members of different components, one for each row and component it is linked with.
+
+    First the rows with any candidate are marked; then only those meet again, with their full sets.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in runs(batches, ["key", "i", "j"]):
+            held = np.zeros(block.num_rows, bool)
+            for x, at in candidates(block, percent):
+                held[at] = True
+                held[x] |= len(at) > 0
+            yield from block.select(["key", "id"]).filter(pa.array(held)).to_batches()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in runs(batches, ["key", "i", "j"]):
-            side = block.column("side").to_numpy()
-            cut = int(np.searchsorted(side, 1))
-            ids, part = block.column("id").to_numpy(zero_copy_only=False), block.column("component").to_numpy(zero_copy_only=False)
-            n = block.column("n").to_numpy()
-            sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
-            out_a, out_b = [], []
-            for x in range(cut):
-                at = cut + np.flatnonzero((part[cut:] != part[x]) & (100 * np.minimum(n[x], n[cut:]) >= percent * np.maximum(n[x], n[cut:])))
-                agree = (sketch[at] == sketch[x]).view(np.uint8).sum(axis=1, dtype=np.uint8)
-                at, agree = at[agree >= least], agree[agree >= least]
-                if nearest and len(at) > 1:
-                    at = at[np.lexsort((ids[at], -agree.astype(int)))]
-                    at = at[np.unique(part[at], return_index=True)[1]]
-                out_a.append(np.minimum(ids[at], ids[x]))
-                out_b.append(np.maximum(ids[at], ids[x]))
-            if sum(map(len, out_a)):
-                kind = block.schema.field("id").type
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a), kind), pa.array(np.concatenate(out_b), kind)], ["a", "b"])
-
-    order = ["key", "i", "j", "side"]
-    dealt = outside.union(everyone).repartition("key", "i", "j").sortWithinPartitions(*order)
-    out = members.select(F.col("id").alias("a"), F.col("id").alias("b")).schema
-    return dealt.mapInArrow(compare, out).distinct()
+            part, hashes, found = block.column("component").to_numpy(), block.column("hashes"), []
+            sets = [np.frombuffer(h.as_buffer(), np.uint64) for h in hashes]
+            for x, at in candidates(block, percent):
+                linked: dict[int, int] = {}
+                for y in at.tolist():
+                    if part[y] not in linked and similar(sets[x], sets[y], percent):
+                        linked[part[y]] = y
+                found.append((x, np.array(list(linked.values()), np.int64)))
+            yield paired(block, found)
+
+    details = reps.select("id", "n", "sketch", "bands")
+    marked = materialize(in_blocks(members, labels, details).mapInArrow(mark, members.select("key", "id").schema).distinct())
+    return in_blocks(marked, labels, details.join(full, "id")).mapInArrow(compare, pair_schema(members)).distinct()
+
+
+def pair_schema(members: DataFrame) -> T.StructType:
+    return members.select(F.col("id").alias("a"), F.col("id").alias("b")).schema
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share at least ``percent`` % of their union; empty sets share nothing."""
+    if not len(x) or not len(y):
+        return False
+    common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -255,9 +295,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     votes = members.where("a <> id").groupBy("a", F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     best = votes.groupBy("b").agg(F.min_by("a", F.struct(-F.col("n"), "a")).alias("a"))
     label = materialize(components(confirmed(best, full, percent)))
-    for nearest in (True, False):
-        found = confirmed(rest_pairs(members, label, reps, percent, nearest), full, percent)
-        label = materialize(components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)))
+    known = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    label = materialize(components(known.union(rest_links(members, label, reps, full, percent))))
     moved = (
         classes.join(label.select(F.col("node").alias("id"), "component"), "id", "left")
         .withColumn("component", F.coalesce("component", "id"))
