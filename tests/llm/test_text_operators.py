@@ -2,7 +2,9 @@ import hashlib
 import re
 import struct
 import zlib
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -83,6 +85,44 @@ def test_backoff_for_unseen_words():
     assert model.word("ñ").tolist() == [0.0, 0.0]
 
 
+def test_rare_language_beside_a_large_one_keeps_its_words(spark):
+    letters = "abcdefghijklmnopqrst"
+    large = ["".join(letters[i // 20**k % 20] for k in range(5)) for i in range(7, 20**5, 16)]
+    rows = [(i, " ".join(large[i * 80 : i * 80 + 80] * 2), "a") for i in range(len(large) // 80)]
+    seen = ["a" + "".join(letters[(p * i + q) % 20] for p, q in ((3, 0), (7, 1), (11, 2), (1, 0))) for i in range(20)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    learnt, tried = ([i for i in range(100_000, 100_100) if held(i) is x][:5] for x in (False, True))
+    rare = [(i, " ".join(seen[k * 4 : k * 4 + 4]), "b") for ids in (learnt, tried) for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows + rare, "doc_id long, text string, lang string").repartition(8)
+    got = {r["doc_id"]: r for r in language_id.language_id(docs).where("doc_id >= 100000").collect()}
+    assert len(large) > 190_000 and [got[i]["lang_pred"] for i in tried] == ["b"] * 5
+    assert min(got[i]["lang_score"] for i in tried) > 0.999  # each word is some twelve times likelier in b
+
+
+@pytest.mark.parametrize("hot", [0, 40, 10**6])
+def test_joined_words_score_as_broadcast_ones(spark, docs, monkeypatch, hot):
+    monkeypatch.setattr(language_id, "HOT", hot)
+    monkeypatch.setattr(language_id, "COPIED", hot)
+    some = docs.select("doc_id", "text", "lang").limit(150)
+    some = some.union(some.limit(30)).union(spark.createDataFrame([(-1, "zzzqxj wörterbuchartig 日本語", None)], some.schema))
+    rows = language_id.language_id(some).collect()
+    words, grams = {}, {}
+    for r in rows:
+        if r["lang"] is not None and r["text"] is not None and not r["held_out"]:
+            for w in (w for t in r["text"].lower().split() for w in language_id.WORD.findall(t)):
+                words.setdefault(w, Counter())[r["lang"]] += 1
+                for g in (g for n in range(1, 6) for g in language_id.grams(w, n)):
+                    grams.setdefault(g, Counter())[r["lang"]] += 1
+    model = language_id.Model(sorted({x for c in words.values() for x in c}), words, grams)
+    assert len(rows) == 181
+    for r in rows:
+        parts = [w for t in (r["text"] or "").lower().split() for w in language_id.WORD.findall(t)]
+        total = np.sum([model.word(w) for w in parts], axis=0, dtype=np.float64)
+        share = np.exp(total - total.max()) / np.exp(total - total.max()).sum() if parts else [0.0]
+        assert r["lang_pred"] == (model.langs[total.argmax()] if parts else "und")
+        assert r["lang_score"] == pytest.approx(max(share), abs=1e-2)
+
+
 def test_language_of_odd_rows(spark, odd_docs):
     rows = language_id.language_id(odd_docs).collect()
     got = {r["doc_id"]: r["lang_pred"] for r in rows}

@@ -2,8 +2,10 @@
 
 A known word scores by its log frequency in each language.  An unseen word falls back to the log frequencies
 of its character n-grams, of the longest length of which any is known.  Frequencies are counted over all
-training rows; the word list and the n-gram list hold the most frequent entries up to a fixed number, as
-every word beyond them has the backoff.
+training rows, and every counted word and n-gram is used: both lists are Spark tables.  Each distinct word of
+the documents is scored once.  The most frequent words are added up where the documents are read, as a bounded
+number of them is broadcast; the others are joined.  Scores are scaled integers, so neither the order of
+additions nor the number of broadcast words changes a result.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +24,15 @@ from pyspark.sql import functions as F
 from usertide.llm.words import least_count, token_counts
 from usertide.session import materialize
 
-#: Entries (word, language) and (n-gram, language) of the model at most.
-WORDS = 150_000
-GRAMS = 150_000
+#: Words, and n-grams, that are broadcast at most (fewer for many languages), and texts with copies; the rest is joined.
+HOT = 150_000
+COPIED = 10_000
 LONGEST = 5
-#: Texts predicted at once.
+#: Log frequencies are summed as integers, this many to 1.
+SCALE = 2**24
+#: Texts or words read at once, and entries a task holds before it sends them on.
 SLICE = 1000
+HELD = 200_000
 SMOOTH = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -37,25 +44,37 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
+def emitted(found: dict[str | None, Counter]) -> Iterator[pa.RecordBatch]:
+    """Rows ``lang, word, n`` in small batches."""
+    for lang, counts in found.items():
+        entries = iter(counts.items())
+        while part := list(islice(entries, 20_000)):
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array([w for w, _ in part], pa.string()), pa.array([k for _, k in part], pa.int64())], ["lang", "word", "n"])
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
-    """Rows ``lang, word, n`` from rows ``text, lang``; counted per batch before anything is shuffled."""
+    """Rows ``lang, word, n`` from rows ``text, lang``, null being a language too; counted per task before anything is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str | None, Counter] = {}
         for batch in batches:
-            found: dict[str, Counter] = {}
-            langs = batch.column("lang").to_pylist()
-            for lang in sorted(set(langs)):
-                texts = batch.column("text").filter(pa.array([x == lang for x in langs]))
-                _, code, n, vocabulary = token_counts(texts)
-                total = np.bincount(code, weights=n, minlength=len(vocabulary)).astype(np.int64).tolist()
-                counts = found.setdefault(lang, Counter())
-                for token, k in zip(vocabulary, total, strict=True):
-                    for word in WORD.findall(token):
-                        counts[word] += k
-            for lang, counts in found.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["lang", "word", "n"]
-                )
+            for piece in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
+                langs = piece.column("lang").to_pylist()
+                for lang in set(langs):
+                    texts = piece.column("text").filter(pa.array([x == lang for x in langs]))
+                    _, code, n, vocabulary = token_counts(texts)
+                    total = np.bincount(code, weights=n, minlength=len(vocabulary)).astype(np.int64).tolist()
+                    counts = found.setdefault(lang, Counter())
+                    for token, k in zip(vocabulary, total, strict=True):
+                        if token.isalpha():
+                            counts[token] += k
+                        else:
+                            for word in WORD.findall(token):
+                                counts[word] += k
+                if sum(map(len, found.values())) > HELD:
+                    yield from emitted(found)
+                    found = {}
+        yield from emitted(found)
 
     return rows.select("text", "lang").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
@@ -64,21 +83,24 @@ def gram_counts(counted: DataFrame) -> DataFrame:
     """Rows ``lang, word, n`` where ``word`` is a character n-gram, from the counted words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str | None, Counter] = {}
         for batch in batches:
-            counts: Counter = Counter()
-            for lang, word, k in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
-                for n in range(1, LONGEST + 1):
-                    for g in grams(word, n):
-                        counts[lang, g] += k
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in counts], pa.string()), pa.array([x[1] for x in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["lang", "word", "n"]
-            )
+            for piece in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
+                for lang, word, k in zip(*(piece.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
+                    counts = found.setdefault(lang, Counter())
+                    for n in range(1, LONGEST + 1):
+                        for g in grams(word, n):
+                            counts[g] += k
+                if sum(map(len, found.values())) > HELD:
+                    yield from emitted(found)
+                    found = {}
+        yield from emitted(found)
 
     return counted.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 class Model:
-    """Log frequencies by word and n-gram, an array entry for each language in order."""
+    """Log frequencies by word and n-gram, an array entry for each language in order; the same as ``Tables``, in memory."""
 
     def __init__(self, langs: list[str], words: dict[str, dict[str, int]], grams: dict[str, dict[str, int]]) -> None:
         self.langs = langs
@@ -101,62 +123,166 @@ class Model:
         return np.zeros(len(self.langs), np.float32)
 
 
-def fit(rows: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
-    """A model from all rows ``text, lang`` with neither null."""
-    counted = materialize(word_counts(rows.where("text is not null and lang is not null")))
+@dataclass
+class Tables:
+    """Scaled log frequencies of all words and of all n-grams: rows ``word, n`` and a column for each language in order."""
+
+    langs: list[str]
+    words: DataFrame
+    grams: DataFrame
+
+    @property
+    def columns(self) -> list[str]:
+        return [f"v{i}" for i in range(len(self.langs))]
+
+
+def logs(counted: DataFrame, langs: list[str]) -> DataFrame:
+    """A table of ``Tables`` from rows ``lang, word, n``."""
+    each = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"v{i}") for i, x in enumerate(langs)]
+    by_word = materialize(counted.groupBy("word").agg(F.sum("n").alias("n"), *each))
+    total = by_word.agg(F.count(F.lit(1)).alias("rows"), *(F.sum(f"v{i}").alias(f"v{i}") for i in range(len(langs)))).first()
+    log = lambda v: F.round(F.log((F.col(v) + SMOOTH) / (1 + (total[v] or 0) + SMOOTH * total["rows"])) * SCALE).cast("long").alias(v)
+    return by_word.select("word", "n", *(log(f"v{i}") for i in range(len(langs))))
+
+
+def fit_counts(counted: DataFrame) -> Tables:
+    """A model from rows ``lang, word, n`` of a stored table."""
     langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
-    tables = []
-    for table, most in ((counted, words), (materialize(gram_counts(counted)), grams)):
-        kept: dict[str, dict[str, int]] = {}
-        for r in table.where(F.col("n") >= least_count(table, "n", most)).toLocalIterator():
-            kept.setdefault(r["word"], {})[r["lang"]] = r["n"]
-        tables.append(kept)
-    return Model(langs, *tables)
-
-
-def predictions(texts: pa.Array, model: Model, known: dict[str, tuple[np.ndarray, int]]) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text; ``known`` remembers tokens, up to a bound."""
-    row, code, n, vocabulary = token_counts(texts)
-    if len(known) > 300_000:
-        known.clear()
-    size = len(model.langs)
-    table, letters = np.zeros((len(vocabulary), size), np.float64), np.zeros(len(vocabulary), np.int64)
-    for i, token in enumerate(vocabulary):
-        if (found := known.get(token)) is None:
-            parts = WORD.findall(token)
-            found = known[token] = (np.sum([model.word(w) for w in parts], axis=0, dtype=np.float64) if parts else np.zeros(size), len(parts))
-        table[i], letters[i] = found
-    total = np.stack([np.bincount(row, weights=n * table[code, k], minlength=len(texts)) for k in range(size)], axis=1) if size else np.zeros((len(texts), 0))
-    has = np.bincount(row, weights=letters[code], minlength=len(texts)) > 0
-    if not size:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
-    share = np.exp(total - total.max(axis=1, keepdims=True))
-    share /= share.sum(axis=1, keepdims=True)
-    best = total.argmax(axis=1)
-    return [model.langs[b] if h else UNKNOWN for b, h in zip(best, has, strict=True)], np.where(has, share.max(axis=1), 0.0)
-
-
-def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
+    return Tables(langs, logs(counted, langs), logs(gram_counts(counted), langs))
+
+
+def fit(rows: DataFrame) -> Tables:
+    """A model from all rows ``text, lang`` with neither null."""
+    return fit_counts(materialize(word_counts(rows.where("text is not null and lang is not null"))))
+
+
+def most_frequent(table: DataFrame, columns: list[str]) -> tuple[dict[str, int], np.ndarray]:
+    """The place of each of the most frequent words of a table, and the values there; a bounded number."""
+    most = HOT * 10 // max(len(columns), 10)
+    rows = table.where(F.col("n") >= least_count(table, "n", most)).select("word", *columns).toArrow()
+    values = [rows.column(c).to_numpy().astype(np.int64) for c in columns]
+    return {w: i for i, w in enumerate(rows.column("word").to_pylist())}, np.stack(values, axis=1) if values else np.zeros((rows.num_rows, 0), np.int64)
+
+
+def backoff(words: DataFrame, model: Tables) -> DataFrame:
+    """Rows ``word`` with the mean of the n-grams of the longest length of which any is known; words without any are missing.
+
+    Frequent n-grams are added up at once, and lengths below one with any of them aren't needed.
+    """
+    columns, size = model.columns, len(model.langs)
+    shared = words.sparkSession.sparkContext.broadcast(most_frequent(model.grams, model.columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, values = shared.value
+        none = np.zeros(size, np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                rows: list[tuple] = []
+                sums: list[np.ndarray] = []
+                for word in batch.column(0).slice(start, SLICE).to_pylist():
+                    for n in range(min(LONGEST, len(word) + 2), 0, -1):
+                        counts = Counter(grams(word, n))
+                        hot = [(place[g], k) for g, k in counts.items() if g in place]
+                        for g, k in counts.items():
+                            if g not in place:
+                                rows.append((word, n, g, k))
+                                sums.append(none)
+                        if hot:
+                            rows.append((word, n, None, sum(k for _, k in hot)))
+                            sums.append(np.array([k for _, k in hot]) @ values[[i for i, _ in hot]])
+                            break
+                table = np.stack(sums, axis=1) if sums else np.zeros((size, 0), np.int64)
+                head = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*head, *(pa.array(v) for v in table)], ["word", "size", "gram", "k", *columns])
+
+    found = materialize(words.select("word").mapInArrow(run, "word string, size int, gram string, k long" + "".join(f", {c} long" for c in columns)))
+    table = model.grams.select(F.col("word").alias("gram"), *(F.col(c).alias(f"g{c}") for c in columns))
+    joined = found.where("gram is not null").select("word", "size", "gram", "k").join(table, "gram").select("word", "size", "k", *((F.col("k") * F.col(f"g{c}")).alias(c) for c in columns))
+    by_size = found.where("gram is null").select("word", "size", "k", *columns).union(joined).groupBy("word", "size").agg(F.sum("k").alias("k"), *(F.sum(c).alias(c) for c in columns))
+    longest = by_size.groupBy("word").agg(F.max(F.struct("size", "k", *columns)).alias("one"))
+    return longest.select("word", *(F.round(F.col(f"one.{c}") / F.col("one.k")).cast("long").alias(c) for c in columns))
+
+
+def word_scores(used: DataFrame, model: Tables) -> DataFrame:
+    """Rows ``word, n`` with a column for each language, stored."""
+    columns = model.columns
+    if not columns:
+        return used
+    joined = materialize(used.join(model.words.select("word", *columns), "word", "left"))
+    unseen = joined.where("v0 is null").select("word", "n")
+    backed = unseen.join(backoff(unseen, model), "word", "left").select("word", "n", *(F.coalesce(c, F.lit(0)).alias(c) for c in columns))
+    return materialize(joined.where("v0 is not null").union(backed))
+
+
+def text_sums(texts: DataFrame, scored: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows ``digest, copies, letters`` and a column for each language from rows ``digest, text``, one for each distinct text."""
+    size = len(columns)
+    shared = texts.sparkSession.sparkContext.broadcast(most_frequent(scored, columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, values = shared.value
+        known: dict[str, tuple] = {}
+        for batch in batches:
+            for piece in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
+                row, code, n, vocabulary = token_counts(piece.column("text"))
+                if len(known) > 300_000:
+                    known.clear()
+                table, letters, rare = np.zeros((len(vocabulary), size), np.int64), np.zeros(len(vocabulary), np.int64), []
+                for i, token in enumerate(vocabulary):
+                    if (found := known.get(token)) is None:
+                        parts = WORD.findall(token)
+                        hot = [place[w] for w in parts if w in place]
+                        found = known[token] = (values[hot].sum(axis=0), len(parts), [w for w in parts if w not in place])
+                    table[i], letters[i] = found[:2]
+                    rare.append(found[2])
+                cold: list[Counter] = [Counter() for _ in range(piece.num_rows)]
+                for r, c, k in zip(*(x[np.array([bool(w) for w in rare], bool)[code]].tolist() for x in (row, code, n)), strict=True) if rare else ():
+                    for w in rare[c]:
+                        cold[r][w] += k
+                offsets = pa.array(np.cumsum([0, *map(len, cold)]), pa.int32())
+                pairs = pa.StructArray.from_arrays([pa.array([w for c in cold for w in c], pa.string()), pa.array([k for c in cold for k in c.values()], pa.int64())], ["word", "n"])
+                sums = [np.bincount(row, weights=n * table[code, k], minlength=piece.num_rows).astype(np.int64) for k in range(size)]
+                total = np.bincount(row, weights=letters[code], minlength=piece.num_rows).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([piece.column("digest"), pa.array(total), pa.ListArray.from_arrays(offsets, pairs), *map(pa.array, sums)], ["digest", "letters", "cold", *columns])
+
+    schema = "digest binary, letters long, cold array<struct<word: string, n: long>>" + "".join(f", {c} long" for c in columns)
+    first = [F.first(c).alias(c) for c in ("letters", "cold", *columns)]
+    read = materialize(texts.where("text is not null").select("digest", "text").mapInArrow(run, schema).groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), *first))
+    pairs = read.select("digest", F.explode("cold").alias("c")).select("digest", "c.word", F.col("c.n").alias("k")).join(scored.select("word", *columns), "word")
+    zero = [F.lit(0).cast("long").alias(c) for c in ("copies", "letters")]
+    rows = read.select("digest", "copies", "letters", *columns).union(pairs.select("digest", *zero, *((F.col("k") * F.col(c)).alias(c) for c in columns)))
+    return rows.groupBy("digest").agg(*(F.sum(c).alias(c) for c in ("copies", "letters", *columns)))
+
+
+def identify(docs: DataFrame, model: Tables, *, text_col: str = "text", used: DataFrame | None = None) -> DataFrame:
     """All columns of ``docs`` with ``lang_pred`` and ``lang_score``, the predicted language's share of the odds.
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything where nothing was
     learnt.  Of equal languages the first by name wins.  Added columns replace columns of the same name.
+    ``used`` has the distinct words of ``docs`` as rows ``word, n`` where they have been counted already.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.arrow_udf("struct<lang: string, score: double>")
-    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, tuple[np.ndarray, int]] = {}
-        for texts in batches:
-            langs, score = [], []
-            for i in range(0, len(texts), SLICE):
-                found, shares = predictions(texts.slice(i, SLICE), shared.value, known)
-                langs += found
-                score += shares.tolist()
-            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(score, pa.float64())], ["lang", "score"])
-
-    out = docs.withColumn("__language", predicted(text_col))
-    return out.withColumn("lang_pred", F.col("__language.lang")).withColumn("lang_score", F.col("__language.score")).drop("__language")
+    if not model.langs:
+        return docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("lang_score", F.lit(0.0))
+    digest = F.unhex(F.md5(F.col(text_col).cast("binary")))
+    texts = docs.select(digest.alias("digest"), F.col(text_col).alias("text"))
+    if used is None:
+        used = word_counts(texts.select("text", F.lit(None).cast("string").alias("lang"))).select("word", "n")
+    sums = text_sums(texts, word_scores(used, model), model.columns)
+    total = F.array(*model.columns)
+    best = F.array_max(total)
+    odds = F.aggregate(F.transform(total, lambda x: F.exp((x - best) / SCALE)), F.lit(0.0), lambda a, x: a + x)
+    lang = F.element_at(F.array(*map(F.lit, model.langs)), F.array_position(total, best).cast("int"))
+    results = materialize(sums.where("letters > 0").select("digest", "copies", F.struct(lang.alias("lang"), (1 / odds).alias("score")).alias("found")))
+    # Texts with many copies are few and broadcast, so that no key of the join that deals rows out is frequent.
+    copied = results.where(F.col("copies") >= max(least_count(results, "copies", COPIED), 16)).select(F.col("digest").alias("__digest"), F.col("found").alias("__copied"))
+    own = results.select(F.col("digest").alias("__key"), F.col("found").alias("__found"))
+    # Rows that need no join get a key that is no digest.
+    none = F.monotonically_increasing_id().cast("string").cast("binary")
+    key = F.when(F.col("__copied").isNull() & F.col("__digest").isNotNull(), F.col("__digest")).otherwise(F.concat(F.lit("row ").cast("binary"), none))
+    out = docs.withColumn("__digest", digest).join(F.broadcast(copied), "__digest", "left").withColumn("__key", key).join(own, "__key", "left")
+    found = F.coalesce("__copied", "__found")
+    out = out.withColumn("lang_pred", F.coalesce(found["lang"], F.lit(UNKNOWN))).withColumn("lang_score", F.coalesce(found["score"], F.lit(0.0)))
+    return out.drop("__digest", "__copied", "__key", "__found")
 
 
 def held_out(id_col: Column) -> Column:
@@ -166,6 +292,8 @@ def held_out(id_col: Column) -> Column:
 
 def language_id(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``identify`` for ``docs`` by a model of their own rows that aren't held out, with a column ``held_out``."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    model = fit(rows.where(~held_out(F.col("id"))))
-    return identify(docs, model, text_col=text_col).withColumn("held_out", held_out(F.col(id_col)))
+    lang = F.when(~held_out(F.col(id_col)), F.col(lang_col).cast("string"))
+    counted = materialize(word_counts(docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), lang.alias("lang"))))
+    model = fit_counts(counted.where("lang is not null"))
+    used = counted.groupBy("word").agg(F.sum("n").alias("n"))
+    return identify(docs, model, text_col=text_col, used=used).withColumn("held_out", held_out(F.col(id_col)))
