@@ -155,6 +155,32 @@ def test_toxic_documents_are_found(spark):
     assert got[10_006]["toxicity_predicted"] == got[10_012]["toxicity_predicted"] == 1
 
 
+@pytest.fixture(scope="module")
+def hidden_scores(spark):
+    """Scores of texts by a model of clean and toxic ones in which ``idiot`` and ``scum`` are the toxic words."""
+    filler = "you are an old man and that is what we all think of them when they say so the quick brown fox jumps over lazy dogs".split()
+    rows = [(i, " ".join(filler[(i * 7 + k * (1 + i % 5)) % 25] for k in range(20)) + (f" {('idiot', 'scum')[i % 12 // 6]}" if i % 6 == 0 else ""), int(i % 6 == 0)) for i in range(1500)]
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int")
+
+    def run(texts):
+        docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(10_000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        got = {r["doc_id"]: r["toxicity_score"] for r in toxicity.toxicity(docs, labels).collect()}
+        return [got[10_000 + i] for i in range(len(texts))]
+
+    return run
+
+
+def test_hidden_words_of_any_length_score(hidden_scores):
+    sentence = "you are an idiot and that is what we all think of them"
+    spaced = " ".join(sentence.replace(" ", ""))
+    dotted = ".".join(["quick", "brown", "fox", "jumps", "over", "lazy", "dogs", "1d10t"] * 3)
+    bad = [spaced, spaced.replace("i d i o t ", "") + " " + " ".join("scum"), "idi" + "o" * 80 + "t", ".".join("idi" + "o" * 60 + "t"), dotted, "-".join(["brown"] * 15) + "-1d10t"]
+    good = [" ".join("youareanoldmanandthatiswhatweallthinkofthem"), "a" * 100, "quick." * 20, "x" * 70 + "1"]
+    got = hidden_scores(bad + good)
+    assert [t for t, s in zip(bad, got, strict=False) if s < toxicity.THRESHOLD] == []
+    assert [t for t, s in zip(good, got[len(bad):], strict=True) if s >= toxicity.THRESHOLD] == []
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs):
     labels = spark.createDataFrame([(1, 1), (5, None), (None, 1), (7, 0), (7, 1)], "doc_id long, toxic int")
     rows = toxicity.toxicity(odd_docs, labels).collect()

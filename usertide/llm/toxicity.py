@@ -46,6 +46,8 @@ LEET = {
 }
 SEPARATORS = " .-_*~'"
 LEET_COST, KEEP_COST, DROP_COST, SHRINK_COST = -1.5, -6.0, -0.7, -0.7
+#: A space in a spaced run may be a border of words as well as one of letters.
+BORDER_COST = -0.7
 
 #: The model's alphabet: 0 is everything outside words, the last code any other letter.
 LETTERS = [c for c in map(chr, range(0x180)) if c.isalpha() and c == c.lower() and unicodedata.category(c) != "Lo"]
@@ -56,8 +58,11 @@ WORD = re.compile(r"[^\W\d_]+")
 #: A token with leet characters beside a letter, separators between single letters, or three of a letter.
 SUSPECT = re.compile(r"[^\W\d_][0-9@$!|+€£µ*]|[0-9@$|+€£µ*][^\W\d_]|(?<!\w)[^\W\d_](?:[.\-_*~'][^\W\d_]){2,}(?!\w)")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
+#: A repeated letter whose occurrences are separated.
+APART = re.compile(r"([^\W\d_])(?:[ .\-_*~']\1){2,}")
+#: What stands between the words that are glued into one token: everything that can't stand for a letter.
+MARKS = re.compile(r"[^\w@$!|+(€£µ*]+|[_*]+")
 EDGE = " .,;:?!\"'()[]{}<>-_*~"
-LONGEST = 64
 
 
 def code_table() -> np.ndarray:
@@ -113,7 +118,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         if c.isalpha():
             options = [(c * k, SHRINK_COST * (k < n)) for k in {1, min(2, n), n}]
         else:
-            options.append((m[0], KEEP_COST))
+            options.append((m[0], KEEP_COST if c != " " else BORDER_COST))
             if c in LEET:
                 options += [(x * k, LEET_COST * n + SHRINK_COST * (k < n)) for x in LEET[c] for k in {1, min(2, n)}]
             if c in SEPARATORS:
@@ -123,28 +128,35 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 
 def decode(token: str, model: np.ndarray, beam: int = 64) -> str:
-    """The likeliest reading of a token: Viterbi over its lattice, states being the last two letters."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    """The likeliest reading of a token of any length: Viterbi over its lattice, states being the last two letters.
+
+    A state holds its reading as a chain of pieces, so that a step costs the same wherever it is.
+    """
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     for options in lattice(token):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
-            for out, cost in options:
+        after: dict[tuple[int, int], tuple[float, tuple]] = {}
+        coded = [(out, cost, [CODES.get(c, SIZE - 1 if c.isalpha() else 0) for c in out]) for out, cost in options]
+        for (a, b), (score, chain) in states.items():
+            for out, cost, codes in coded:
                 x, y, s = a, b, score + cost
-                for c in out:
-                    z = CODES.get(c, SIZE - 1 if c.isalpha() else 0)
+                for z in codes:
                     if z or y:
-                        s += float(model[x, y, z])
+                        s += model.item(x, y, z)
                         x, y = y, z
                 if (x, y) not in after or s > after[x, y][0]:
-                    after[x, y] = (s, text + out)
-        states = dict(sorted(after.items(), key=lambda i: (-i[1][0], i[1][1]))[:beam])
-    ends = ((s + float(model[a, b, 0]) * (b > 0), text) for (a, b), (s, text) in states.items())
-    return min(ends, key=lambda e: (-e[0], e[1]), default=(0, ""))[1]
+                    after[x, y] = (s, (chain, out))
+        states = after if len(after) <= beam else dict(sorted(after.items(), key=lambda i: (-i[1][0], i[0]))[:beam])
+    _, _, chain = min(((-s - model.item(a, b, 0) * (b > 0), (a, b), chain) for (a, b), (s, chain) in states.items()), key=lambda e: e[:2])
+    text = []
+    while chain:
+        chain, out = chain
+        text.append(out)
+    return "".join(reversed(text))
 
 
 def suspect(token: str) -> bool:
-    """Whether a token may hide a word; longer ones than ``LONGEST`` don't."""
-    return len(token) <= LONGEST and not token.isalpha() and bool(SUSPECT.search(token.strip(EDGE))) or len(token) <= LONGEST and bool(REPEATED.search(token))
+    """Whether a token may hide a word."""
+    return not token.isalpha() and bool(SUSPECT.search(token.strip(EDGE))) or bool(REPEATED.search(token))
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -161,7 +173,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     single = np.array([len(t) == 1 and t.isalpha() for t in vocabulary], bool)[code] if vocabulary else np.empty(0, bool)
     at = np.flatnonzero(single)
     runs = np.split(at, np.flatnonzero((np.diff(at) > 1) | (np.diff(row[at]) > 0)) + 1) if len(at) > 2 else []
-    spaced = [(row[r[0]], " ".join(vocabulary[code[i]] for i in r)) for r in runs if 3 <= len(r) <= LONGEST // 2]
+    spaced = [(row[r[0]], " ".join(vocabulary[code[i]] for i in r)) for r in runs if len(r) >= 3]
     key = np.unique(row * max(len(vocabulary), 1) + code)
     row, code = np.divmod(key, max(len(vocabulary), 1))
     row = np.concatenate([row, np.array([r for r, _ in spaced], np.int64)])
@@ -198,7 +210,14 @@ def bound(toxic: float, clean: float, sure: float = SURE) -> float:
 
 
 def words(token: str, model: np.ndarray) -> list[str]:
-    return WORD.findall(reading(token, model))
+    """The words of a token's reading, and of the readings of its pieces between marks where it has several."""
+    found = WORD.findall(reading(token, model))
+    pieces = [] if " " in token or not suspect(token) else [x for x in MARKS.split(token) if x]
+    if len(pieces) > 1:
+        found += [w for x in pieces for w in WORD.findall(reading(x, model))]
+    if APART.search(token):
+        found += WORD.findall(decode(APART.sub(lambda m: m[0][::2], token), model))
+    return found
 
 
 def strength(word: str, evidence: dict[str, float]) -> float:
