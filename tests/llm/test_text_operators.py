@@ -181,6 +181,14 @@ def test_hidden_words_of_any_length_score(hidden_scores):
     assert [t for t, s in zip(good, got[len(bad):], strict=True) if s >= toxicity.THRESHOLD] == []
 
 
+def test_every_form_of_the_lattice_scores(hidden_scores):
+    bad = ["so s(um they", "an !d1ot.", "(!d1ot!)", "1 d 1 0 t", "an i d 1 o t !", "1.d.1.0.t", "i - d - 1 - 0 - t", "an iidiot", "iddiiott", "(scum", "idi-ot", "(idiot!)", "5cum!", "$(um"]
+    good = ["(see that)", "well-known don't they!", "1 2 3 4 a 5", "x + y", "all see books", "| a | b |", "f(x) + 1"]
+    got = hidden_scores(bad + good)
+    assert [t for t, s in zip(bad, got, strict=False) if s < toxicity.THRESHOLD] == []
+    assert [t for t, s in zip(good, got[len(bad):], strict=True) if s >= toxicity.THRESHOLD] == []
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs):
     labels = spark.createDataFrame([(1, 1), (5, None), (None, 1), (7, 0), (7, 1)], "doc_id long, toxic int")
     rows = toxicity.toxicity(odd_docs, labels).collect()

@@ -56,13 +56,18 @@ SIZE = len(LETTERS) + 2
 
 WORD = re.compile(r"[^\W\d_]+")
 #: A token with leet characters beside a letter, separators between single letters, or three of a letter.
-SUSPECT = re.compile(r"[^\W\d_][0-9@$!|+€£µ*]|[0-9@$|+€£µ*][^\W\d_]|(?<!\w)[^\W\d_](?:[.\-_*~'][^\W\d_]){2,}(?!\w)")
+SUSPECT = re.compile(r"[^\W\d_][0-9@$!|+(€£µ*]|[0-9@$|+(€£µ*][^\W\d_]|(?<!\w)[^\W\d_](?:[.\-_*~'][^\W\d_]){2,}(?!\w)")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 #: A repeated letter whose occurrences are separated.
 APART = re.compile(r"([^\W\d_])(?:[ .\-_*~']\1){2,}")
 #: What stands between the words that are glued into one token: everything that can't stand for a letter.
 MARKS = re.compile(r"[^\w@$!|+(€£µ*]+|[_*]+")
 EDGE = " .,;:?!\"'()[]{}<>-_*~"
+#: What can stand for no letter at an edge; the rest of ``EDGE`` is tried as a letter too.
+BARE = "".join(c for c in EDGE if c not in LEET)
+LETTER = re.compile(r"[^\W\d_]")
+HIDING = re.compile(r"([^\W\d_])\1|[" + re.escape("".join(LEET) + SEPARATORS) + "]")
+MEMBERS = set(LEET) | set(SEPARATORS)
 
 
 def code_table() -> np.ndarray:
@@ -163,17 +168,24 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """The distinct (row, token) pairs of lower-cased texts as two arrays, and the tokens they number.
 
     Tokens stand between white space; a run of three and more single letters is a token of its own, its
-    letters joined by spaces, beside the letters.
+    letters joined by spaces, beside the letters.  So is a run of single letters, leet characters and
+    separators with a letter among them.
     """
     split = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
     values = split.flatten()
     row = np.repeat(np.arange(len(split)), np.diff(split.offsets.to_numpy()))
     coded = values.dictionary_encode()
     vocabulary, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-    single = np.array([len(t) == 1 and t.isalpha() for t in vocabulary], bool)[code] if vocabulary else np.empty(0, bool)
-    at = np.flatnonzero(single)
-    runs = np.split(at, np.flatnonzero((np.diff(at) > 1) | (np.diff(row[at]) > 0)) + 1) if len(at) > 2 else []
-    spaced = [(row[r[0]], " ".join(vocabulary[code[i]] for i in r)) for r in runs if len(r) >= 3]
+
+    def runs(fits: list[bool]) -> list[np.ndarray]:
+        at = np.flatnonzero(np.array(fits, bool)[code]) if vocabulary else np.empty(0, np.int64)
+        cut = np.split(at, np.flatnonzero((np.diff(at) > 1) | (np.diff(row[at]) > 0)) + 1) if len(at) > 2 else []
+        return [r for r in cut if len(r) >= 3]
+
+    letters = [len(t) == 1 and t.isalpha() for t in vocabulary]
+    members = [x or t in MEMBERS for t, x in zip(vocabulary, letters, strict=True)]
+    mixed = [r for r in runs(members) if 0 < sum(letters[code[i]] for i in r) < len(r)]
+    spaced = [(row[r[0]], " ".join(vocabulary[code[i]] for i in r)) for r in runs(letters) + mixed]
     key = np.unique(row * max(len(vocabulary), 1) + code)
     row, code = np.divmod(key, max(len(vocabulary), 1))
     row = np.concatenate([row, np.array([r for r, _ in spaced], np.int64)])
@@ -210,11 +222,21 @@ def bound(toxic: float, clean: float, sure: float = SURE) -> float:
 
 
 def words(token: str, model: np.ndarray) -> list[str]:
-    """The words of a token's reading, and of the readings of its pieces between marks where it has several."""
+    """The words of a token's readings.
+
+    Beside the main reading there are those of its pieces between marks, where it has several, and those the
+    lattice has for doubled letters, for leet characters at the edges and for any separators: they add words
+    to a clean token's own and take none away.
+    """
     found = WORD.findall(reading(token, model))
     pieces = [] if " " in token or not suspect(token) else [x for x in MARKS.split(token) if x]
     if len(pieces) > 1:
         found += [w for x in pieces for w in WORD.findall(reading(x, model))]
+    if " " not in token and LETTER.search(token):
+        core = token.strip(BARE)
+        cores = {core, core.lstrip(EDGE), core.rstrip(EDGE), core.strip(EDGE)}
+        done = {core.strip(EDGE)} if suspect(token) else set()
+        found += [w for x in sorted(cores - done) if HIDING.search(x) for w in WORD.findall(decode(x, model))]
     if APART.search(token):
         found += WORD.findall(decode(APART.sub(lambda m: m[0][::2], token), model))
     return found
