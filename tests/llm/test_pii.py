@@ -74,6 +74,29 @@ def test_surrogates_are_drawn_again_until_distinct(spark, monkeypatch):
     assert got == {"a": "same", "b": "b1", "c": "c1", "d": "d1"}
 
 
+def test_labelled_secrets_are_masked_whole(spark):
+    texts = {
+        '{"password": "hunter2024", "user": "joe"}': r'\{"password": "[a-z]{6}\d{4}", "user": "joe"\}',
+        "password=p@ss!word9 is set": r"password=[a-z]@[a-z]{2}![a-z]{4}\d is set",
+        "password=hunter2024!Xy9 is set": r"password=[a-z]{6}\d{4}![A-Z][a-z]\d is set",
+        "pwd: ab1 then": r"pwd: [a-z]{2}\d then",
+        "'api_key': 'it is mine 77', 5": r"'api_key': '[a-z]{2} [a-z]{2} [a-z]{4} \d{2}', 5",
+        "token => \"пароль-Жук9\" end": r'token => "[a-z]{6}-[A-Z][a-z]{2}\d" end',
+        "secret: it's9 end": r"secret: [a-z]{2}'[a-z]\d end",
+        'password = "open': r'password = "[a-z]{4}',
+        'password="" and token = \'\'': r'password="" and token = \'\'',
+        r'"token":"a\"b7" x': r'"token":"[a-z]\\"[a-z]\d" x',
+    }
+    for (text, want), got in zip(texts.items(), replaced(spark, list(texts)), strict=True):
+        assert re.fullmatch(want, got) and (got != text or '""' in text), (text, got)
+
+
+def test_short_secrets_end_and_change(spark):
+    text = " ".join(f"token: {x} pwd={x}{x}" for x in "0123456789abcdefghijklmnopqrstuvwxyz")
+    (out,) = replaced(spark, [text])
+    assert len(out) == len(text) and all(a != b for a, b in zip(re.findall(r"[:=] ?(\w+)", text), re.findall(r"[:=] ?(\w+)", out), strict=True))
+
+
 @pytest.mark.parametrize("text", ["Version 2.0. of 1999", "10 - 20 | 30", "3.", "www.x.org 12.5 %", "Mr. and Mrs.", "a@b"])
 def test_clean_texts_stay(spark, text):
     assert replaced(spark, [text]) == [text]

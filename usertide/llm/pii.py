@@ -29,10 +29,16 @@ ENDINGS = {
 
 NAME = r"(?:\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?|\p{Lu}{2,})(?![\p{L}\p{N}])"
 TITLE = "(?:" + "|".join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True)) + r")\.? "
-LABEL = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]{0,2}[=:][ ]{0,2}[\"']?"
+#: Secrets with fewer letters and digits have no surrogates of their own length to spare.
+SHORT = 8
+#: A label with its closing quote, the sign between, and the value's opening quote.
+LABEL = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?[ ]{0,2}(?::=|=>|={1,3}|:)[ ]{0,2}[\"']?"
+UNQUOTED = LABEL.removesuffix(r"[\"']?")
+#: A value goes up to its closing quote, whatever it holds, or where none is open up to white space.
+VALUE = r"""(?:"(?:[^"\\\r\n]|\\.)++(?="|\z)|'(?:[^'\\\r\n]|\\.)++(?='|\z)|(?![\"']{2})["']?\S+)"""
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "secret": r"(?<![A-Za-z0-9_])" + LABEL + r"[A-Za-z0-9+/_-]{8,}",
+    "secret": r"(?<![A-Za-z0-9_])" + UNQUOTED + VALUE,
     "access": r"(?<![A-Za-z0-9])A(?:KI|SI)A[0-9A-Z]{16}(?![A-Za-z0-9])",
     "hex": r"(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -83,7 +89,7 @@ def pieces(raw: Column) -> Column:
     plain = F.lower(F.regexp_replace(raw, "[^A-Za-z0-9]", ""))
     return (
         F.when(kind == "name", whole)
-        .when(kind == "secret", F.array(piece(None, None, label), piece(kind, F.lower(F.regexp_replace(value, "[^A-Za-z0-9]", "")), value)))
+        .when(kind == "secret", F.array(piece(None, None, label), piece(kind, F.lower(F.regexp_replace(value, r"[^\p{L}\p{N}]", "")), value)))
         .when(kind.isin("email", "ip"), alone(F.lower(raw)))
         .otherwise(alone(plain))
         .cast(PIECE)
@@ -117,6 +123,20 @@ def masked(kind: Column, key: Column, stream: Column) -> Column:
     return F.array_join(F.transform(F.split(key, ""), char), "")
 
 
+def shifted(key: Column, stream: Column) -> Column:
+    """``masked`` with no character as it was, and digits of the stream behind it.
+
+    There are fewer short strings than short secrets may need, so only the whole is distinct; what is shown, its
+    beginning, still differs from the original.
+    """
+
+    def moved(values: str, c: Column, i: Column) -> Column:
+        return one_of(values, F.pmod(F.position(c, F.lit(values)) + number(stream, i, len(values) - 1), F.lit(len(values))))
+
+    char = lambda c, i: F.when(c.rlike("[0-9]"), moved("0123456789", c, i)).otherwise(moved("abcdefghijklmnopqrstuvwxyz", c, i))
+    return F.concat(F.array_join(F.transform(F.split(key, ""), char), ""), F.substring(stream, 41, 16))
+
+
 def check_digit(body: Column) -> Column:
     """The Luhn digit that follows the digits of ``body``."""
     total = F.aggregate(
@@ -147,6 +167,7 @@ def surrogate(kind: Column, key: Column, attempt: Column, stream: Column) -> Col
     out = (
         F.when(kind == "email", F.concat(local, F.lit("@"), domain))
         .when(kind == "ip", ip)
+        .when((kind == "secret") & (size < SHORT), shifted(key, stream))
         .when(kind == "card", F.concat(card, check_digit(card)))
         .when(kind == "phone", phone)
         .when(kind == "ssn", F.concat(F.lit("9"), mask.substr(F.lit(2), size)))
@@ -169,8 +190,8 @@ def formatted(kind: Column, raw: Column, value: Column) -> Column:
 
     def step(acc: Column, c: Column) -> Column:
         own = F.substring(value, acc["at"] + 1, F.lit(1))
-        own = F.when(c.rlike("[A-Z]"), F.upper(own)).otherwise(own)
-        fits = c.rlike("[A-Za-z0-9]")
+        own = F.when(c.rlike(r"\p{Lu}"), F.upper(own)).otherwise(own)
+        fits = c.rlike("[A-Za-z0-9]") | ((kind == "secret") & c.rlike(r"[\p{L}\p{N}]"))
         return F.struct(F.concat(acc["text"], F.when(fits, own).otherwise(c)).alias("text"), (acc["at"] + F.when(fits, 1).otherwise(0)).alias("at"))
 
     filled = F.aggregate(F.split(raw, ""), F.struct(F.lit("").alias("text"), F.lit(0).alias("at")), step, lambda acc: acc["text"])
