@@ -97,6 +97,27 @@ def test_short_secrets_end_and_change(spark):
     assert len(out) == len(text) and all(a != b for a, b in zip(re.findall(r"[:=] ?(\w+)", text), re.findall(r"[:=] ?(\w+)", out), strict=True))
 
 
+def test_names_of_any_number_of_parts(spark):
+    out = replaced(spark, [
+        "Mr John Michael Smith met Mr John Smith.",
+        "Mr John F. Kennedy and Frau Anna von Berg, Herr von Berg",
+        "Mr McDonald, Mr O'Brien and Dr Anna Weber; Frau Anna Weber, Prof. Dr. Anna Weber",
+        "Monsieur d'Artagnan Mme Jean-Luc de la Tour",
+        "Mr " + "Foo " * 5000 + "ends",
+        "господин Иван Петрович Сидоров и Herr Müller Frau Müller",
+    ])
+    for name in "John Michael Smith Kennedy F. Anna Berg McDonald Brien Weber Artagnan Luc Tour Foo Иван Петрович Сидоров Müller".split():
+        assert not any(name in t for t in out), name
+    a, b, c, d, e = re.fullmatch(r"Mr (\w+n) (\w+n) (\w+sen) met Mr (\w+) (\w+)\.", out[0]).groups()
+    assert (a, c) == (d, e) and a != b
+    f, g, h, i = re.fullmatch(r"Mr (\w+) [A-Z]\. (\w+sen) and Frau (\w+lia) von (\w+sen), Herr von \4", out[1]).groups()
+    assert f == a and len({f, g, h, i}) == 4
+    anna, weber = re.fullmatch(r"Mr \w+sen, Mr \w+sen and Dr (\w+lia) (\w+sen); Frau \1 \2, Prof. Dr. \1 \2", out[2]).groups()
+    assert anna == h and weber not in (g, i)
+    assert re.fullmatch(r"Monsieur \w+sen Mme \w+ de la \w+sen", out[3]) and re.fullmatch(r"Mr (\w+ ){5000}ends", out[4])
+    assert re.fullmatch(r"господин [А-Я]\w+н [А-Я]\w+н [А-Я]\w+ко и Herr (\w+sen) Frau \1", out[5])
+
+
 @pytest.mark.parametrize("text", ["Version 2.0. of 1999", "10 - 20 | 30", "3.", "www.x.org 12.5 %", "Mr. and Mrs.", "a@b"])
 def test_clean_texts_stay(spark, text):
     assert replaced(spark, [text]) == [text]

@@ -18,17 +18,27 @@ from usertide.session import materialize
 MALE = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Don", "Signor", "господин", "Господин", "г-н")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Señora", "Señorita", "Sra", "Doña", "Signora", "госпожа", "Госпожа", "г-жа")
 NEUTRAL = ("Dr", "Prof")
+#: Words within a name that start small; they stay.
+PARTICLES = (
+    "von", "van", "vom", "zu", "zum", "zur", "der", "den", "de", "het", "ten", "ter", "del", "della", "dello", "dei", "degli", "di", "da", "das", "do",
+    "dos", "du", "des", "la", "le", "las", "los", "y", "e", "i", "und", "af", "av", "al", "el", "bin", "bint", "ibn", "ben", "фон", "де", "ван", "дер", "оглы",
+)
 SYLLABLES = {
     "latin": ["ba", "bel", "bo", "cor", "da", "del", "do", "fa", "fin", "ga", "hel", "jo", "ka", "lan", "mar", "mi", "na", "nor", "pe", "ra", "ros", "sa", "tor", "vi"],
     "cyrillic": ["ба", "бел", "бо", "вор", "да", "дел", "до", "фа", "фин", "га", "гел", "жо", "ка", "лан", "мар", "ми", "на", "нор", "пе", "ра", "рос", "са", "тор", "ви"],
 }
 ENDINGS = {
-    ("latin", "m"): "n", ("latin", "f"): "lia", ("latin", "x"): "ri", ("latin", "s"): "sen",
-    ("cyrillic", "m"): "н", ("cyrillic", "f"): "лия", ("cyrillic", "x"): "ри", ("cyrillic", "s"): "ко",
+    ("latin", "m"): "n", ("latin", "f"): "lia", ("latin", "x"): "ri", ("latin", "s"): "sen", ("latin", "i"): "",
+    ("cyrillic", "m"): "н", ("cyrillic", "f"): "лия", ("cyrillic", "x"): "ри", ("cyrillic", "s"): "ко", ("cyrillic", "i"): "",
 }
 
-NAME = r"(?:\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?|\p{Lu}{2,})(?![\p{L}\p{N}])"
 TITLE = "(?:" + "|".join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True)) + r")\.? "
+#: One part of a name, with inner capitals, apostrophes and hyphens, or an initial; possessive, so that long names need no stack.
+INITIAL = r"\p{Lu}\.(?!\p{L})"
+NAME = r"(?:" + INITIAL + r"|(?:[dlDL]['’]|(?:al|el|ibn|ben)-)?\p{Lu}[\p{L}\p{M}]*+(?:['’-][\p{L}][\p{L}\p{M}]*+)*+(?![\p{L}\p{N}]))"
+SMALL = "(?:(?:" + "|".join(sorted(PARTICLES, key=len, reverse=True)) + ") )"
+NAMES = f"{SMALL}{{0,3}}{NAME}(?: (?!{TITLE}){SMALL}{{0,3}}{NAME})*+"
+TITLES = f"(?:{TITLE}){{1,4}}"
 #: Secrets with fewer letters and digits have no surrogates of their own length to spare.
 SHORT = 8
 #: A label with its closing quote, the sign between, and the value's opening quote.
@@ -46,17 +56,17 @@ PATTERNS = {
     "card": r"(?<![0-9])(?:[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}|(?:1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4})(?![0-9])",
-    "name": r"(?<![\p{L}])" + TITLE + NAME + f"(?: {NAME})?",
+    "name": r"(?<![\p{L}])" + TITLES + NAMES,
 }
 ENTITY = "|".join(PATTERNS.values())
 #: Every entity but a name holds one of these; most texts hold none, and one look tells.
 SIGNS = r"[0-9@=:]|A[KS]IA|[a-f]{32}"
-PIECE = "array<struct<kind: string, key: string, raw: string>>"
+PIECE = "array<struct<kind: string, key: string, raw: string, gender: string>>"
 
 
-def piece(kind: Column | str | None, key: Column | None, raw: Column) -> Column:
+def piece(kind: Column | str | None, key: Column | None, raw: Column, gender: Column | None = None) -> Column:
     text = lambda x: F.lit(x).cast("string") if x is None or isinstance(x, str) else x.cast("string")
-    return F.struct(text(kind).alias("kind"), text(key).alias("key"), raw.alias("raw"))
+    return F.struct(text(kind).alias("kind"), text(key).alias("key"), raw.alias("raw"), text(gender).alias("gender"))
 
 
 def kind_of(raw: Column) -> Column:
@@ -73,19 +83,25 @@ def pieces(raw: Column) -> Column:
     alone = lambda key: F.array(piece(kind, key, raw))
     label = F.regexp_extract(raw, f"^{LABEL}", 0)
     value = raw.substr(F.length(label) + 1, F.length(raw))
-    title = F.regexp_extract(raw, f"^{TITLE}", 0)
-    names = raw.substr(F.length(title) + 1, F.length(raw))
-    given = F.regexp_extract(names, f"^({NAME}) ", 1)
-    last = F.regexp_extract(names, f"({NAME})$", 1)
-    bare = F.regexp_replace(title, r"\.? $", "")
-    gender = F.when(bare.isin(*MALE), "m").when(bare.isin(*FEMALE), "f").otherwise("x")
-    script = lambda x: F.when(x.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    whole = F.array(
-        piece(None, None, title),
-        piece(F.when(given != "", F.concat(F.lit("name-"), script(given), F.lit("-"), gender)), F.lower(given), given),
-        piece(None, None, F.when(given != "", F.lit(" ")).otherwise(F.lit(""))),
-        piece(F.concat(F.lit("name-"), script(last), F.lit("-s")), F.lower(last), last),
-    )
+    title = F.regexp_extract(raw, f"^{TITLES}", 0)
+    names = F.split(raw.substr(F.length(title) + 1, F.length(raw)), " ")
+    bare = F.split(F.regexp_replace(title, r"\.? ", " "), " ")
+    has = lambda titles: F.arrays_overlap(bare, F.array(*map(F.lit, titles)))
+    gender = F.when(has(MALE) & ~has(FEMALE), "m").when(has(FEMALE) & ~has(MALE), "f").otherwise("x")
+
+    def named(part: Column, i: Column) -> Column:
+        script = F.when(part.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+        initial = part.rlike(r"^\p{Lu}\.?$")
+        role = F.when(initial, "i").when(i == F.size(names) - 1, "s").otherwise("g")
+        own = F.regexp_replace(part, r"\.$", "")
+        kind = F.when(~part.isin(*PARTICLES), F.concat(F.lit("name-"), script, F.lit("-"), role))
+        return F.array(
+            piece(None, None, F.when(i > 0, F.lit(" ")).otherwise(F.lit(""))),
+            piece(kind, F.lower(own), own, F.when(role == "g", gender)),
+            piece(None, None, F.when(part.endswith("."), F.lit(".")).otherwise(F.lit(""))),
+        )
+
+    whole = F.concat(F.array(piece(None, None, title)), F.flatten(F.transform(names, named)))
     plain = F.lower(F.regexp_replace(raw, "[^A-Za-z0-9]", ""))
     return (
         F.when(kind == "name", whole)
@@ -195,7 +211,10 @@ def formatted(kind: Column, raw: Column, value: Column) -> Column:
         return F.struct(F.concat(acc["text"], F.when(fits, own).otherwise(c)).alias("text"), (acc["at"] + F.when(fits, 1).otherwise(0)).alias("at"))
 
     filled = F.aggregate(F.split(raw, ""), F.struct(F.lit("").alias("text"), F.lit(0).alias("at")), step, lambda acc: acc["text"])
-    name = F.when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(value)).otherwise(F.initcap(value))
+    # Initials are fewer than the names they stand for: one shows a letter of its value, never its own.
+    first = F.upper(F.substring(value, 1, 1))
+    initial = F.when(first == raw, F.upper(F.substring(value, 2, 1))).otherwise(first)
+    name = F.when(kind.endswith("-i"), initial).when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(value)).otherwise(F.initcap(value))
     return F.when(kind.startswith("name-"), name).when(kind.isin("email", "ip"), F.when(raw == F.upper(raw), F.upper(value)).otherwise(value)).otherwise(filled)
 
 
@@ -221,6 +240,18 @@ def surrogates(entities: DataFrame, secret: str) -> DataFrame:
     return done if done is not None else pending.select("kind", "key", F.lit(None).cast("string").alias("value"))
 
 
+def resolved(parts: DataFrame) -> DataFrame:
+    """Rows ``kind, key`` of the distinct entities; a given name's kind ends in the gender of all its mentions.
+
+    Mentions without a gender follow the others; a name of both has neither, so it keeps one surrogate.
+    """
+    held = lambda g: F.max(F.coalesce(F.col("gender") == g, F.lit(False)))
+    each = parts.where("kind is not null and key is not null").groupBy("kind", "key").agg(held("m").alias("m"), held("f").alias("f"))
+    gender = F.when(F.col("m") & ~F.col("f"), "m").when(F.col("f") & ~F.col("m"), "f").otherwise("x")
+    given = F.col("kind").startswith("name-") & F.col("kind").endswith("-g")
+    return each.select(F.when(given, F.concat(F.regexp_replace("kind", "g$", ""), gender)).otherwise(F.col("kind")).alias("kind"), "key")
+
+
 def has_entities(text: Column) -> Column:
     """Whether ``ENTITY`` is found in a text; the long patterns run only where a cheap sign of them stands."""
     most = "|".join(pattern for kind, pattern in PATTERNS.items() if kind != "name")
@@ -243,8 +274,7 @@ def replace_pii(docs: DataFrame, *, text_col: str = "text", secret: str = "surro
     held = docs.where(has).withColumn("__digest", F.md5(text.cast("binary")))
     texts = materialize(held.select("__digest", F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)).alias("__found")).dropDuplicates(["__digest"]))
     parts = materialize(texts.select("__digest", F.posexplode("__found").alias("i", "match")).select("__digest", "i", F.posexplode(pieces(F.col("match"))).alias("j", "p")).select("__digest", "i", "j", "p.*"))
-    entities = parts.where("kind is not null and key is not null").groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n"))
-    value = surrogates(entities, secret)
+    value = surrogates(resolved(parts), secret).withColumn("kind", F.regexp_replace("kind", "^(name-.*-)[mfx]$", "$1g"))
     known = parts.join(value, ["kind", "key"], "left")
     out = F.when(F.col("value").isNull(), F.col("raw")).otherwise(formatted(F.col("kind"), F.col("raw"), F.col("value")))
     joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(c, "out"))), lambda x: x["out"]), "")
