@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usertide.llm import archives, bpe, decontamination, language_id, near_duplicates, pii, token_lengths, toxicity, url_filters, vectors
+from usertide.llm import alignment, archives, bpe, decontamination, exact_dedup, language_id, near_duplicates, pii, spelling, token_lengths, toxicity, url_filters, vectors
 from usertide.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,31 @@ def op10(table: Callable) -> DataFrame:
     ranks = bpe.load_ranks(rank_file())
     coded = bpe.decode(bpe.encode(table("documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN), ranks)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(bpe.packed("ids"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op11_token_alignment")
+def op11(table: Callable) -> DataFrame:
+    a_path, b_path = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = alignment.aligned_with_counts(table("documents").select("doc_id", "text"), a_path, b_path, keep=["doc_id"])
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query("op12_spelling_variants")
+def op12(table: Callable) -> DataFrame:
+    return spelling.spelling_variants(table("documents").select("doc_id", "text"))
+
+
+OP13_SQL = r"""
+WITH t AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256
+FROM t
+"""
+
+
+@query("op13_exact_duplicates", OP13_SQL)
+def op13(table: Callable) -> DataFrame:
+    rows = exact_dedup.fingerprint(table("documents").select("doc_id", "text")).select("doc_id", "text_sha256")
+    return exact_dedup.exact_duplicates(rows).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
