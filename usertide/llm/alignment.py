@@ -13,6 +13,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -81,7 +82,15 @@ def tokenizers(a_file: bytes, b_file: bytes) -> Tokenizers:
 def flattened(lists: list) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, and where each text's begin and the last one's end."""
     ends = np.cumsum([0, *map(len, lists)])
-    return np.fromiter((i for ids in lists for i in ids), np.int64, int(ends[-1])), ends
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(ends[-1])), ends
+
+
+def chosen(ids: np.ndarray, ends: np.ndarray, fit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the texts that fit."""
+    if fit.all():
+        return ids, ends
+    sizes = np.diff(ends)
+    return ids[np.repeat(fit, sizes)], np.concatenate([[0], np.cumsum(sizes[fit])])
 
 
 def same_bytes(pieces: pa.Array, sizes: np.ndarray, ids: np.ndarray, ends: np.ndarray, wanted: list[bytes]) -> np.ndarray:
@@ -188,19 +197,18 @@ def align_texts(both: Tokenizers, texts: list[str | None], spans: bool) -> list[
     """The result columns of some texts."""
     rows = len(texts)
     full = [i for i, t in enumerate(texts) if t]
-    a_lists, b_lists = both.encode([texts[i] for i in full])
+    sides = [flattened(lists) for lists in both.encode([texts[i] for i in full])]
     wanted = [(" " + texts[i]).encode("utf-8") for i in full]
     fit = np.ones(len(full), bool)
-    for lists, pieces, sizes in zip((a_lists, b_lists), both.bytes, both.sizes):
-        fit &= same_bytes(pieces, sizes, *flattened(lists), wanted)
-    kept = np.flatnonzero(fit)
-    row_of = np.array(full, np.int64)[kept]
-    (a_ids, a_at), (b_ids, b_at) = (flattened([lists[i] for i in kept]) for lists in (a_lists, b_lists))
+    for side, pieces, sizes in zip(sides, both.bytes, both.sizes):
+        fit &= same_bytes(pieces, sizes, *side, wanted)
+    row_of = np.array(full, np.int64)[fit]
+    (a_ids, a_at), (b_ids, b_at) = (chosen(*side, fit) for side in sides)
     a_ends, b_ends = np.cumsum(both.sizes[0][a_ids]), np.cumsum(both.sizes[1][b_ids])
     numbers, digests = np.zeros((4, rows), np.int64), np.full(rows, "", object)
     text = pair = times = group_row = np.zeros(0, np.int64)
     groups = (np.zeros(0, np.int64),) * 4
-    if len(kept):
+    if len(row_of):
         groups = lockstep(a_ends, b_ends, *lanes(a_ends, b_ends, a_at, b_at))
         group_row = row_of[np.searchsorted(a_at, groups[0], side="right") - 1]
         text, pair, times = links(a_ids, b_ids, groups, group_row)
@@ -213,7 +221,7 @@ def align_texts(both: Tokenizers, texts: list[str | None], spans: bool) -> list[
     if spans:
         a_row, b_row = np.repeat(row_of, np.diff(a_at)), np.repeat(row_of, np.diff(b_at))
         place = np.searchsorted(row_of, group_row)
-        cuts = [(groups[1] - a_at[place], group_row), (groups[3] - b_at[place], group_row)] if len(kept) else [(group_row, group_row)] * 2
+        cuts = [(groups[1] - a_at[place], group_row), (groups[3] - b_at[place], group_row)] if len(row_of) else [(group_row, group_row)] * 2
         out += [listed(pa.array(v.astype(np.int32)), r, rows) for v, r in [(a_ids, a_row), (b_ids, b_row), *cuts]]
     return out
 
