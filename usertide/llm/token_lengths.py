@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from usertide.llm.bpe import encode
+from usertide.session import materialize
 
 #: Lengths per block of the running sums.
 BLOCK = 1024
@@ -28,9 +29,10 @@ def histogram(counts: DataFrame, length_col: str = "n_tokens") -> DataFrame:
     ``n_docs`` have this length, ``docs_longer`` more; ``docs_up_to`` and ``tokens_up_to`` count documents of
     this length and shorter; ``tokens_truncated`` is the total if this length were the limit.  Null lengths
     are left out; no rows give none.  Sums run within blocks of lengths and over the blocks' totals, so
-    neither window holds more than a block or the number of blocks.
+    neither window holds more than a block or the number of blocks.  The counts are stored once, as both the
+    rows and the blocks read them; nothing above them asks for a document's length again.
     """
-    rows = counts.where(F.col(length_col).isNotNull()).groupBy(F.col(length_col).cast("long").alias("length")).agg(F.count(F.lit(1)).alias("n_docs"))
+    rows = materialize(counts.groupBy(F.col(length_col).cast("long").alias("length")).agg(F.count(F.lit(1)).alias("n_docs"))).where("length is not null")
     rows = rows.withColumn("block", F.floor(F.col("length") / BLOCK)).withColumn("tokens", F.col("length") * F.col("n_docs"))
     inside = Window.partitionBy("block").orderBy("length").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
