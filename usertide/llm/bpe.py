@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-#: Distinct words whose ids a task remembers at most.
-REMEMBERED = 400_000
+#: Bytes of distinct words and their packed ids that a task remembers at most, with what an entry costs besides.
+REMEMBERED, ENTRY = 24_000_000, 200
 #: Texts handled at once.
 SLICE = 500
 NONE = 2**31 - 1
@@ -148,18 +148,29 @@ def long_merged_ids(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if live[i]]
 
 
-def ids_of(words: pa.ListArray, ranks: dict[bytes, int], known: dict[str, list[int]]) -> pa.ListArray:
+class Memo(dict):
+    """Packed ids by word; it starts anew once it holds more than its share of bytes."""
+
+    held = 0
+
+    def of(self, word: str, ranks: dict[bytes, int]) -> bytes:
+        if (ids := self.get(word)) is None:
+            data = word.encode("utf-8", "surrogatepass")
+            ids = np.array(merged_ids(data, ranks), "<i4").tobytes()
+            self.held += len(data) + len(ids) + ENTRY
+            if self.held > REMEMBERED:
+                self.clear()
+                self.held = len(data) + len(ids) + ENTRY
+            self[word] = ids
+        return ids
+
+
+def ids_of(words: pa.ListArray, ranks: dict[bytes, int], known: Memo) -> pa.ListArray:
     """The ids of texts given as lists of words; ``known`` remembers words, up to a bound."""
     coded = words.flatten().dictionary_encode()
-    if len(known) > REMEMBERED:
-        known.clear()
-    found = []
-    for word in coded.dictionary.to_pylist():
-        if (ids := known.get(word)) is None:
-            ids = known[word] = merged_ids(word.encode("utf-8", "surrogatepass"), ranks)
-        found.append(ids)
-    size = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.fromiter((i for ids in found for i in ids), np.int32, int(size.sum()))
+    found = [known.of(word, ranks) for word in coded.dictionary.to_pylist()]
+    size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    flat = np.frombuffer(b"".join(found), "<i4")
     start = np.cumsum(size) - size
     code = coded.indices.to_numpy().astype(np.int64)
     ends = np.concatenate([[0], np.cumsum(size[code])])
@@ -168,9 +179,10 @@ def ids_of(words: pa.ListArray, ranks: dict[bytes, int], known: dict[str, list[i
 
 
 def sliced(arrays: Iterator[pa.Array], make: Callable[[pa.Array], pa.Array], kind: pa.DataType) -> Iterator[pa.Array]:
-    """Applies ``make`` to some rows at a time, so that its working memory stays small."""
+    """Applies ``make`` to some rows at a time, so that its working memory stays small; memory that is free again goes back."""
     for array in arrays:
         yield pa.concat_arrays([make(array.slice(i, SLICE)) for i in range(0, len(array), SLICE)] or [pa.array([], kind)])
+        pa.default_memory_pool().release_unused()
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -184,7 +196,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text_col:
 
     @F.arrow_udf("array<int>")
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, list[int]] = {}
+        known = Memo()
         return sliced(batches, lambda words: ids_of(words, shared.value, known), pa.list_(pa.int32()))
 
     return docs.withColumn(ids_col, coded(words_in(F.coalesce(F.col(text_col), F.lit("")), pattern)))
