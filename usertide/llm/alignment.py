@@ -138,39 +138,43 @@ def lockstep(a_ends: np.ndarray, b_ends: np.ndarray, start: np.ndarray, stop: np
     return tuple(groups[:, np.argsort(groups[0])])
 
 
-def counted(text: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One entry per text and pair, with the sum of its times."""
-    order = np.lexsort((pair, text))
-    text, pair, times = text[order], pair[order], times[order]
-    new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])])) if len(text) else np.zeros(0, np.int64)
-    return text[new], pair[new], np.add.reduceat(times, new) if len(new) else times
+def counted(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each occurs or the sum of its times."""
+    if times is None:
+        return np.unique(keys, return_counts=True)
+    order = np.argsort(keys, kind="stable")
+    found, first = np.unique(keys[order], return_index=True)
+    return found, np.add.reduceat(times[order], first) if len(found) else times
 
 
-def links(a_ids: np.ndarray, b_ids: np.ndarray, groups: tuple[np.ndarray, ...], text: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The linked id pairs of each text with their number, from the groups and the text of each group; expanded in bounded parts."""
+def links(a_ids: np.ndarray, b_ids: np.ndarray, groups: tuple[np.ndarray, ...], text: np.ndarray, a_size: int, b_size: int) -> tuple[np.ndarray, ...]:
+    """Text, pair and number of the linked id pairs, from the groups and the text of each group; expanded in bounded parts.
+
+    Text and ids are one number while they are counted.
+    """
     a0, a1, b0, b1 = groups
     wide, size = b1 - b0, (a1 - a0) * (b1 - b0)
-    parts = []
-    large = np.flatnonzero(size > LINKS)
-    for g in large:
+    key = lambda t, a, b: (t * a_size + a) * b_size + b
+    single = np.flatnonzero(size == 1)
+    parts = [counted(key(text[single], a_ids[a0[single]], b_ids[b0[single]]))]
+    for g in np.flatnonzero(size > LINKS):
         # A group without an inner cut for thousands of tokens: by distinct ids.
         one, n = np.unique(a_ids[a0[g] : a1[g]], return_counts=True)
         other, m = np.unique(b_ids[b0[g] : b1[g]], return_counts=True)
         rows = max(1, LINKS // len(other))
         for i in range(0, len(one), rows):
-            pair = (one[i : i + rows, None] * SPAN + other).ravel()
-            parts.append((np.full(len(pair), text[g]), pair, (n[i : i + rows, None] * m).ravel()))
-    small = np.flatnonzero(size <= LINKS)
+            parts.append((key(text[g], one[i : i + rows, None], other).ravel(), (n[i : i + rows, None] * m).ravel()))
+    small = np.flatnonzero((size > 1) & (size <= LINKS))
     step = np.cumsum(size[small]) // LINKS
     for chunk in np.split(small, np.flatnonzero(np.diff(step)) + 1) if len(small) else []:
         group = np.repeat(chunk, size[chunk])
         k = np.arange(len(group)) - np.repeat(np.cumsum(size[chunk]) - size[chunk], size[chunk])
         row, column = np.divmod(k, wide[group])
-        pair = a_ids[a0[group] + row] * SPAN + b_ids[b0[group] + column]
-        parts.append(counted(text[group], pair, np.ones(len(pair), np.int64)))
-    if not parts:
-        return (np.zeros(0, np.int64),) * 3
-    return counted(*(np.concatenate(x) for x in zip(*parts)))
+        parts.append(counted(key(text[group], a_ids[a0[group] + row], b_ids[b0[group] + column])))
+    keys, times = counted(*(np.concatenate(x) for x in zip(*parts)))
+    rest, b = np.divmod(keys, b_size)
+    owner, a = np.divmod(rest, a_size)
+    return owner, a * SPAN + b, times
 
 
 def group_digests(both: Tokenizers, a_ids: np.ndarray, b_ids: np.ndarray, groups: tuple[np.ndarray, ...], a_at: np.ndarray, b_at: np.ndarray) -> list[str]:
@@ -211,7 +215,7 @@ def align_texts(both: Tokenizers, texts: list[str | None], spans: bool) -> list[
     if len(row_of):
         groups = lockstep(a_ends, b_ends, *lanes(a_ends, b_ends, a_at, b_at))
         group_row = row_of[np.searchsorted(a_at, groups[0], side="right") - 1]
-        text, pair, times = links(a_ids, b_ids, groups, group_row)
+        text, pair, times = links(a_ids, b_ids, groups, group_row, *map(len, both.sizes))
         numbers[0, row_of], numbers[1, row_of] = np.diff(a_at), np.diff(b_at)
         np.add.at(numbers[2], group_row, 1)
         np.add.at(numbers[3], group_row, (groups[1] - groups[0]) * (groups[3] - groups[2]))

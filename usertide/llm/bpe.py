@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 #: Bytes of distinct words and their packed ids that a task remembers at most, with what an entry costs besides.
-REMEMBERED, ENTRY = 24_000_000, 200
+REMEMBERED, ENTRY = 64_000_000, 200
 #: Texts handled at once.
 SLICE = 500
 NONE = 2**31 - 1
