@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from usertide import schema
 from usertide.catalog.registry import query, rounded
-from usertide.plans import cleaning, model_data, segments, training
+from usertide.plans import certificates, cleaning, evaluation, model_data, segments, silhouettes, training
 from usertide.session import materialize, new_folder
 from usertide.sources import tables
 
@@ -139,17 +138,119 @@ def _(v):
     return training.score_users(model, data.drop("split"), "2024-02-01T00:00:00")[0]
 
 
-@query("calibrated_scores")
+# Features of the logistic model as (name, expression) pairs over the prepared rows: numbers scaled by the training rows, and a
+# 0/1 column per level of a category but the first.
+ENCODED = f"""
+rows_ AS ({SPLIT}),
+numbers AS (SELECT user_id, churn_30d, split, unnest([{", ".join(f"{{'feature': '{c}', 'x': CAST({c} AS DOUBLE)}}" for c in FEATURES)}], recursive := true) FROM rows_),
+scale AS (SELECT feature, avg(x) AS mean, coalesce(nullif(stddev_pop(x), 0), 1) AS sd FROM numbers WHERE split = 'train' GROUP BY feature),
+texts AS (SELECT user_id, churn_30d, split, unnest([{", ".join(f"{{'kind': '{c}', 'level': CAST({c} AS VARCHAR)}}" for c in CATEGORIES)}], recursive := true) FROM rows_),
+levels AS (SELECT kind, level FROM (SELECT kind, level, row_number() OVER (PARTITION BY kind ORDER BY level) AS place
+  FROM (SELECT DISTINCT kind, level FROM texts WHERE split = 'train' AND level IS NOT NULL)) WHERE place > 1),
+encoded AS (
+  SELECT user_id, churn_30d, split, n.feature, (x - mean) / sd AS value FROM numbers n JOIN scale s ON n.feature = s.feature
+  UNION ALL
+  SELECT user_id, churn_30d, split, l.kind || '_' || l.level, CASE WHEN t.level = l.level THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+  FROM texts t JOIN levels l ON t.kind = l.kind)
+"""
+
+
+@query("logistic_gradient", f"""
+SELECT * FROM (WITH {ENCODED},
+w AS (SELECT churn_30d AS y, count(*) AS n, sum(count(*)) OVER () / (count(*) OVER () * CAST(count(*) AS DOUBLE)) AS weight
+  FROM rows_ WHERE split = 'train' GROUP BY churn_30d),
+total AS (SELECT sum(n * weight) AS t FROM w)
+SELECT feature, round(sum(weight * (0.5::DOUBLE - y) * value) / max(t), 6) + 0.0 AS gradient_at_zero, 0.0::DOUBLE AS gradient
+FROM encoded JOIN w ON churn_30d = y, total WHERE split = 'train' GROUP BY feature
+UNION ALL SELECT '(intercept)', round(sum(n * weight * (0.5::DOUBLE - y)) / max(t), 6) + 0.0, 0.0::DOUBLE FROM w, total)
+""", ("features", "metrics"))
 def _(v):
-    scored = v.scored().withColumn("label", F.col("label").cast("double"))
-    platt = training.calibrate_platt(scored, "label")
-    curve = training.calibrate_isotonic(scored, "label")
-    both = curve.transform(platt.transform(scored))
-    return both.select(
-        "row_id", "score", vector_to_array("probability")[1].alias("platt"), F.col("calibrated").alias("isotonic")
+    """The gradient of the fitted model's loss vanishes; that at zero is known from the rows alone."""
+    data = materialize(_prepared(v))
+    model = training.train_churn_models(data, only=("logreg",)).models["logreg"]
+    found = certificates.logistic_gradient(model, data.filter("split = 'train'"))
+    small = F.round("gradient", 4) + 0.0
+    return found.select("feature", (F.round("gradient_at_zero", 6) + 0.0).alias("gradient_at_zero"), small.alias("gradient"))
+
+
+@query("logistic_score_check", f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM ({MODEL_ROWS})", ("features", "metrics"))
+def _(v):
+    data = materialize(_prepared(v))
+    model = training.train_churn_models(data, only=("logreg",)).models["logreg"]
+    return certificates.logistic_score_check(model, data)
+
+
+def _forest(v, trees=20, depth=8):
+    """A stored forest, its path and the prepared rows."""
+    data = materialize(_prepared(v))
+    train = data.filter("split = 'train'")
+    model = training.fit_forest(train, model_data.fit_encoding(train), trees=trees, depth=depth)
+    path = new_folder(v.spark, "forest")
+    model.save(path)
+    return data, model, path
+
+
+@query("forest_score_check", f"""
+SELECT split, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different, CAST(0 AS BIGINT) AS n_outside FROM ({SPLIT}) GROUP BY split
+""", ("features", "metrics"))
+def _(v):
+    """Scores of all users, from MLlib and from the stored trees walked by joins."""
+    data, model, path = _forest(v)
+    both = certificates.forest_check(model, path, data).join(data.select("user_id", "split"), "user_id")
+    far = F.coalesce(F.abs(F.col("score") - F.col("walked")) > certificates.SAME_SCORE, F.lit(True))
+    return both.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(far).alias("n_different"), F.count_if(~F.col("walked").between(0, 1)).alias("n_outside")
     )
 
 
+@query("forest_importance_check", f"""
+SELECT * FROM (WITH {ENCODED} SELECT DISTINCT feature, 0.0::DOUBLE AS difference, 1.0::DOUBLE AS total FROM encoded)
+""", ("features", "metrics"))
+def _(v):
+    """Importances from the stored trees against MLlib's; together they are 1."""
+    _, model, path = _forest(v)
+    walked = certificates.node_importances(certificates.forest_nodes(v.spark, path), model.features)
+    both = materialize(walked.join(model.importances().withColumnRenamed("importance", "given"), "feature"))
+    total = both.agg(F.sum("importance")).first()[0]
+    return both.select("feature", (F.round(F.abs(F.col("importance") - F.col("given")), 9) + 0.0).alias("difference"), F.lit(round(total, 9)).alias("total"))
+
+
+@query("forest_evaluation_check", f"""
+SELECT count(*) FILTER (split = 'test') AS support, CAST(0.0 AS DOUBLE) AS auc_difference, TRUE AS same_cells, TRUE AS better_than_chance FROM ({SPLIT})
+""", ("features", "metrics"))
+def _(v):
+    """AUC and confusion counts of the test rows, from walked scores by a plain pair count and by the ranking operators."""
+    data, model, path = _forest(v)
+    test = data.filter("split = 'test'")
+    walked = certificates.walk_forest(certificates.assembled(model, test), certificates.forest_nodes(v.spark, path))
+    scored = materialize(walked.join(test.select("user_id", F.col("churn_30d").alias("label")), "user_id"))
+    given = materialize(model.score(test).select("user_id", F.col("churn_30d").alias("label"), F.round("score", 12).alias("score")))
+    plain = scored.withColumn("score", F.round("score", 12))
+    cut = 0.5
+    a, b = evaluation.evaluate_at(plain, cut).first(), evaluation.evaluate_at(given, cut).first()
+    cells = ("tn", "fp", "fn", "tp")
+    row = (sum(a[c] for c in cells), round(abs(a["auc"] - b["auc"]), 9), all(a[c] == b[c] for c in cells), a["auc"] > 0.5)
+    return v.spark.createDataFrame([row], "support long, auc_difference double, same_cells boolean, better_than_chance boolean")
+
+
+@query("calibrated_scores", """
+SELECT * FROM (WITH RECURSIVE p AS (SELECT score AS x, sum(label)::DOUBLE AS pos, count(*)::DOUBLE AS n FROM scored GROUP BY score),
+fit(step, a, b) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT step + 1, a - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01), b - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01)
+  FROM (SELECT step, a, b, sum(e) AS g0, sum(e * x) AS g1, sum(h) AS h00, sum(h * x) AS h01, sum(h * x * x) AS h11
+    FROM (SELECT step, a, b, x, n / (1 + exp(-(a * x + b))) - pos AS e, n / (1 + exp(-(a * x + b))) / (1 + exp(a * x + b)) AS h
+      FROM fit, p WHERE step < 25) GROUP BY step, a, b))
+SELECT row_id, score, round(1 / (1 + exp(-(a * score + b))), 6) AS platt FROM scored, fit WHERE step = 25)
+""", ("scored",))
+def _(v):
+    """The logistic calibration curve at every score; the twin is a Newton solve over the same scores."""
+    scored = v.scored().withColumn("label", F.col("label").cast("double"))
+    curve = training.calibrate_platt(scored, "label")
+    return curve.transform(scored).select("row_id", "score", F.round("probability", 6).alias("platt"))
+
+
 @query("isotonic_scores", """
 SELECT * FROM (WITH p AS (SELECT score, sum(label) AS s, count(*) AS n FROM scored GROUP BY score),
 c AS (SELECT score, row_number() OVER (ORDER BY score) AS i, sum(s) OVER (ORDER BY score) AS cs,
@@ -228,9 +329,67 @@ def _(v):
     return segments.segment_users(v.features()).users.select("user_id", "cluster")
 
 
-@query("cluster_pca")
+VARYING = " + ".join(f"CASE WHEN stddev_pop({c}) > 0 THEN 1 ELSE 0 END" for c in segments.VARIABLES)
+
+
+@query("kmeans_check", f"""
+SELECT CAST(k AS INTEGER) AS k, n_users, CAST(k AS INTEGER) AS n_clusters, CAST(0 AS BIGINT) AS n_strays, TRUE AS centred, TRUE AS agrees,
+  round(CAST(n_users * varying AS DOUBLE), 3) AS total, TRUE AS split
+FROM (SELECT count(*) AS n_users, {VARYING} AS varying FROM features), range(2, 10) AS tried(k)
+""", ("features",))
+def _(v):
+    """Lloyd's conditions for every tried k, over all users."""
+    found = certificates.kmeans_check(segments.segment_users(v.features()))
+    return found.drop("inertia").withColumn("total", F.round("total", 3))
+
+
+# Silhouettes of the given assignment, with the same sampled users: the smallest hashes.
+SILHOUETTE = f"""
+SELECT * FROM (WITH a AS (SELECT user_id, cluster, {", ".join(f"{c}::DOUBLE AS {c}" for c in CENTROID_COLUMNS)} FROM ({ASSIGNED})),
+s AS (SELECT * FROM a ORDER BY ('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|42'), 1, 12))::BIGINT, user_id LIMIT {silhouettes.SAMPLED_ROWS}),
+d AS (SELECT s.user_id, s.cluster AS own, a.cluster AS other, count(*) AS n,
+    sum(sqrt({" + ".join(f"(s.{c} - a.{c}) ** 2" for c in CENTROID_COLUMNS)})) AS total FROM s, a GROUP BY 1, 2, 3),
+e AS (SELECT user_id, max(total / greatest(n - 1, 1)) FILTER (own = other) AS inside, max(n) FILTER (own = other) AS n,
+    min(total / n) FILTER (own <> other) AS outside FROM d GROUP BY user_id),
+f AS (SELECT CASE WHEN n = 1 THEN 0.0::DOUBLE ELSE (outside - inside) / greatest(outside, inside) END AS s FROM e)
+SELECT 'cluster' AS clustering, (SELECT count(*) FROM a) AS n_rows, count(*) AS n_sampled, round(avg(s), 6) AS silhouette,
+  round(stddev_samp(s) / sqrt(count(*)) * sqrt(greatest(0.0::DOUBLE, 1 - count(*) / (SELECT count(*) FROM a)::DOUBLE)), 6) + 0.0 AS standard_error FROM f)
+"""
+
+
+@query("euclidean_silhouette", SILHOUETTE, ("features",))
+def _(v):
+    return rounded(silhouettes.euclidean_silhouettes(_assigned(v), CENTROID_COLUMNS, {"cluster": 3}))
+
+
+# Principal components by repeated squaring: a symmetric matrix multiplied by itself tends to its first component.
+_Z = ", ".join(f"(coalesce({c}, 0) - avg(coalesce({c}, 0)) OVER ()) / coalesce(nullif(stddev_pop(coalesce({c}, 0)) OVER (), 0), 1)" for c in FEATURES)
+_SQUARED = """list_transform(a, lambda r: list_transform(a, lambda q: list_dot_product(r, q)
+    / list_sum(list_transform(a, lambda z: list_dot_product(z, z)))))"""
+
+
+def _component(matrix: str, squares: str) -> str:
+    """Recursive squares of a matrix and its first unit vector, pointing to its largest entry."""
+    return f"""
+{squares}(step, a) AS (SELECT 0, c FROM {matrix} UNION ALL SELECT step + 1, {_SQUARED} FROM {squares} WHERE step < 40),
+{squares}_row AS (SELECT r FROM (SELECT unnest(a) AS r FROM {squares} WHERE step = 40) ORDER BY list_dot_product(r, r) DESC LIMIT 1),
+{squares}_axis AS (SELECT list_transform(r, lambda x: x / sqrt(list_dot_product(r, r)) * CASE WHEN list_max(r) >= -list_min(r) THEN 1 ELSE -1 END) AS axis
+  FROM {squares}_row)"""
+
+
+@query("cluster_pca", f"""
+SELECT * FROM (WITH RECURSIVE z AS (SELECT user_id, cluster, [{_Z}]::DOUBLE[] AS z FROM ({ASSIGNED})),
+m AS (SELECT [{", ".join("[" + ", ".join(f"avg(z[{i}] * z[{j}])" for j in range(1, 9)) + "]" for i in range(1, 9))}]::DOUBLE[][] AS c FROM z),
+{_component("m", "first")},
+rest AS (SELECT list_transform(range(1, 9), lambda i: list_transform(range(1, 9), lambda j: c[i][j] - axis[i] * axis[j]
+    * list_dot_product(axis, list_transform(c, lambda r: list_dot_product(r, axis))))) AS c FROM m, first_axis),
+{_component("rest", "second")}
+SELECT user_id, cluster, round(list_dot_product(z, f.axis), 4) + 0.0 AS pca1, round(list_dot_product(z, s.axis), 4) + 0.0 AS pca2
+FROM z, first_axis f, second_axis s)
+""", ("features",))
 def _(v):
-    return segments.cluster_pca(_assigned(v))
+    found = segments.cluster_pca(materialize(_assigned(v)))
+    return found.select("user_id", "cluster", *[(F.round(c, 4) + 0.0).alias(c) for c in ("pca1", "pca2")])
 
 
 @query("csv_round_trip_users", """

@@ -8,18 +8,18 @@ from functools import reduce
 from math import sqrt
 from operator import add
 
-import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usertide.functions.numeric import share_of
+from usertide.operators.moments import principal_axes, second_moments
 from usertide.operators.stats import boxplot_stats
 from usertide.plans.model_data import fit_scaler, scaled_columns
+from usertide.plans.silhouettes import SAMPLED_ROWS, euclidean_silhouettes
 from usertide.schema import available_columns, numeric_columns, require_columns
 from usertide.session import materialize
 
@@ -37,69 +37,95 @@ PROFILE_VARIABLES = ("event_count", "credits_purchased", "credits_spent", "views
 
 @dataclass(frozen=True)
 class Segments:
-    """Users with ``cluster``; (k, inertia, silhouette) per tried k; the fitted model."""
+    """Users with ``cluster``; (k, inertia, silhouette, standard_error) per tried k; the chosen k and its model.
+
+    ``labelled`` has the standardised variables ``_z0``, ... and, for every tried k, the number of the nearest
+    centroid in ``_c<k>``; ``models`` has the fit of every k.
+    """
 
     users: DataFrame
     choices: DataFrame
     k: int
     model: KMeansModel
     columns: list[str]
+    labelled: DataFrame
+    models: dict[int, KMeansModel]
+
+
+def scaled_names(columns: Sequence[str]) -> list[str]:
+    return [f"_z{i}" for i in range(len(columns))]
 
 
-def scaled_vectors(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """``keep`` and ``features``, the standardised ``columns`` with nulls taken as 0 before scaling."""
-    filled = df.na.fill(0, list(columns))
-    scaled = scaled_columns(fit_scaler(filled, columns))
-    names = [f"_z{i}" for i in range(len(columns))]
-    wide = filled.select(*keep, *[scaled[c].alias(n) for c, n in zip(columns, names)])
-    return VectorAssembler(inputCols=names, outputCol="features").transform(wide).select(*keep, "features")
+def squared_distance(names: Sequence[str], centroid: Sequence[float]) -> Column:
+    return reduce(add, [(F.col(c).cast("double") - F.lit(float(x))) ** 2 for c, x in zip(names, centroid)])
+
+
+def inertias(labelled: DataFrame, names: Sequence[str], centers: dict[int, list[list[float]]]) -> dict[int, float]:
+    """Per k the summed squared distances of all rows to their nearest centroid, in one pass."""
+    lowest = [F.sum(F.least(*[squared_distance(names, c) for c in centers[k]])).alias(f"k{k}") for k in centers]
+    row = labelled.agg(*lowest).first()
+    return {k: row[f"k{k}"] for k in centers}
 
 
 def segment_users(
-    features: DataFrame, ks: Sequence[int] = range(2, 10), seed: int = 42, id_col: str = "user_id"
+    features: DataFrame,
+    ks: Sequence[int] = range(2, 10),
+    seed: int = 42,
+    id_col: str = "user_id",
+    distance: str = "euclidean",
+    silhouette_rows: int = SAMPLED_ROWS,
 ) -> Segments:
     """k-means over the available variables with the k of the best silhouette (the smallest on a tie).
 
-    Clusters are numbered by falling mean of ``credits_purchased`` (or of the first variable), so the
-    numbers mean the same from run to run.
+    Silhouettes use plain distances from up to ``silhouette_rows`` users to all users; ``distance='squared'`` uses
+    squared distances from all users to cluster means instead.  Clusters are numbered by falling mean of
+    ``credits_purchased`` (or of the first variable), so the numbers mean the same from run to run.
     """
+    if distance not in ("euclidean", "squared"):
+        raise ValueError(f"distance must be euclidean or squared, not {distance}")
     require_columns(features, [id_col], "features")
     columns = available_columns(features, VARIABLES)
     order_by = "credits_purchased" if "credits_purchased" in columns else columns[0]
     stored = materialize(features.na.fill(0, columns), spread_by=id_col)
-    vectors = scaled_vectors(stored, columns, stored.columns)
+    scaled, names = scaled_columns(fit_scaler(stored, columns)), scaled_names(columns)
+    wide = stored.select(*stored.columns, *[scaled[c].alias(n) for c, n in zip(columns, names)])
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(wide)
     # Every iteration of every fit reads the vectors; a lost part is rebuilt from the stored table.
     kept = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     judge = ClusteringEvaluator(featuresCol="features", predictionCol="prediction", metricName="silhouette")
-    tried: list[tuple[int, float, float]] = []
-    best: tuple[float, KMeansModel] | None = None
+    models, found = {}, {}
     try:
         for k in ks:
-            model = KMeans(k=k, seed=seed, maxIter=300, tol=sqrt(TOTAL_SHIFT / k)).fit(kept)
-            silhouette = judge.evaluate(model.transform(kept))
-            tried.append((k, model.summary.trainingCost, silhouette))
-            if best is None or silhouette > best[0]:
-                best = (silhouette, model)
+            models[k] = KMeans(k=k, seed=seed, maxIter=300, tol=sqrt(TOTAL_SHIFT / k)).fit(kept)
+            if distance == "squared":
+                found[k] = (judge.evaluate(models[k].transform(kept)), None)
     finally:
         kept.unpersist()
-    chosen = best[1]
-    labelled = chosen.transform(vectors).select(*stored.columns, F.col("prediction").alias("_found"))
-    means = labelled.groupBy("_found").agg(F.avg(order_by).alias("m")).collect()
-    numbers = {r["_found"]: i for i, r in enumerate(sorted(means, key=lambda r: (-r["m"], r["_found"])))}
-    renumber = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[F.col("_found")]
-    choices = features.sparkSession.createDataFrame(tried, "k int, inertia double, silhouette double")
-    k = max(tried, key=lambda t: (t[2], -t[0]))[0]
-    return Segments(labelled.withColumn("cluster", renumber).drop("_found"), choices, k, chosen, columns)
+    centers = {k: [list(map(float, c)) for c in models[k].clusterCenters()] for k in models}
+    labelled = wide
+    for k in models:
+        labelled = nearest_centroid(labelled, names, centers[k], f"_c{k}")
+    labelled = materialize(labelled)
+    if distance == "euclidean":
+        clusterings = {f"_c{k}": len(centers[k]) for k in models}
+        rows = euclidean_silhouettes(labelled, names, clusterings, id_col, silhouette_rows, seed).collect()
+        found = {int(r["clustering"][2:]): (r["silhouette"], r["standard_error"]) for r in rows}
+    cost = inertias(labelled, names, centers)
+    tried = [(k, cost[k], *found.get(k, (None, None))) for k in models]
+    k = max(tried, key=lambda t: (t[2] is not None, t[2] or 0.0, -t[0]))[0]
+    means = labelled.groupBy(f"_c{k}").agg(F.avg(order_by).alias("m")).collect()
+    numbers = {r[f"_c{k}"]: i for i, r in enumerate(sorted(means, key=lambda r: (-r["m"], r[f"_c{k}"])))}
+    renumber = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[F.col(f"_c{k}")]
+    choices = features.sparkSession.createDataFrame(tried, "k int, inertia double, silhouette double, standard_error double")
+    users = labelled.select(*stored.columns, renumber.alias("cluster"))
+    return Segments(users, choices, k, models[k], columns, labelled, models)
 
 
 def nearest_centroid(
     df: DataFrame, columns: Sequence[str], centroids: Sequence[Sequence[float]], name: str = "cluster"
 ) -> DataFrame:
     """Add the index of the closest centroid (squared Euclidean, the lowest index on a tie)."""
-    distances = [
-        reduce(add, [(F.col(c).cast("double") - F.lit(float(x))) ** 2 for c, x in zip(columns, centroid)])
-        for centroid in centroids
-    ]
+    distances = [squared_distance(columns, centroid) for centroid in centroids]
     pairs = [F.struct(d.alias("distance"), F.lit(i).alias("cluster")) for i, d in enumerate(distances)]
     nearest = F.array_min(F.array(*pairs))["cluster"]
     return df.withColumn(name, nearest)
@@ -122,14 +148,13 @@ def cluster_boxplots(df: DataFrame, columns: Sequence[str] = PROFILE_VARIABLES,
 def cluster_pca(df: DataFrame, id_col: str = "user_id", cluster: str = "cluster") -> DataFrame:
     """(id, cluster, pca1, pca2) over all standardised numeric columns but the id and the cluster.
 
-    Each component points so that its largest loading is positive.
+    The components come from one aggregate of second moments.  Each points so that its largest loading is positive.
+    A single numeric column gives a second component of 0.
     """
     columns = numeric_columns(df, (id_col, cluster))
-    vectors = scaled_vectors(df, columns, [id_col, cluster])
-    model = PCA(k=2, inputCol="features", outputCol="_pca").fit(vectors)
-    loadings = model.pc.toArray()
-    signs = [float(np.sign(component[np.argmax(np.abs(component))])) for component in loadings.T]
-    parts = vector_to_array("_pca")
-    return model.transform(vectors).select(
-        id_col, cluster, *[(parts[i] * signs[i]).alias(f"pca{i + 1}") for i in range(2)]
-    )
+    filled = df.na.fill(0, columns)
+    moments = second_moments(filled, columns)
+    _, axes = principal_axes(moments.correlation, 2)
+    points = [reduce(add, [z * F.lit(float(w)) for z, w in zip(moments.scaled(), axis)]) for axis in axes]
+    points += [F.lit(0.0)] * (2 - len(points))
+    return filled.select(id_col, cluster, *[p.alias(f"pca{i + 1}") for i, p in enumerate(points)])

@@ -208,14 +208,57 @@ def score_users(
     return labelled, top_scores(labelled, topn, "proba_churn", id_col)
 
 
-def calibrate_platt(scored: DataFrame, label: str = LABEL, score: str = "score") -> PipelineModel:
-    """Logistic curve from score to probability; ``transform`` adds ``probability``.
+@dataclass(frozen=True)
+class PlattCurve:
+    """The logistic curve 1 / (1 + exp(-(slope x score + intercept)))."""
+
+    slope: float
+    intercept: float
+    score: str
+    steps: int
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``probability``, which replaces a column of that name; rows without a score are left out."""
+        margin = F.lit(self.slope) * F.col(quoted(self.score)) + F.lit(self.intercept)
+        return df.filter(present(F.col(quoted(self.score))).isNotNull()).withColumn("probability", 1 / (1 + F.exp(-margin)))
 
-    Rows without a score or label don't count, and get no probability: ``transform`` leaves them out.
+
+def calibrate_platt(scored: DataFrame, label: str = LABEL, score: str = "score", max_steps: int = 50) -> PlattCurve:
+    """Logistic curve from score to probability by Newton steps on the two parameters.
+
+    The rows are reduced once to a stored row per distinct score; every step is one aggregate of six sums over those.
+    A step that doesn't lower the loss is halved.  Rows without a score or label don't count.  Scores that part the
+    labels perfectly have no best curve: the steps then end at ``max_steps`` or where the curve is flat.
     """
-    assembler = VectorAssembler(inputCols=[score], outputCol="_score", handleInvalid="skip")
-    known = scored.filter(present(F.col(score)).isNotNull() & F.col(label).isNotNull())
-    return Pipeline(stages=[assembler, LogisticRegression(featuresCol="_score", labelCol=label)]).fit(known)
+    known = scored.filter(present(F.col(quoted(score))).isNotNull() & F.col(quoted(label)).isNotNull())
+    rows = known.groupBy(F.col(quoted(score)).cast("double").alias("x"))
+    points = materialize(rows.agg(F.sum(F.col(quoted(label)).cast("double")).alias("pos"), F.count(F.lit(1)).alias("n")))
+
+    def sums(slope: float, intercept: float):
+        margin = F.lit(slope) * F.col("x") + F.lit(intercept)
+        p = 1 / (1 + F.exp(-margin))
+        # log(1 + exp(m)) without overflow.
+        loss = F.col("n") * (F.greatest(margin, F.lit(0.0)) + F.log1p(F.exp(-F.abs(margin)))) - F.col("pos") * margin
+        off, bend = F.col("n") * p - F.col("pos"), F.col("n") * p * (1 - p)
+        terms = {"loss": loss, "g0": off, "g1": off * F.col("x"), "h00": bend, "h01": bend * F.col("x"), "h11": bend * F.col("x") ** 2}
+        return points.agg(*[F.coalesce(F.sum(t), F.lit(0.0)).alias(name) for name, t in terms.items()]).first()
+
+    slope = intercept = 0.0
+    now, steps = sums(slope, intercept), 0
+    while steps < max_steps:
+        steps += 1
+        determinant = now["h00"] * now["h11"] - now["h01"] ** 2
+        if determinant <= 1e-12 * max(1e-300, now["h00"] * now["h11"]):
+            break
+        move_1 = (now["h00"] * now["g1"] - now["h01"] * now["g0"]) / determinant
+        move_0 = (now["h11"] * now["g0"] - now["h01"] * now["g1"]) / determinant
+        share = 1.0
+        while (then := sums(slope - share * move_1, intercept - share * move_0))["loss"] > now["loss"] + 1e-9 * abs(now["loss"]) and share > 1e-6:
+            share /= 2
+        slope, intercept, now = slope - share * move_1, intercept - share * move_0, then
+        if max(abs(move_0), abs(move_1)) <= 1e-10 * max(1.0, abs(slope), abs(intercept)):
+            break
+    return PlattCurve(slope, intercept, score, steps)
 
 
 def calibrate_isotonic(scored: DataFrame, label: str = LABEL, score: str = "score"):
