@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from usertide.catalog.registry import query, rounded
+from usertide.operators import activity
 from usertide.operators.checks import align_columns, cast_key_like, fill_by_type
 from usertide.operators.stats import value_counts, value_shares
 from usertide.plans import cohorts, features
+from usertide.session import materialize
 
 FEATURE_COLUMNS = """user_id, signup_date, last_active_date, country, device, language, subscription_type,
   credits_purchased, credits_spent, views, round(avg_watch_time_sec, 6) AS avg_watch_time_sec, sessions_7d,
@@ -221,14 +223,55 @@ def _(v):
     return features.event_counts_long(v.events())
 
 
-MONTHS = ("2023-12", "2024-01", "2024-02")
+def _matrix(cohorts_view: str) -> str:
+    """Every cohort against every activity month there is."""
+    return f"""
+SELECT c.cohort_month, e.event_month, round(coalesce(retention_rate, 0), 6) AS rate
+FROM (SELECT DISTINCT cohort_month FROM {cohorts_view}) c CROSS JOIN (SELECT DISTINCT event_month FROM {cohorts_view}) e
+LEFT JOIN {cohorts_view} r ON r.cohort_month = c.cohort_month AND r.event_month = e.event_month
+"""
+
+
+@query("retention_matrix", _matrix("cohorts"), ("cohorts",))
+def _(v):
+    return rounded(cohorts.retention_matrix_long(cohorts.retention_cohorts(v.users(), v.events())))
+
+
+ORDER_COHORTS = """
+SELECT cohort_month, event_month, active_users, cohort_size, active_users / cohort_size AS retention_rate
+FROM (SELECT strftime(signup_date, '%Y-%m') AS cohort_month, strftime(event_timestamp, '%Y-%m') AS event_month,
+        count(DISTINCT e.user_id) AS active_users FROM order_events e JOIN order_users u ON e.user_id = u.user_id GROUP BY 1, 2) a
+JOIN (SELECT strftime(signup_date, '%Y-%m') AS cohort_month, count(DISTINCT user_id) AS cohort_size FROM order_users GROUP BY 1) s
+  USING (cohort_month)
+"""
+
+
+@query("order_retention_matrix", f"SELECT * FROM (WITH order_cohorts AS ({ORDER_COHORTS}) {_matrix('order_cohorts')})", ("order_users", "order_events"))
+def _(v):
+    """The matrix over all years of orders."""
+    return rounded(cohorts.retention_matrix_long(materialize(cohorts.retention_cohorts(v.order_users(), v.order_events()))))
+
+
+@query("retention_by_bitmaps", "SELECT cohort_month, event_month, active_users, cohort_size, round(retention_rate, 6) AS retention_rate FROM cohorts", ("cohorts",))
+def _(v):
+    return rounded(cohorts.retention_by_bitmaps(v.users(), v.events()))
+
+
+@query("order_retention_by_bitmaps", f"SELECT * REPLACE (round(retention_rate, 6) AS retention_rate) FROM ({ORDER_COHORTS})", ("order_users", "order_events"))
+def _(v):
+    """Orders arrive in loads, one per priority; their stored bitmaps are merged, then counted."""
+    orders = v.order_events()
+    kinds = [r[0] for r in orders.select("event_type").distinct().collect()]  # five priorities
+    loads = [materialize(activity.activity_bitmaps(orders.filter(F.col("event_type") == kind))) for kind in sorted(kinds)]
+    return rounded(cohorts.retention_from_bitmaps(v.order_users(), activity.merge_bitmaps(*loads)))
 
 
-@query("retention_matrix", "SELECT cohort_month, " + ", ".join(
-    f"""round(coalesce(max(CASE WHEN event_month = '{m}' THEN retention_rate END), 0), 6) AS "{m}\"""" for m in MONTHS
-) + " FROM cohorts GROUP BY cohort_month", ("cohorts",))
+@query("active_months", """
+SELECT user_id, count(DISTINCT date_trunc('month', event_timestamp)) AS n_months, CAST(min(date_trunc('month', event_timestamp)) AS DATE) AS first_month,
+  CAST(max(date_trunc('month', event_timestamp)) AS DATE) AS last_month FROM order_events GROUP BY user_id
+""", ("order_events",))
 def _(v):
-    return rounded(cohorts.retention_matrix(cohorts.retention_cohorts(v.users(), v.events()), MONTHS))
+    return activity.active_months(activity.activity_bitmaps(v.order_events()))
 
 
 @query("global_retention_rates", """

@@ -14,9 +14,6 @@ FEATURES = ("credits_purchased", "credits_spent", "views", "avg_watch_time_sec",
             "recency_days", "unique_event_types")
 CATEGORIES = ("country", "device", "language", "subscription_type")
 
-# Categories whose levels the SQL twin of the encoded tables names; countries are left to the one_hot rule.
-LEVELS = (("device", ["iOS"]), ("language", ["es", "pt"]), ("subscription_type", ["none", "premium"]))
-
 MODEL_ROWS = """
 SELECT f.* EXCLUDE (signup_date, last_active_date), m.churn_30d FROM features f JOIN metrics m ON f.user_id = m.user_id
 """
@@ -61,28 +58,46 @@ def _(v):
     return model_data.stratified_split(rows, "label", "row_id", test_share=0.3, seed=7)
 
 
+# Encoded rows in long form, as SQL can't name columns after levels: numbers scaled by the training rows, and a 0/1 row per level of
+# a category but the first of the training rows.
+def _wide(numbers: str) -> str:
+    return f"""
+numbers AS (SELECT user_id, churn_30d, split, unnest([{", ".join(f"{{'feature': '{c}', 'x': CAST({c} AS DOUBLE)}}" for c in FEATURES)}], recursive := true) FROM {numbers}),
+texts AS (SELECT user_id, churn_30d, split, unnest([{", ".join(f"{{'kind': '{c}', 'level': CAST({c} AS VARCHAR)}}" for c in CATEGORIES)}], recursive := true) FROM {numbers})"""
+
+
+ENCODED = f"""
+rows_ AS ({SPLIT}),{_wide("rows_")},
+scale AS (SELECT feature, avg(x) AS mean, coalesce(nullif(stddev_pop(x), 0), 1) AS sd FROM numbers WHERE split = 'train' GROUP BY feature),
+levels AS (SELECT kind, level FROM (SELECT kind, level, row_number() OVER (PARTITION BY kind ORDER BY level) AS place
+  FROM (SELECT DISTINCT kind, level FROM texts WHERE split = 'train' AND level IS NOT NULL)) WHERE place > 1),
+encoded AS (
+  SELECT user_id, churn_30d, split, n.feature, (x - mean) / sd AS value FROM numbers n JOIN scale s ON n.feature = s.feature
+  UNION ALL
+  SELECT user_id, churn_30d, split, l.kind || '_' || l.level, CASE WHEN t.level = l.level THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+  FROM texts t JOIN levels l ON t.kind = l.kind)
+"""
+
+
 def _encoded(part: str) -> str:
-    """Encoded rows of one part; the test tables have all levels below in the training rows."""
-    scaled = ", ".join(
-        f"""round(({c} - avg({c}) FILTER (split = 'train') OVER ()) / coalesce(nullif(stddev_pop({c})
-          FILTER (split = 'train') OVER (), 0), 1), 6) + 0.0 AS {c}""" for c in FEATURES)
-    dummies = ", ".join(
-        f"CASE WHEN {c} = '{x}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"{c}_{x}\"" for c, levels in LEVELS for x in levels)
-    return f"SELECT * EXCLUDE (split) FROM (SELECT user_id, churn_30d, split, {scaled}, {dummies} FROM ({SPLIT})) WHERE split = '{part}'"
+    return f"SELECT * FROM (WITH {ENCODED} SELECT user_id, churn_30d, feature, round(value, 6) + 0.0 AS value FROM encoded WHERE split = '{part}')"
 
 
-def _without_countries(df):
-    return rounded(df.select(*[f"`{c}`" for c in df.columns if not c.startswith("country_")]))
+def _long(df, keys):
+    """All other columns of a wide table as rows (keys..., feature, value)."""
+    names = [c for c in df.columns if c not in keys]
+    entries = [F.struct(F.lit(c).alias("feature"), (F.round(F.col(schema.quoted(c)).cast("double"), 6) + 0.0).alias("value")) for c in names]
+    return df.select(*keys, F.inline(F.array(*entries)))
 
 
 @query("encoded_train", _encoded("train"), ("features", "metrics"))
 def _(v):
-    return _without_countries(model_data.encoded_tables(_prepared(v))[0])
+    return _long(model_data.encoded_tables(_prepared(v))[0], ["user_id", "churn_30d"])
 
 
 @query("encoded_test", _encoded("test"), ("features", "metrics"))
 def _(v):
-    return _without_countries(model_data.encoded_tables(_prepared(v))[1])
+    return _long(model_data.encoded_tables(_prepared(v))[1], ["user_id", "churn_30d"])
 
 
 @query("class_weights", """
@@ -93,14 +108,16 @@ def _(v):
     return rounded(model_data.class_weights(v.metrics()))
 
 
-@query("one_hot", "SELECT user_id, " + ", ".join(
-    f"CASE WHEN {c} = '{x}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {c}_{x}"
-    for c, levels in (("device", ["iOS"]), ("language", ["es", "pt"]), ("subscription_type", ["none", "premium"]))
-    for x in levels) + " FROM app_users", ("app_users",))
+@query("one_hot", f"""
+SELECT * FROM (WITH t AS (SELECT user_id, unnest([{", ".join(f"{{'kind': '{c}', 'level': {c}}}" for c in CATEGORIES)}], recursive := true) FROM app_users),
+l AS (SELECT kind, level, row_number() OVER (PARTITION BY kind ORDER BY level) AS place FROM (SELECT DISTINCT kind, level FROM t))
+SELECT user_id, l.kind || '_' || l.level AS feature, CASE WHEN t.level = l.level THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS value
+FROM t JOIN l ON t.kind = l.kind AND place > 1)
+""", ("app_users",))
 def _(v):
     users = v.users()
-    columns = model_data.dummy_columns(model_data.fit_levels(users, ["device", "language", "subscription_type"]))
-    return users.select("user_id", *[c.alias(name) for name, c in columns.items()])
+    columns = model_data.dummy_columns(model_data.fit_levels(users, list(CATEGORIES)))
+    return _long(users.select("user_id", *[c.alias(name) for name, c in columns.items()]), ["user_id"])
 
 
 @query("standardized", "SELECT user_id, " + ", ".join(
@@ -138,23 +155,6 @@ def _(v):
     return training.score_users(model, data.drop("split"), "2024-02-01T00:00:00")[0]
 
 
-# Features of the logistic model as (name, expression) pairs over the prepared rows: numbers scaled by the training rows, and a
-# 0/1 column per level of a category but the first.
-ENCODED = f"""
-rows_ AS ({SPLIT}),
-numbers AS (SELECT user_id, churn_30d, split, unnest([{", ".join(f"{{'feature': '{c}', 'x': CAST({c} AS DOUBLE)}}" for c in FEATURES)}], recursive := true) FROM rows_),
-scale AS (SELECT feature, avg(x) AS mean, coalesce(nullif(stddev_pop(x), 0), 1) AS sd FROM numbers WHERE split = 'train' GROUP BY feature),
-texts AS (SELECT user_id, churn_30d, split, unnest([{", ".join(f"{{'kind': '{c}', 'level': CAST({c} AS VARCHAR)}}" for c in CATEGORIES)}], recursive := true) FROM rows_),
-levels AS (SELECT kind, level FROM (SELECT kind, level, row_number() OVER (PARTITION BY kind ORDER BY level) AS place
-  FROM (SELECT DISTINCT kind, level FROM texts WHERE split = 'train' AND level IS NOT NULL)) WHERE place > 1),
-encoded AS (
-  SELECT user_id, churn_30d, split, n.feature, (x - mean) / sd AS value FROM numbers n JOIN scale s ON n.feature = s.feature
-  UNION ALL
-  SELECT user_id, churn_30d, split, l.kind || '_' || l.level, CASE WHEN t.level = l.level THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
-  FROM texts t JOIN levels l ON t.kind = l.kind)
-"""
-
-
 @query("logistic_gradient", f"""
 SELECT * FROM (WITH {ENCODED},
 w AS (SELECT churn_30d AS y, count(*) AS n, sum(count(*)) OVER () / (count(*) OVER () * CAST(count(*) AS DOUBLE)) AS weight

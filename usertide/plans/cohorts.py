@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from usertide.functions.numeric import percent_text
 from usertide.functions.time import midnight, month_key, month_start
+from usertide.operators.activity import activity_bitmaps, months_by_group
 from usertide.schema import require_columns
+from usertide.session import materialize
 
 
 def cohort_sizes(users: DataFrame) -> DataFrame:
@@ -53,6 +55,30 @@ def retention_cohorts(users: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def retention_from_bitmaps(users: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """:func:`retention_cohorts` from stored activity bitmaps, without the events.
+
+    One row per user meets the users, and what is shuffled after that is a row per cohort and task.
+    """
+    require_columns(users, ["user_id", "signup_date"], "users")
+    cohorts = users.select("user_id", month_start(F.col("signup_date")).alias("cohort")).filter(F.col("cohort").isNotNull())
+    active = months_by_group(materialize(bitmaps.join(cohorts.distinct(), "user_id")), ["cohort"])
+    # One row per calendar month of signup.
+    return active.join(F.broadcast(cohort_sizes(users)), "cohort").select(
+        month_key(F.col("cohort")).alias("cohort_month"),
+        month_key(F.col("month")).alias("event_month"),
+        F.col("active").alias("active_users"),
+        "cohort_size",
+        (F.col("active") / F.col("cohort_size")).alias("retention_rate"),
+    )
+
+
+def retention_by_bitmaps(users: DataFrame, events: DataFrame) -> DataFrame:
+    """:func:`retention_cohorts` with a row per user, not per user and month, before the join."""
+    require_columns(events, ["user_id", "event_timestamp"], "events")
+    return retention_from_bitmaps(users, activity_bitmaps(events))
+
+
 def _at_midnight(signup: Column) -> Column:
     """The signup timestamp; the query fails if it carries a time of day."""
     fine = signup.isNull() | (signup == midnight(signup))
@@ -160,6 +186,13 @@ def retention_matrix(cohorts: DataFrame, months: Sequence[str] | None = None) ->
     return wide.na.fill(0.0).orderBy("cohort_month")
 
 
+def retention_matrix_long(cohorts: DataFrame) -> DataFrame:
+    """(cohort_month, event_month, rate): every cell of :func:`retention_matrix`, the empty ones as 0."""
+    wide = retention_matrix(cohorts)
+    months = [c for c in wide.columns if c != "cohort_month"]
+    return wide.unpivot("cohort_month", [f"`{m}`" for m in months], "event_month", "rate")
+
+
 def global_retention_rates(metrics: DataFrame) -> DataFrame:
     """One row: users and the shares retained by day 7 and day 30 and churned."""
     def share(condition: Column) -> Column:
