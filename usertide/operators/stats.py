@@ -8,14 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usertide.functions.numeric import share_of
-from usertide.operators.ranking import (
-    ordered_counts,
-    present,
-    quantile_columns,
-    quantile_name,
-    running_totals,
-    value_table,
-)
+from usertide.operators.ranking import present, quantile_name
+from usertide.operators.selection import quantiles
+from usertide.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -31,24 +26,21 @@ def to_long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
 def describe(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float] = QUARTILES, digits: int | None = None
 ) -> DataFrame:
-    """One row per column: metric, n, mean, std (sample), min, quantiles, max."""
-    counted = ordered_counts(
-        to_long(df, columns), "value", {"n": F.count(F.lit(1)), "s": F.sum("value")}, by=["metric"]
-    )
-    mean = F.col("s_total") / F.col("n_total")
-    squares = F.sum(F.col("n") * (F.col("value") - mean) ** 2)
-    stats = {
-        "mean": F.max(mean),
-        "std": F.sqrt(F.try_divide(squares, (F.max("n_total") - 1).cast("double"))),
-        "min": F.min("value"),
-        **quantile_columns("value", shares),
-        "max": F.max("value"),
-    }
-    if digits is not None:
-        stats = {name: F.round(c, digits) for name, c in stats.items()}
-    found = counted.groupBy("metric").agg(
-        F.max("n_total").alias("n"), *[c.alias(name) for name, c in stats.items()]
+    """One row per column: metric, n, mean, std (sample), min, quantiles, max.
+
+    Quantiles are exact and come from passes of counts (:mod:`usertide.operators.selection`), so ``df`` is read several times:
+    it should be a stored table or a cheap view of one.
+    """
+    rows = to_long(df, columns)
+    moments = materialize(
+        rows.groupBy("metric").agg(
+            F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")
+        )
     )
+    found = moments.join(quantiles(rows, "value", shares, moments, ["metric"]), "metric")
+    stats = ["mean", "std", "min", *[quantile_name(s) for s in shares], "max"]
+    rounded = [F.col(c) if digits is None else F.round(c, digits).alias(c) for c in stats]
+    found = found.select("metric", "n", *rounded)
     # One row per requested column, so a column without any value still shows, with n = 0.
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "metric string")
     return names.join(found, "metric", "left").na.fill(0, ["n"])
@@ -105,21 +97,25 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 100) -> DataFra
 def boxplot_stats(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Per group and column: quartiles, whisker ends (last values within 1.5 IQR) and outlier count.
 
-    ``by`` must take few values.  The rows are read once; both steps work on the distinct values.
+    ``by`` must take few values.  Quartiles come from passes of counts, the rest from one aggregate, so ``df`` is read
+    several times.
     """
     keys = [by, "metric"]
-    counts = value_table(to_long(df, columns, [by]), "value", {"n": F.count(F.lit(1))}, keys)
-    quartiles = [c.alias(name) for name, c in quantile_columns("value", QUARTILES).items()]
-    boxes = running_totals(counts, "value", ["n"], keys).groupBy(*keys).agg(*quartiles)
+    rows = to_long(df, columns, [by])
+    sizes = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    boxes = quantiles(rows, "value", QUARTILES, sizes, keys)
+    boxes = materialize(boxes.select(F.col(by).alias("_by"), F.col("metric").alias("_metric"), *[quantile_name(s) for s in QUARTILES]))
     q1, q3 = F.col(quantile_name(0.25)), F.col(quantile_name(0.75))
     reach = (q3 - q1) * 1.5
-    placed = counts.join(boxes, keys).withColumn("_inside", F.col("value").between(q1 - reach, q3 + reach))
+    # A row per group and column.
+    placed = rows.join(F.broadcast(boxes), F.col(by).eqNullSafe(F.col("_by")) & (F.col("metric") == F.col("_metric")))
+    placed = placed.withColumn("_inside", F.col("value").between(q1 - reach, q3 + reach))
     return placed.groupBy(*keys).agg(
-        F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("n"),
         *[F.max(quantile_name(s)).alias(quantile_name(s)) for s in QUARTILES],
         F.min(F.when(F.col("_inside"), F.col("value"))).alias("whisker_low"),
         F.max(F.when(F.col("_inside"), F.col("value"))).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~F.col("_inside"), F.col("n"))), F.lit(0)).alias("outliers"),
+        F.count_if(~F.col("_inside")).alias("outliers"),
     )
 
 

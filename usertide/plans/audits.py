@@ -129,7 +129,7 @@ def relational_audit(users: DataFrame, events: DataFrame) -> DataFrame:
 def events_per_user_summary(users: DataFrame, events: DataFrame) -> DataFrame:
     """Distribution of the number of events over the known users that have any."""
     per_user = events_per_user(events).join(known_users(users), "user_id", "left_semi")
-    return describe(per_user, ["event_count"], QUARTILES)
+    return describe(materialize(per_user.select("event_count")), ["event_count"], QUARTILES)
 
 
 def contract_checks(
