@@ -153,7 +153,7 @@ def points(spark, n, seed=3):
 
 def test_silhouettes_equal_all_pairs(spark):
     x, a, b, df = points(spark, 300)
-    got = {r["clustering"]: r for r in silhouettes.euclidean_silhouettes(df, ["u", "v", "w"], {"a": 3, "b": 5}).collect()}
+    got = {r["clustering"]: r for r in silhouettes.euclidean_silhouettes(df, ["u", "v", "w"], ["a", "b"]).collect()}
     for name, labels in (("a", a), ("b", b)):
         assert got[name]["silhouette"] == pytest.approx(brute_silhouette(x, labels).mean())
         assert (got[name]["n_rows"], got[name]["n_sampled"], got[name]["standard_error"]) == (300, 300, 0.0)
@@ -163,7 +163,7 @@ def test_sampled_silhouettes_are_within_their_error(spark):
     x, a, _, df = points(spark, 900)
     whole = brute_silhouette(x, a)
     ids = [r["user_id"] for r in silhouettes.hash_sample(df, "user_id", 200, 42).collect()]
-    got = silhouettes.euclidean_silhouettes(df.repartition(7), ["u", "v", "w"], {"a": 3}, rows=200).first()
+    got = silhouettes.euclidean_silhouettes(df.repartition(7), ["u", "v", "w"], ["a"], rows=200).first()
     assert got["silhouette"] == pytest.approx(whole[ids].mean()) and got["n_sampled"] == 200
     assert got["standard_error"] == pytest.approx(whole[ids].std(ddof=1) / np.sqrt(200) * np.sqrt(1 - 200 / 900))
     assert abs(got["silhouette"] - whole.mean()) < 4 * got["standard_error"]
@@ -171,13 +171,13 @@ def test_sampled_silhouettes_are_within_their_error(spark):
 
 def test_silhouettes_of_odd_tables(spark):
     _, _, _, df = points(spark, 20)
-    one = silhouettes.euclidean_silhouettes(df.withColumn("a", F.lit(0)), ["u"], {"a": 3}).first()
+    one = silhouettes.euclidean_silhouettes(df.withColumn("a", F.lit(0)), ["u"], ["a"]).first()
     assert one["silhouette"] is None and one["n_sampled"] == 20
-    assert silhouettes.euclidean_silhouettes(df.limit(0), ["u"], {"a": 3}).collect() == []
-    same = silhouettes.euclidean_silhouettes(df.withColumn("u", F.lit(1.0)), ["u"], {"a": 3}).first()
+    assert silhouettes.euclidean_silhouettes(df.limit(0), ["u"], ["a"]).collect() == []
+    same = silhouettes.euclidean_silhouettes(df.withColumn("u", F.lit(1.0)), ["u"], ["a"]).first()
     assert same["silhouette"] == 0.0
     nulls = df.withColumn("a", F.when(F.col("user_id") >= 4, F.col("a")))
-    assert silhouettes.euclidean_silhouettes(nulls, ["u"], {"a": 3}).first()["n_rows"] == 16
+    assert silhouettes.euclidean_silhouettes(nulls, ["u"], ["a"]).first()["n_rows"] == 16
 
 
 def test_both_distances_choose_a_tried_k(spark, sf_dir):

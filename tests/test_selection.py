@@ -19,7 +19,8 @@ def bits(x):
 def test_bits_are_those_of_the_double(spark):
     rng = np.random.default_rng(1)
     values = ODD + [float(x) for x in rng.normal(size=300) * 10.0 ** rng.integers(-300, 300, 300)] + [float(2.0**e) for e in range(-1074, 1024, 13)] + [float(np.nextafter(2.0**e, 0)) for e in range(-1000, 1024, 17)]
-    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", selection.ordered_bits(F.col("v")).alias("b"))
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    df = selection.with_ordered_bits(df, "v", "b")
     assert [(r["v"], r["b"]) for r in df.collect()] == [(v, bits(v)) for v in values]
 
 

@@ -359,7 +359,7 @@ SELECT 'cluster' AS clustering, (SELECT count(*) FROM a) AS n_rows, count(*) AS
 
 @query("euclidean_silhouette", SILHOUETTE, ("features",))
 def _(v):
-    return rounded(silhouettes.euclidean_silhouettes(_assigned(v), CENTROID_COLUMNS, {"cluster": 3}))
+    return rounded(silhouettes.euclidean_silhouettes(_assigned(v), CENTROID_COLUMNS, ["cluster"]))
 
 
 # Principal components by repeated squaring: a symmetric matrix multiplied by itself tends to its first component.

@@ -107,7 +107,7 @@ def segment_users(
         labelled = nearest_centroid(labelled, names, centers[k], f"_c{k}")
     labelled = materialize(labelled)
     if distance == "euclidean":
-        clusterings = {f"_c{k}": len(centers[k]) for k in models}
+        clusterings = [f"_c{k}" for k in models]
         rows = euclidean_silhouettes(labelled, names, clusterings, id_col, silhouette_rows, seed).collect()
         found = {int(r["clustering"][2:]): (r["silhouette"], r["standard_error"]) for r in rows}
     cost = inertias(labelled, names, centers)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usertide.plans.model_data import split_key
@@ -25,18 +25,18 @@ def hash_sample(df: DataFrame, id_col: str, rows: int, seed: int) -> DataFrame:
 def euclidean_silhouettes(
     df: DataFrame,
     columns: Sequence[str],
-    clusterings: Mapping[str, int],
+    clusterings: Sequence[str],
     id_col: str = "user_id",
     rows: int = SAMPLED_ROWS,
     seed: int = 42,
 ) -> DataFrame:
     """Mean silhouette of each clustering: (clustering, n_rows, n_sampled, silhouette, standard_error).
 
-    ``clusterings`` names columns of cluster numbers from 0 and says how many clusters each may have.  A row's
+    ``clusterings`` names columns of cluster numbers.  A row's
     silhouette is exact: its distances go to all rows.  The mean is taken over a sample of ``rows`` rows by
     hashed id, which is a stated, bounded query set; it is exact where the table has no more rows, and
     ``standard_error`` says how far it may be off otherwise (0 for all rows, null for a single one).  Every row
-    meets the broadcast sample once, whatever the number of clusterings, and only sums per sampled row and
+    meets the broadcast sample once for each clustering, and only sums per sampled row and
     cluster leave a task, so the work is rows x sample.  A row alone in its cluster counts 0; rows with a null
     cluster are left out; a clustering with fewer than two clusters in use has no silhouette.
     """
@@ -53,46 +53,31 @@ def euclidean_silhouettes(
             *[F.col(f"c{i}").alias(f"s_c{i}") for i in range(len(names))],
         )
     )
-    cells = [(i, j) for i, name in enumerate(names) for j in range(clusterings[name])]
-    # One number per clustering and cluster.
-    sizes = known.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"c{i}") == j).alias(f"n{i}_{j}") for i, j in cells]
-    ).first()
     distance = F.sqrt(reduce(add, [(F.col(f"x{i}") - F.col(f"s_x{i}")) ** 2 for i in range(len(columns))]))
     # The sample has a bounded number of rows: each task compares its rows with a copy of it.
-    met = known.crossJoin(F.broadcast(sample)).withColumn("d", distance)
-    sums = met.groupBy("s", *[f"s_c{i}" for i in range(len(names))]).agg(
-        *[F.sum(F.when(F.col(f"c{i}") == j, F.col("d"))).alias(f"d{i}_{j}") for i, j in cells]
+    met = known.crossJoin(F.broadcast(sample))
+    parts = [
+        met.groupBy("s", F.col(f"s_c{i}").alias("own"), F.col(f"c{i}").alias("other")).agg(F.sum(distance).alias("d"), F.count(F.lit(1)).alias("n")).withColumn("pos", F.lit(i))
+        for i in range(len(names))
+    ]
+    sums = reduce(DataFrame.unionByName, parts)
+    mine = F.col("own") == F.col("other")
+    each = sums.groupBy("pos", "s").agg(
+        F.max(F.when(mine, F.col("n"))).alias("n_own"),
+        F.max(F.when(mine, F.col("d") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("inside"),
+        F.min(F.when(~mine, F.col("d") / F.col("n"))).alias("outside"),
+        F.sum("n").alias("n_rows"),
     )
-    each = sums.select(F.posexplode(F.array(*[_silhouette(i, clusterings[name], sizes) for i, name in enumerate(names)])))
-    n = sizes["n"]
-    found = each.groupBy("pos").agg(
-        F.count(F.lit(1)).alias("n_sampled"), F.avg("col").alias("silhouette"), F.stddev_samp("col").alias("spread")
+    share = F.coalesce(F.try_divide(F.col("outside") - F.col("inside"), F.greatest("inside", "outside")), F.lit(0.0))
+    value = F.when(F.col("outside").isNull(), F.lit(None).cast("double")).when(F.col("n_own") == 1, 0.0).otherwise(share)
+    found = each.withColumn("value", value).groupBy("pos").agg(
+        F.max("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_sampled"), F.avg("value").alias("silhouette"), F.stddev_samp("value").alias("spread")
     )
-    rest = F.sqrt(F.greatest(F.lit(0.0), 1 - F.col("n_sampled") / F.lit(float(max(1, n)))))
-    clustering = F.get(F.array(*[F.lit(name) for name in names]), F.col("pos"))
+    rest = F.sqrt(F.greatest(F.lit(0.0), 1 - F.col("n_sampled") / F.col("n_rows")))
     return found.select(
-        clustering.alias("clustering"),
-        F.lit(n).cast("long").alias("n_rows"),
+        F.get(F.array(*[F.lit(name) for name in names]), F.col("pos")).alias("clustering"),
+        "n_rows",
         "n_sampled",
         "silhouette",
         (F.col("spread") / F.sqrt("n_sampled") * rest).alias("standard_error"),
     )
-
-
-def _silhouette(i: int, k: int, sizes) -> Column:
-    """The silhouette of one sampled row from its summed distances to each cluster."""
-    own, used = F.col(f"s_c{i}"), [j for j in range(k) if sizes[f"n{i}_{j}"]]
-    if len(used) < 2:
-        return F.lit(None).cast("double")
-    mean = {j: F.col(f"d{i}_{j}") / float(sizes[f"n{i}_{j}"]) for j in used}
-    inside = reduce(
-        lambda out, j: F.when(own == j, F.col(f"d{i}_{j}") / float(max(1, sizes[f"n{i}_{j}"] - 1))).otherwise(out),
-        used,
-        F.lit(None).cast("double"),
-    )
-    outside = F.array_min(F.array(*[F.when(own != j, m) for j, m in mean.items()]))
-    alone = reduce(
-        lambda out, j: F.when(own == j, F.lit(sizes[f"n{i}_{j}"] == 1)).otherwise(out), used, F.lit(False)
-    )
-    return F.when(alone, 0.0).otherwise(F.coalesce(F.try_divide(outside - inside, F.greatest(inside, outside)), F.lit(0.0)))
