@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -55,6 +56,8 @@ class Tokenizers:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        # A task has one core; the library would start a thread for each of the machine's.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_str(a_file.decode("utf-8"))
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
