@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,6 @@ from usertide.session import materialize
 
 #: Labelled rows the scorer learns from at most, chosen by a hash of the id.
 FIT_ROWS = 20_000
-#: Word parts with some evidence that compete at most, the strongest first.
-MODEL_PARTS = 20_000
 #: Standard deviations of the lower confidence bound, and the least share that counts as evidence.
 SURE = 3.0
 LEAST = 0.25
@@ -68,6 +66,45 @@ BARE = "".join(c for c in EDGE if c not in LEET)
 LETTER = re.compile(r"[^\W\d_]")
 HIDING = re.compile(r"([^\W\d_])\1|[" + re.escape("".join(LEET) + SEPARATORS) + "]")
 MEMBERS = set(LEET) | set(SEPARATORS)
+LEET_SIGN = re.compile("[" + re.escape("".join(LEET)) + "]")
+#: Passages of a word's chunks (``id iot``) are runs of tokens up to this long.
+CHUNK = 3
+
+
+def kin() -> dict[int, str | None]:
+    """A translation of characters that may stand for each other to one of them; separators vanish."""
+    groups: list[set[str]] = []
+    for c, letters in LEET.items():
+        joined = {c, *letters}.union(*(g for g in groups if g & {c, *letters}))
+        groups = [g for g in groups if not g & joined] + [joined]
+    table: dict[int, str | None] = {ord(c): min(x for x in g if x.isalpha()) for g in groups for c in g}
+    return table | {ord(c): None for c in SEPARATORS}
+
+
+KIN = kin()
+
+
+def skeletons(tokens: list[str]) -> list[str]:
+    """What all readings of a token share: kin letters as one, without repetition and separators.
+
+    Every word of a reading has its skeleton within that of the token, since a lattice only exchanges kin, repeats
+    or shrinks runs, and drops separators.  Tokens hold no line feeds.
+    """
+    return re.sub(r"(.)\1+", r"\1", "\n".join(tokens).translate(KIN)).split("\n") if tokens else []
+
+
+def may_hold(parts: Iterable[str]) -> Callable[[list[str]], np.ndarray]:
+    """A test which of some tokens can have a word with one of ``parts`` in any reading; the others needn't be decoded."""
+    shapes = set(skeletons([p.rstrip("$") for p in parts]))
+    least = sorted(x for x in shapes if not any(x[i:j] in shapes for i in range(len(x)) for j in range(i + 1, len(x) + 1) if j - i < len(x)))
+    pattern = "|".join(map(re.escape, least))
+
+    def test(tokens: list[str]) -> np.ndarray:
+        if not least or not tokens:
+            return np.zeros(len(tokens), bool)
+        return pc.match_substring_regex(pa.array(skeletons(tokens), pa.string()), pattern).to_numpy(zero_copy_only=False)
+
+    return test
 
 
 def code_table() -> np.ndarray:
@@ -132,7 +169,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return steps
 
 
-def decode(token: str, model: np.ndarray, beam: int = 64) -> str:
+def decode(token: str, model: np.ndarray) -> str:
     """The likeliest reading of a token of any length: Viterbi over its lattice, states being the last two letters.
 
     A state holds its reading as a chain of pieces, so that a step costs the same wherever it is.
@@ -150,7 +187,7 @@ def decode(token: str, model: np.ndarray, beam: int = 64) -> str:
                         x, y = y, z
                 if (x, y) not in after or s > after[x, y][0]:
                     after[x, y] = (s, (chain, out))
-        states = after if len(after) <= beam else dict(sorted(after.items(), key=lambda i: (-i[1][0], i[0]))[:beam])
+        states = after
     _, _, chain = min(((-s - model.item(a, b, 0) * (b > 0), (a, b), chain) for (a, b), (s, chain) in states.items()), key=lambda e: e[:2])
     text = []
     while chain:
@@ -164,12 +201,13 @@ def suspect(token: str) -> bool:
     return not token.isalpha() and bool(SUSPECT.search(token.strip(EDGE))) or bool(REPEATED.search(token))
 
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def tokens(texts: pa.Array, wanted: Callable[[list[str]], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """The distinct (row, token) pairs of lower-cased texts as two arrays, and the tokens they number.
 
     Tokens stand between white space; a run of three and more single letters is a token of its own, its
     letters joined by spaces, beside the letters.  So is a run of single letters, leet characters and
-    separators with a letter among them.
+    separators.  With ``wanted`` only tokens that it wants are returned, and runs of short tokens, which may be
+    a word's chunks, are tokens too.
     """
     split = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
     values = split.flatten()
@@ -177,15 +215,23 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     coded = values.dictionary_encode()
     vocabulary, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
 
-    def runs(fits: list[bool]) -> list[np.ndarray]:
+    def runs(fits: list[bool], least: int = 3) -> list[np.ndarray]:
         at = np.flatnonzero(np.array(fits, bool)[code]) if vocabulary else np.empty(0, np.int64)
-        cut = np.split(at, np.flatnonzero((np.diff(at) > 1) | (np.diff(row[at]) > 0)) + 1) if len(at) > 2 else []
-        return [r for r in cut if len(r) >= 3]
+        cut = np.split(at, np.flatnonzero((np.diff(at) > 1) | (np.diff(row[at]) > 0)) + 1) if len(at) >= least else []
+        return [r for r in cut if len(r) >= least]
 
     letters = [len(t) == 1 and t.isalpha() for t in vocabulary]
     members = [x or t in MEMBERS for t, x in zip(vocabulary, letters, strict=True)]
-    mixed = [r for r in runs(members) if 0 < sum(letters[code[i]] for i in r) < len(r)]
-    spaced = [(row[r[0]], " ".join(vocabulary[code[i]] for i in r)) for r in runs(letters) + mixed]
+    mixed = [r for r in runs(members) if not all(letters[code[i]] for i in r)]
+    chunks = runs([len(t) <= CHUNK for t in vocabulary], 2) if wanted else []
+    spaced = [(row[r[0]], " ".join(vocabulary[code[i]] for i in r)) for r in runs(letters) + mixed + chunks]
+    if wanted:
+        fits = wanted([t for _, t in spaced])
+        spaced = [x for x, fit in zip(spaced, fits.tolist(), strict=True) if fit]
+        keep = wanted(vocabulary)
+        place = np.cumsum(keep) - 1
+        row, code = row[keep[code]], place[code[keep[code]]] if len(code) else code
+        vocabulary = [t for t, k in zip(vocabulary, keep.tolist(), strict=True) if k]
     key = np.unique(row * max(len(vocabulary), 1) + code)
     row, code = np.divmod(key, max(len(vocabulary), 1))
     row = np.concatenate([row, np.array([r for r, _ in spaced], np.int64)])
@@ -221,6 +267,13 @@ def bound(toxic: float, clean: float, sure: float = SURE) -> float:
     return (p + z / (2 * n) - sure * math.sqrt(p * (1 - p) / n + z / (4 * n * n))) / (1 + z / n)
 
 
+def least_bound(toxic: Column, clean: Column) -> Column:
+    """``bound`` as a column."""
+    n, z = (toxic + clean).cast("double"), SURE * SURE
+    p = toxic / n
+    return (p + z / (2 * n) - SURE * F.sqrt(p * (1 - p) / n + z / (4 * n * n))) / (1 + z / n)
+
+
 def words(token: str, model: np.ndarray) -> list[str]:
     """The words of a token's readings.
 
@@ -232,7 +285,7 @@ def words(token: str, model: np.ndarray) -> list[str]:
     pieces = [] if " " in token or not suspect(token) else [x for x in MARKS.split(token) if x]
     if len(pieces) > 1:
         found += [w for x in pieces for w in WORD.findall(reading(x, model))]
-    if " " not in token and LETTER.search(token):
+    if " " not in token and (LETTER.search(token) or LEET_SIGN.search(token)):
         core = token.strip(BARE)
         cores = {core, core.lstrip(EDGE), core.rstrip(EDGE), core.strip(EDGE)}
         done = {core.strip(EDGE)} if suspect(token) else set()
@@ -260,9 +313,9 @@ class Reader:
         return self.known[token]
 
 
-def scores(texts: pa.Array, strong_words: Reader) -> np.ndarray:
+def scores(texts: pa.Array, strong_words: Reader, wanted: Callable[[list[str]], np.ndarray]) -> np.ndarray:
     """Per text 1 less the product of 1 less the two strongest words' shares; 0 without any."""
-    row, code, vocabulary = tokens(texts)
+    row, code, vocabulary = tokens(texts, wanted)
     found = [strong_words(t) for t in vocabulary]
     holds = np.array([bool(f) for f in found], bool)
     by_row: dict[int, dict[str, float]] = {}
@@ -306,8 +359,11 @@ def learn(labelled: DataFrame, model: np.ndarray) -> dict[str, float]:
                 total, of_toxic = np.bincount(part, minlength=len(number)), np.bincount(part[toxic], minlength=len(number))
                 yield pa.RecordBatch.from_arrays([pa.array(list(number), pa.string()), pa.array(total - of_toxic), pa.array(of_toxic)], ["part", "clean", "toxic"])
 
-    counted = labelled.select("text", "toxic").mapInArrow(count, "part string, clean long, toxic long").groupBy("part").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    likely = counted.where("toxic >= 3 and toxic > clean * 0.2").orderBy(F.desc(F.col("toxic") / (F.col("toxic") + F.col("clean") + 3)), "part").limit(MODEL_PARTS)
+    counts = labelled.select("text", "toxic").mapInArrow(count, "part string, clean long, toxic long")
+    counted = counts.groupBy("part").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    # The share itself is above its lower bound, and a share of a quarter needs three rows at least.
+    likely = counted.where(F.col("toxic") >= 3).where(least_bound(F.col("toxic"), F.col("clean")) > LEAST - 1e-6)
+    # Of a bounded number of texts.
     clean = {r["part"]: r["clean"] for r in likely.collect() if bound(r["toxic"], r["clean"]) >= LEAST}
     number = {p: i for i, p in enumerate(sorted(clean))}
 
@@ -380,9 +436,9 @@ def toxicity(
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, evidence = shared.value
-        strong_words = Reader(model, strong(evidence))
+        strong_words, wanted = Reader(model, strong(evidence)), may_hold(evidence)
         for texts in batches:
-            yield pa.array(np.concatenate([scores(texts.slice(i, SLICE), strong_words) for i in range(0, len(texts), SLICE)] or [np.zeros(0)]))
+            yield pa.array(np.concatenate([scores(texts.slice(i, SLICE), strong_words, wanted) for i in range(0, len(texts), SLICE)] or [np.zeros(0)]))
 
     out = docs.withColumn("held_out", F.coalesce(rest(F.col(id_col)), F.lit(False))).withColumn("toxicity_score", scored(F.col(text_col)))
     return out.withColumn("toxicity_predicted", (F.col("toxicity_score") >= threshold).cast("int"))
