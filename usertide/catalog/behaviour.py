@@ -8,7 +8,7 @@ from usertide.catalog.registry import query, rounded
 from usertide.operators import activity
 from usertide.operators.checks import align_columns, cast_key_like, fill_by_type
 from usertide.operators.stats import value_counts, value_shares
-from usertide.plans import cohorts, features
+from usertide.plans import buckets, cohorts, features
 from usertide.session import materialize
 
 FEATURE_COLUMNS = """user_id, signup_date, last_active_date, country, device, language, subscription_type,
@@ -62,6 +62,23 @@ def _(v):
     return rounded(features.behaviour_features(v.users(), v.events()))
 
 
+@query("bucketed_user_features", f"SELECT {FEATURE_COLUMNS} FROM features", ("features",))
+def _(v):
+    return rounded(buckets.user_features(buckets.store_buckets(v.users(), v.events())))
+
+
+@query("bucketed_behaviour_features", BEHAVIOUR, ("app_users", "app_events"))
+def _(v):
+    return rounded(buckets.behaviour_features(buckets.store_buckets(v.users(), v.events())))
+
+
+@query("bucketed_retention_metrics", """
+SELECT user_id, signup_date, cohort_month, churn_30d, events_D7, events_D30 FROM metrics
+""", ("metrics",))
+def _(v):
+    return buckets.user_retention_metrics(buckets.store_buckets(v.users(), v.events()))
+
+
 @query("pivot_event_counts", f"SELECT user_id, {COUNTS_BY_TYPE} FROM app_events GROUP BY user_id", ("app_events",))
 def _(v):
     return features.pivot_event_counts(v.events())

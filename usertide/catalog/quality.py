@@ -180,6 +180,23 @@ def _(v):
     return coverage.orphan_events(v.users(), v.raw_events()).select("event_uuid", "user_id")
 
 
+@query("premium_user_events", """
+SELECT event_uuid, user_id FROM app_events WHERE user_id IN (SELECT user_id FROM app_users WHERE subscription_type = 'premium')
+""", ("app_users", "app_events"))
+def _(v):
+    premium = v.users().filter("subscription_type = 'premium'")
+    return coverage.valid_events(premium, v.events(), prefilter=True).select("event_uuid", "user_id")
+
+
+@query("events_without_premium_user", """
+SELECT event_uuid, user_id FROM raw_events e
+WHERE NOT EXISTS (SELECT 1 FROM app_users u WHERE u.user_id = e.user_id AND u.subscription_type = 'premium')
+""", ("app_users", "raw_events"))
+def _(v):
+    premium = v.users().filter("subscription_type = 'premium'")
+    return coverage.orphan_events(premium, v.raw_events(), prefilter=True).select("event_uuid", "user_id")
+
+
 @query("users_without_events", """
 SELECT user_id, country FROM app_users u WHERE NOT EXISTS (SELECT 1 FROM app_events e WHERE u.user_id = e.user_id)
 """, ("app_users", "app_events"))

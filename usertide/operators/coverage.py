@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from usertide.operators.membership import key_filter, possible
+
 
 def events_per_user(events: DataFrame) -> DataFrame:
     """(user_id, event_rows, event_count): all rows, and rows with an event id; null users form one row."""
@@ -34,31 +36,43 @@ def heavy_users(events: DataFrame, known: DataFrame) -> tuple[list, list]:
     return [r[0] for r in found if r[1]], [r[0] for r in found if not r[1]]
 
 
-def _split_events(users: DataFrame, events: DataFrame, kind: str) -> DataFrame:
+def _split_events(users: DataFrame, events: DataFrame, kind: str, prefilter: bool) -> DataFrame:
     """Events with (``left_semi``) or without (``left_anti``) a known user.
 
-    Events of heavy users and of nobody are told apart by a filter and never shuffled; only the rest joins.
+    Events of heavy users and of nobody are told apart by a filter and never shuffled; only the rest joins.  With
+    ``prefilter`` that is the part of it that a Bloom filter of the users lets pass.
     """
     known = known_users(users)
     there, absent = heavy_users(events, known)
     own = F.col("user_id")
     alone = [x for group in (there, absent) for x in group]
     rest = events.filter(own.isNotNull() & ~own.isin(alone)) if alone else events.filter(own.isNotNull())
+    unknown = None
+    if prefilter and (found := key_filter(known, "user_id")):
+        told = possible(rest, found, "user_id", "__possible")
+        rest, unknown = told.filter("__possible"), told.filter("not __possible").select(*events.columns)
     joined = rest.join(known, "user_id", kind).select(*events.columns)
     if kind == "left_anti":
+        joined = joined if unknown is None else joined.union(unknown)
         aside = events.filter(own.isNull() | own.isin(absent)) if absent else events.filter(own.isNull())
         return joined.union(aside)
     return joined.union(events.filter(own.isin(there))) if there else joined
 
 
-def valid_events(users: DataFrame, events: DataFrame) -> DataFrame:
-    """Events whose user exists."""
-    return _split_events(users, events, "left_semi")
+def valid_events(users: DataFrame, events: DataFrame, prefilter: bool = False) -> DataFrame:
+    """Events whose user exists.
+
+    ``prefilter`` pays where ``users`` is a selection, so that most events have none of them.
+    """
+    return _split_events(users, events, "left_semi", prefilter)
 
 
-def orphan_events(users: DataFrame, events: DataFrame) -> DataFrame:
-    """Events whose user does not exist, a null user included."""
-    return _split_events(users, events, "left_anti")
+def orphan_events(users: DataFrame, events: DataFrame, prefilter: bool = False) -> DataFrame:
+    """Events whose user does not exist, a null user included.
+
+    ``prefilter`` pays where most events have no user; it reads the events once more.
+    """
+    return _split_events(users, events, "left_anti", prefilter)
 
 
 def users_without_events(users: DataFrame, events: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usertide.functions.numeric import ENGAGEMENT_WEIGHTS, safe_ratio, weighted_score
@@ -30,21 +30,14 @@ def event_summary(events: DataFrame) -> DataFrame:
     )
 
 
-def user_features(users: DataFrame, events: DataFrame) -> DataFrame:
+def user_features(users: DataFrame, events: DataFrame, newest: Column | None = None) -> DataFrame:
     """All user columns plus event_count, recency_days and unique_event_types.
 
-    Recency counts whole days back from the latest event of anyone; users without events get 9999.
+    Recency counts whole days back from the latest event of anyone, or from ``newest``; users without events get 9999.
     """
     require_columns(events, ["event_uuid", "user_id", "event_type", "event_timestamp"], "events")
     summary = event_summary(events)
-    # Taking the maximum over the whole summary row lets Spark answer it from the shuffle the summary
-    # has already written, instead of reading the events again.  Events of nobody are looked up apart:
-    # Parquet skips the row groups without a null user.
-    of_users = summary.select(
-        F.max(F.struct("last_event", "event_count", "unique_event_types", "user_id"))["last_event"]
-    ).scalar()
-    of_nobody = events.filter(F.col("user_id").isNull()).select(F.max("event_timestamp")).scalar()
-    newest = F.greatest(of_users, of_nobody)
+    newest = _newest_event(summary, events) if newest is None else newest
     measured = summary.select(
         "user_id",
         "event_count",
@@ -56,6 +49,18 @@ def user_features(users: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def _newest_event(summary: DataFrame, events: DataFrame) -> Column:
+    """The time of the latest event of anyone, from the summary of the events."""
+    # Taking the maximum over the whole summary row lets Spark answer it from the shuffle the summary
+    # has already written, instead of reading the events again.  Events of nobody are looked up apart:
+    # Parquet skips the row groups without a null user.
+    of_users = summary.select(
+        F.max(F.struct("last_event", "event_count", "unique_event_types", "user_id"))["last_event"]
+    ).scalar()
+    of_nobody = events.filter(F.col("user_id").isNull()).select(F.max("event_timestamp")).scalar()
+    return F.greatest(of_users, of_nobody)
+
+
 def event_types_of(events: DataFrame) -> list[str]:
     """The event types that occur, sorted.  They become column names; ``event_counts_long`` needs none."""
     return sorted(r[0] for r in events.select("event_type").filter("event_type is not null").distinct().collect())
