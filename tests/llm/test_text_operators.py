@@ -99,6 +99,16 @@ def test_rare_language_beside_a_large_one_keeps_its_words(spark):
     assert min(got[i]["lang_score"] for i in tried) > 0.999  # each word is some twelve times likelier in b
 
 
+def letter_runs(text):
+    return "".join(c if c.isalpha() else " " for c in text.lower()).split()
+
+
+def test_numerals_and_signs_are_no_letters(spark):
+    rows = [(i, "one two three four", "en") for i in range(20)] + [(100 + i, t, None) for i, t in enumerate(["\u00b2", "\u00bd \u2460", "\u2167", "12_3", "\u00b2one"])]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [got[100 + i] for i in range(5)] == ["und"] * 4 + ["en"]
+
+
 @pytest.mark.parametrize("hot", [0, 40, 10**6])
 def test_joined_words_score_as_broadcast_ones(spark, docs, monkeypatch, hot):
     monkeypatch.setattr(language_id, "HOT", hot)
@@ -109,14 +119,14 @@ def test_joined_words_score_as_broadcast_ones(spark, docs, monkeypatch, hot):
     words, grams = {}, {}
     for r in rows:
         if r["lang"] is not None and r["text"] is not None and not r["held_out"]:
-            for w in (w for t in r["text"].lower().split() for w in language_id.WORD.findall(t)):
+            for w in letter_runs(r["text"]):
                 words.setdefault(w, Counter())[r["lang"]] += 1
                 for g in (g for n in range(1, 6) for g in language_id.grams(w, n)):
                     grams.setdefault(g, Counter())[r["lang"]] += 1
     model = language_id.Model(sorted({x for c in words.values() for x in c}), words, grams)
     assert len(rows) == 181
     for r in rows:
-        parts = [w for t in (r["text"] or "").lower().split() for w in language_id.WORD.findall(t)]
+        parts = letter_runs(r["text"] or "")
         total = np.sum([model.word(w) for w in parts], axis=0, dtype=np.float64)
         share = np.exp(total - total.max()) / np.exp(total - total.max()).sum() if parts else [0.0]
         assert r["lang_pred"] == (model.langs[total.argmax()] if parts else "und")

@@ -10,7 +10,6 @@ additions nor the number of broadcast words changes a result.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usertide.llm.words import least_count, token_counts
+from usertide.llm.words import least_count, words_of
 from usertide.session import materialize
 
 #: Words, and n-grams, that are broadcast at most (fewer for many languages), and texts with copies; the rest is joined.
@@ -34,7 +33,6 @@ SCALE = 2**24
 SLICE = 1000
 HELD = 200_000
 SMOOTH = 0.5
-WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
 
@@ -62,15 +60,11 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 langs = piece.column("lang").to_pylist()
                 for lang in set(langs):
                     texts = piece.column("text").filter(pa.array([x == lang for x in langs]))
-                    _, code, n, vocabulary = token_counts(texts)
-                    total = np.bincount(code, weights=n, minlength=len(vocabulary)).astype(np.int64).tolist()
+                    _, code, vocabulary = words_of(texts)
                     counts = found.setdefault(lang, Counter())
-                    for token, k in zip(vocabulary, total, strict=True):
-                        if token.isalpha():
-                            counts[token] += k
-                        else:
-                            for word in WORD.findall(token):
-                                counts[word] += k
+                    for word, k in zip(vocabulary.to_pylist(), np.bincount(code, minlength=len(vocabulary)).tolist(), strict=True):
+                        if word:
+                            counts[word] += k
                 if sum(map(len, found.values())) > HELD:
                     yield from emitted(found)
                     found = {}
@@ -221,29 +215,19 @@ def text_sums(texts: DataFrame, scored: DataFrame, columns: list[str]) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, values = shared.value
-        known: dict[str, tuple] = {}
         for batch in batches:
             for piece in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
-                row, code, n, vocabulary = token_counts(piece.column("text"))
-                if len(known) > 300_000:
-                    known.clear()
-                table, letters, rare = np.zeros((len(vocabulary), size), np.int64), np.zeros(len(vocabulary), np.int64), []
-                for i, token in enumerate(vocabulary):
-                    if (found := known.get(token)) is None:
-                        parts = WORD.findall(token)
-                        hot = [place[w] for w in parts if w in place]
-                        found = known[token] = (values[hot].sum(axis=0), len(parts), [w for w in parts if w not in place])
-                    table[i], letters[i] = found[:2]
-                    rare.append(found[2])
-                cold: list[Counter] = [Counter() for _ in range(piece.num_rows)]
-                for r, c, k in zip(*(x[np.array([bool(w) for w in rare], bool)[code]].tolist() for x in (row, code, n)), strict=True) if rare else ():
-                    for w in rare[c]:
-                        cold[r][w] += k
-                offsets = pa.array(np.cumsum([0, *map(len, cold)]), pa.int32())
-                pairs = pa.StructArray.from_arrays([pa.array([w for c in cold for w in c], pa.string()), pa.array([k for c in cold for k in c.values()], pa.int64())], ["word", "n"])
-                sums = [np.bincount(row, weights=n * table[code, k], minlength=piece.num_rows).astype(np.int64) for k in range(size)]
-                total = np.bincount(row, weights=letters[code], minlength=piece.num_rows).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([piece.column("digest"), pa.array(total), pa.ListArray.from_arrays(offsets, pairs), *map(pa.array, sums)], ["digest", "letters", "cold", *columns])
+                rows = piece.num_rows
+                row, code, vocabulary = words_of(piece.column("text"))
+                at = np.array([place.get(w, -1) for w in vocabulary.to_pylist()], np.int64)[code]
+                hot, hot_row = at[at >= 0], row[at >= 0]
+                sums = [np.bincount(hot_row, weights=values[hot, k], minlength=rows).astype(np.int64) for k in range(size)]
+                many = max(len(vocabulary), 1)
+                pair, n = np.unique(row[at < 0] * many + code[at < 0], return_counts=True)
+                offsets = pa.array(np.searchsorted(pair, np.arange(rows + 1) * many), pa.int32())
+                pairs = pa.StructArray.from_arrays([vocabulary.take(pa.array(pair % many)), pa.array(n.astype(np.int64))], ["word", "n"])
+                letters = pa.array(np.bincount(row, minlength=rows))
+                yield pa.RecordBatch.from_arrays([piece.column("digest"), letters, pa.ListArray.from_arrays(offsets, pairs), *map(pa.array, sums)], ["digest", "letters", "cold", *columns])
 
     schema = "digest binary, letters long, cold array<struct<word: string, n: long>>" + "".join(f", {c} long" for c in columns)
     first = [F.first(c).alias(c) for c in ("letters", "cold", *columns)]

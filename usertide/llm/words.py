@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def token_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
-    """Rows, token numbers and counts of lower-cased texts cut at white space, and the tokens they number."""
-    split = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The row and word number of every word of lower-cased texts, a maximal run of letters, and the words they number."""
+    split = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\p{L}]+")
     row = np.repeat(np.arange(len(split)), np.diff(split.offsets.to_numpy()))
     coded = split.flatten().dictionary_encode()
-    size = max(len(coded.dictionary), 1)
-    key, n = np.unique(row * size + coded.indices.to_numpy().astype(np.int64), return_counts=True)
-    row, code = np.divmod(key, size)
-    return row, code, n, coded.dictionary.to_pylist()
+    code = coded.indices.to_numpy().astype(np.int64)
+    # What stands before the first and after the last run of other characters may be empty.
+    empty = pc.index(coded.dictionary, "").as_py()
+    there = code != empty
+    return row[there], code[there], coded.dictionary
 
 
 def least_count(counts: DataFrame, n_col: str, most: int) -> int:
