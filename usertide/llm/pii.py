@@ -5,18 +5,24 @@ corpus gets one surrogate, drawn from a keyed hash and of the same kind: phone n
 code, cards a valid check digit, names their gender and script, secrets their alphabet.  Occurrences keep
 their own format (spaces, brackets, case), so ``+1 (980) 555-0100`` and ``1-980-555-0100`` stay one number.
 Surrogates that meet another surrogate or any original value are drawn again until all are distinct.
+
+Names are found behind a form of address.  The parts of such a name are then replaced wherever else the same
+text has them (``Smith said``), as are initials before its surname (``J. Smith``).  Numbers that look like
+cards but fail the check digit aren't cards and stay, as does plain prose behind a label and a colon.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usertide.session import materialize
 
 #: Forms of address by gender, Latin and Cyrillic.
-MALE = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Don", "Signor", "господин", "Господин", "г-н")
-FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Señora", "Señorita", "Sra", "Doña", "Signora", "госпожа", "Госпожа", "г-жа")
+MALE = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Don", "Sir", "Signor", "господин", "Господин", "г-н")
+FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Lady", "Señora", "Señorita", "Sra", "Doña", "Signora", "госпожа", "Госпожа", "г-жа")
 NEUTRAL = ("Dr", "Prof")
 #: Words within a name that start small; they stay.
 PARTICLES = (
@@ -45,20 +51,30 @@ SHORT = 8
 LABEL = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?[ ]{0,2}(?::=|=>|={1,3}|:)[ ]{0,2}[\"']?"
 UNQUOTED = LABEL.removesuffix(r"[\"']?")
 #: A value goes up to its closing quote, whatever it holds, or where none is open up to white space.
-VALUE = r"""(?:"(?:[^"\\\r\n]|\\.)++(?="|\z)|'(?:[^'\\\r\n]|\\.)++(?='|\z)|(?![\"']{2})["']?\S+)"""
+#: Words behind a colon that go on as a sentence are no value.
+PROSE = r"\p{L}[\p{L}'’-]*+(?:[.,;:!?)]++(?:\s|\z)|[ \t]{1,2}+\p{L}[\p{L}'’-]*+(?![\p{L}\p{N}_=:@]))"
+VALUE = r"""(?:"(?:[^"\\\r\n]|\\.)++(?="|\z)|'(?:[^'\\\r\n]|\\.)++(?='|\z)|(?!(?<=: )""" + PROSE + r""")(?![\"']{2})["']?\S+)"""
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "secret": r"(?<![A-Za-z0-9_])" + UNQUOTED + VALUE,
+    "secret": r"(?<![A-Za-z0-9])" + UNQUOTED + VALUE,
     "access": r"(?<![A-Za-z0-9])A(?:KI|SI)A[0-9A-Z]{16}(?![A-Za-z0-9])",
     "hex": r"(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
-    "card": r"(?<![0-9])(?:[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])",
+    "card": r"(?<![0-9])(?:[2-6][0-9]{3}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}|(?:1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4})(?![0-9])",
+    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}|(?:1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}|0[1-9][0-9]{1,4}[ /-][0-9]{5,8})(?![0-9])",
     "name": r"(?<![\p{L}])" + TITLES + NAMES,
 }
 ENTITY = "|".join(PATTERNS.values())
+#: In texts that hold a name: any other capitalised word, with the initials before it.
+MENTION = (
+    r"(?<![\p{L}\p{M}\p{N}_])(?:(?:\p{Lu}\. ?){1,3}+(?!" + ENTITY + r"))?+"
+    r"\p{Lu}(?:['’]\p{Lu})?[\p{L}\p{M}]++(?:['’-](?!A[KS]IA)\p{Lu}[\p{L}\p{M}]++)*+(?![\p{N}_])"
+)
+#: The setting that holds the key of the surrogates.
+KEY = "spark.usertide.pii.secret"
+_OWN_KEYS: dict[str, str] = {}
 #: Every entity but a name holds one of these; most texts hold none, and one look tells.
 SIGNS = r"[0-9@=:]|A[KS]IA|[a-f]{32}"
 PIECE = "array<struct<kind: string, key: string, raw: string, gender: string>>"
@@ -72,11 +88,16 @@ def piece(kind: Column | str | None, key: Column | None, raw: Column, gender: Co
 def kind_of(raw: Column) -> Column:
     """The kind of a match: the first pattern that fits the whole of it."""
     out = F.when(F.lit(False), F.lit(""))
-    for kind, pattern in PATTERNS.items():
+    for kind, pattern in (PATTERNS | {"mention": MENTION}).items():
         out = out.when(raw.rlike(f"^(?:{pattern})$"), F.lit(kind))
     return out
 
 
+def initial_key(name: Column, surname: Column) -> Column:
+    """What an initial is looked up by: its letter and the surname behind it."""
+    return F.concat(F.lower(F.substring(name, 1, 1)), F.lit(". "), F.lower(surname))
+
+
 def pieces(raw: Column) -> Column:
     """A match as literal pieces (no kind) and entities; a name's parts are entities of their own."""
     kind = kind_of(raw)
@@ -103,9 +124,16 @@ def pieces(raw: Column) -> Column:
 
     whole = F.concat(F.array(piece(None, None, title)), F.flatten(F.transform(names, named)))
     plain = F.lower(F.regexp_replace(raw, "[^A-Za-z0-9]", ""))
+    valid = check_digit(plain.substr(F.lit(1), F.length(plain) - 1)) == F.right(plain, F.lit(1))
+    before = F.regexp_extract(raw, r"^(?:\p{Lu}\. ?)*", 0)
+    word = raw.substr(F.length(before) + 1, F.length(raw))
+    letters = F.regexp_extract_all(before, F.lit(r"\p{Lu}\. ?"), F.lit(0))
+    initials = F.transform(letters, lambda x: piece("initial", initial_key(x, word), x))
     return (
         F.when(kind == "name", whole)
         .when(kind == "secret", F.array(piece(None, None, label), piece(kind, F.lower(F.regexp_replace(value, r"[^\p{L}\p{N}]", "")), value)))
+        .when(kind == "mention", F.concat(initials, F.array(piece(kind, F.lower(word), word))))
+        .when((kind == "card") & ~valid, F.array(piece(None, None, raw)))
         .when(kind.isin("email", "ip"), alone(F.lower(raw)))
         .otherwise(alone(plain))
         .cast(PIECE)
@@ -163,6 +191,28 @@ def check_digit(body: Column) -> Column:
     return F.pmod(-total, F.lit(10)).cast("string")
 
 
+def remainder(text: Column) -> Column:
+    """The remainder by 97 of digits and small letters, a letter being a number from 10 on."""
+    digit = lambda a, c: F.when(c.rlike("[0-9]"), a * 10 + c.cast("int")).otherwise(a * 100 + F.ascii(c) - 87)
+    return F.aggregate(F.split(text, ""), F.lit(0), lambda a, c: F.pmod(digit(a, c), F.lit(97)).cast("int"))
+
+
+def telephone(key: Column, mask: Column, stream: Column) -> Column:
+    """A number with its country code, and an area code and exchange as they are given out.
+
+    Ten digits are national, those before them the country code; of a number with a leading 0 that stays.
+    Numbers of fewer digits are masked, those of eight and nine but for two of the country code.
+    """
+    size = F.length(key)
+    local = key.startswith("0")
+    cut = F.when(local, 1).when(size < 8, 0).when(size < 10, 2).otherwise(size - 10)
+    drawn = lambda i, values: one_of(values, number(stream, cut + i, len(values)))
+    area = F.concat(drawn(0, "23456789"), drawn(1, "2345678"), mask.substr(cut + 3, F.lit(1)))
+    full = F.concat(area, drawn(3, "23456789"), drawn(4, "23456789"), mask.substr(cut + 6, size))
+    rest = F.when(local, F.concat(drawn(0, "123456789"), mask.substr(cut + 2, size))).when(size < 10, mask.substr(cut + 1, size)).otherwise(full)
+    return F.concat(key.substr(F.lit(1), cut), rest)
+
+
 def invented(script: str, ending: str, stream: Column, attempt: Column) -> Column:
     """A name of syllables; each failed draw makes it longer by one, so there are always enough."""
     syllables = SYLLABLES[script]
@@ -175,8 +225,9 @@ def surrogate(kind: Column, key: Column, attempt: Column, stream: Column) -> Col
     mask = masked(kind, key, stream)
     size = F.length(key)
     card = F.concat(F.substring(key, 1, 1), mask.substr(F.lit(2), size - 2))
-    cut = F.greatest(size - 10, F.lit(0))
-    phone = F.concat(key.substr(F.lit(1), cut), mask.substr(cut + 1, size))
+    account = mask.substr(F.lit(5), size)
+    country = F.substring(key, 1, 2)
+    iban = F.concat(country, F.lpad((98 - remainder(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0"), account)
     local = F.substring_index(mask_keeping(kind, key, stream), "@", 1)
     domain = F.regexp_replace(F.substring_index(mask_keeping(kind, key, stream), "@", -1), r"[^.]+$", "example")
     ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (number(stream, i * 2, 254) + 1).cast("string")), ".")
@@ -185,10 +236,10 @@ def surrogate(kind: Column, key: Column, attempt: Column, stream: Column) -> Col
         .when(kind == "ip", ip)
         .when((kind == "secret") & (size < SHORT), shifted(key, stream))
         .when(kind == "card", F.concat(card, check_digit(card)))
-        .when(kind == "phone", phone)
+        .when(kind == "phone", telephone(key, mask, stream))
         .when(kind == "ssn", F.concat(F.lit("9"), mask.substr(F.lit(2), size)))
         .when(kind == "access", F.concat(F.substring(key, 1, 4), mask.substr(F.lit(5), size)))
-        .when(kind == "iban", F.concat(F.substring(key, 1, 2), mask.substr(F.lit(3), size)))
+        .when(kind == "iban", iban)
     )
     for (script, gender), ending in ENDINGS.items():
         out = out.when(kind == f"name-{script}-{gender}", invented(script, ending, stream, attempt))
@@ -213,8 +264,9 @@ def formatted(kind: Column, raw: Column, value: Column) -> Column:
     filled = F.aggregate(F.split(raw, ""), F.struct(F.lit("").alias("text"), F.lit(0).alias("at")), step, lambda acc: acc["text"])
     # Initials are fewer than the names they stand for: one shows a letter of its value, never its own.
     first = F.upper(F.substring(value, 1, 1))
-    initial = F.when(first == raw, F.upper(F.substring(value, 2, 1))).otherwise(first)
-    name = F.when(kind.endswith("-i"), initial).when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(value)).otherwise(F.initcap(value))
+    initial = F.when(first == F.substring(raw, 1, 1), F.upper(F.substring(value, 2, 1))).otherwise(first)
+    short = F.when(kind.endswith("-i"), initial).when(raw.rlike(r"^\p{Lu}\. ?$"), F.concat(initial, raw.substr(F.lit(2), F.length(raw))))
+    name = short.when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(value)).otherwise(F.initcap(value))
     return F.when(kind.startswith("name-"), name).when(kind.isin("email", "ip"), F.when(raw == F.upper(raw), F.upper(value)).otherwise(value)).otherwise(filled)
 
 
@@ -252,35 +304,71 @@ def resolved(parts: DataFrame) -> DataFrame:
     return each.select(F.when(given, F.concat(F.regexp_replace("kind", "g$", ""), gender)).otherwise(F.col("kind")).alias("kind"), "key")
 
 
-def has_entities(text: Column) -> Column:
-    """Whether ``ENTITY`` is found in a text; the long patterns run only where a cheap sign of them stands."""
-    most = "|".join(pattern for kind, pattern in PATTERNS.items() if kind != "name")
+def mentions_resolved(parts: DataFrame) -> DataFrame:
+    """``parts`` with mentions and initials as the names of the same text that they repeat, or as literal pieces.
+
+    A word that the text has both as given name and as surname counts as given name; an initial of several
+    names with one surname stands for the first of them by key.
+    """
+    names = parts.where("kind like 'name-%-g' or kind like 'name-%-s'").select("__digest", "i", "key", "kind")
+    given, last = names.where("kind like '%-g'"), names.where("kind like '%-s'").select("__digest", "i", F.col("key").alias("surname"))
+    short = given.join(last, ["__digest", "i"]).select("__digest", initial_key(F.col("key"), F.col("surname")).alias("short"), "kind", "key")
+    whole = names.select("__digest", F.col("key").alias("short"), "kind", "key")
+    known = whole.union(short).groupBy("__digest", "short").agg(F.min(F.struct("kind", "key")).alias("own"))
+    open_ = parts.where("kind in ('mention', 'initial')").withColumnRenamed("key", "short").join(known, ["__digest", "short"], "left")
+    found = open_.select("__digest", "i", "j", F.col("own.kind").alias("kind"), F.col("own.key").alias("key"), "raw", "gender")
+    return parts.where("kind is null or kind not in ('mention', 'initial')").select(*found.columns).union(found)
+
+
+def has_name(text: Column) -> Column:
+    """Whether a text holds a name behind a form of address."""
     titled = F.lit(False)
     for title in (*MALE, *FEMALE, *NEUTRAL):
         titled = titled | text.contains(title)
-    return F.coalesce((text.rlike(SIGNS) & text.rlike(most)) | (titled & text.rlike(PATTERNS["name"])), F.lit(False))
+    return F.coalesce(titled & text.rlike(PATTERNS["name"]), F.lit(False))
+
+
+def has_entities(text: Column) -> Column:
+    """Whether ``ENTITY`` is found in a text; the long patterns run only where a cheap sign of them stands."""
+    most = "|".join(pattern for kind, pattern in PATTERNS.items() if kind != "name")
+    return F.coalesce((text.rlike(SIGNS) & text.rlike(most)) | has_name(text), F.lit(False))
+
+
+def key_of(spark: SparkSession) -> str:
+    """The key that the session names in ``spark.usertide.pii.secret``, else one drawn for this application.
+
+    Whoever knows the key can draw the surrogates again, so there is no fixed one.  A drawn key makes
+    surrogates agree within an application only; set the key where several runs must agree.
+    """
+    return spark.conf.get(KEY, None) or _OWN_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
 
 
-def replace_pii(docs: DataFrame, *, text_col: str = "text", secret: str = "surrogate key") -> DataFrame:
+def replace_pii(docs: DataFrame, *, text_col: str = "text", secret: str | None = None) -> DataFrame:
     """All columns of ``docs`` with ``text_col`` replaced and ``n_entities``, the number of replaced entities.
 
     Null and empty texts and texts without entities stay as they are, with 0.  Equal texts get equal results,
     so rows may repeat.  An added column replaces a column of the same name.  Rows without entities aren't
-    shuffled.
+    shuffled.  ``secret`` is the key of the surrogates; without one ``key_of`` the session serves.
     """
+    secret = secret or key_of(docs.sparkSession)
     text = F.col(text_col)
     has = has_entities(text)
     clean = docs.where(~has).withColumn("n_entities", F.lit(0).cast("long"))
     held = docs.where(has).withColumn("__digest", F.md5(text.cast("binary")))
-    texts = materialize(held.select("__digest", F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)).alias("__found")).dropDuplicates(["__digest"]))
-    parts = materialize(texts.select("__digest", F.posexplode("__found").alias("i", "match")).select("__digest", "i", F.posexplode(pieces(F.col("match"))).alias("j", "p")).select("__digest", "i", "j", "p.*"))
+    everything = f"{ENTITY}|{MENTION}"
+    matches = lambda pattern: F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.when(has_name(text), matches(everything)).otherwise(matches(ENTITY))
+    texts = materialize(held.select("__digest", found.alias("__found")).dropDuplicates(["__digest"]))
+    pieced = materialize(texts.select("__digest", F.posexplode("__found").alias("i", "match")).select("__digest", "i", F.posexplode(pieces(F.col("match"))).alias("j", "p")).select("__digest", "i", "j", "p.*"))
+    parts = mentions_resolved(pieced)
     value = surrogates(resolved(parts), secret).withColumn("kind", F.regexp_replace("kind", "^(name-.*-)[mfx]$", "$1g"))
-    known = parts.join(value, ["kind", "key"], "left")
+    literal = parts.where("kind is null").withColumn("value", F.lit(None).cast("string"))
+    known = parts.where("kind is not null").join(value, ["kind", "key"], "left").unionByName(literal)
     out = F.when(F.col("value").isNull(), F.col("raw")).otherwise(formatted(F.col("kind"), F.col("raw"), F.col("value")))
     joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(c, "out"))), lambda x: x["out"]), "")
     by_match = known.withColumn("out", out).groupBy("__digest", "i").agg(joined("j").alias("out"), F.count("kind").alias("n"))
     by_text = by_match.groupBy("__digest").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "out"))), lambda x: x["out"]).alias("__out"), F.sum("n").alias("n_entities"))
-    between = F.split(text, ENTITY, -1)
+    between = F.when(has_name(text), F.split(text, everything, -1)).otherwise(F.split(text, ENTITY, -1))
     rebuilt = F.array_join(F.zip_with(between, F.concat("__out", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     changed = held.drop("n_entities").join(by_text, "__digest").withColumn(text_col, rebuilt)
     return changed.select(*clean.columns).union(clean)
