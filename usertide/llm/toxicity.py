@@ -17,6 +17,7 @@ import math
 import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,9 @@ LEAST = 0.25
 ALONE = 0.65
 THRESHOLD = 0.3
 #: Texts scored at once.
-SLICE = 1000
+SLICE = 400
+#: Texts whose words are taken apart at once while learning; a text has some thousand parts.
+FEW = 100
 PREFIXES = (4, 5, 6, 7, 8)
 
 #: What a character may stand for in leetspeak.
@@ -299,6 +302,10 @@ def strength(word: str, evidence: dict[str, float]) -> float:
     return max(evidence.get(p, 0.0) for p in parts(word))
 
 
+#: What most tokens hold; shared, as so many are remembered.
+NOTHING: dict[str, float] = {}
+
+
 class Reader:
     """Looks up the words of tokens, or what a function makes of them; remembers a bounded number of tokens."""
 
@@ -330,7 +337,7 @@ def scores(texts: pa.Array, strong_words: Reader, wanted: Callable[[list[str]],
 
 def strong(evidence: dict[str, float]) -> object:
     """A function that keeps of some words those with evidence, and how much."""
-    return lambda found: {w: v for w in found if (v := strength(w, evidence)) > 0}
+    return lambda found: {w: v for w in found if (v := strength(w, evidence)) > 0} or NOTHING
 
 
 def incidence(texts: pa.Array, numbers: Reader) -> tuple[np.ndarray, np.ndarray]:
@@ -346,6 +353,15 @@ def incidence(texts: pa.Array, numbers: Reader) -> tuple[np.ndarray, np.ndarray]
     return np.divmod(np.unique(rows * most + flat[at]), most)
 
 
+def in_order(names: dict[str, int], size: int = 20_000) -> Iterator[tuple[int, list[str]]]:
+    """Names in order, some at a time, with the place of the first."""
+    entries = iter(names)
+    at = 0
+    while few := list(islice(entries, size)):
+        yield at, few
+        at += len(few)
+
+
 def learn(labelled: DataFrame, model: np.ndarray) -> dict[str, float]:
     """The evidence of word parts, from a bounded number of rows ``row_id, text, toxic`` (0 or 1)."""
 
@@ -353,11 +369,16 @@ def learn(labelled: DataFrame, model: np.ndarray) -> dict[str, float]:
         for batch in batches:
             for piece in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
                 number: dict[str, int] = {}
-                numbers = Reader(model, lambda found: {number.setdefault(p, len(number)) for w in found for p in parts(w)})  # noqa: B023
-                row, part = incidence(piece.column("text"), numbers)
-                toxic = piece.column("toxic").to_numpy()[row] == 1
-                total, of_toxic = np.bincount(part, minlength=len(number)), np.bincount(part[toxic], minlength=len(number))
-                yield pa.RecordBatch.from_arrays([pa.array(list(number), pa.string()), pa.array(total - of_toxic), pa.array(of_toxic)], ["part", "clean", "toxic"])
+                numbers = Reader(model, lambda found: tuple({number.setdefault(p, len(number)) for w in found for p in parts(w)}))  # noqa: B023
+                held = np.zeros((2, 0), np.int64)
+                for few in (piece.slice(i, FEW) for i in range(0, piece.num_rows, FEW)):
+                    row, part = incidence(few.column("text"), numbers)
+                    toxic = few.column("toxic").to_numpy()[row]
+                    counts = np.stack([np.bincount(part[toxic == k], minlength=len(number)) for k in (0, 1)])
+                    counts[:, : held.shape[1]] += held
+                    held = counts
+                yield from (pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *map(pa.array, held[:, at : at + len(names)])], ["part", "clean", "toxic"]) for at, names in in_order(number))
+            pa.default_memory_pool().release_unused()
 
     counts = labelled.select("text", "toxic").mapInArrow(count, "part string, clean long, toxic long")
     counted = counts.groupBy("part").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
@@ -370,8 +391,9 @@ def learn(labelled: DataFrame, model: np.ndarray) -> dict[str, float]:
     def list_toxic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = Reader(model, lambda found: [number[p] for w in found for p in parts(w) if p in number])
         for batch in batches:
-            row, part = incidence(batch.column("text"), numbers)
-            yield pa.RecordBatch.from_arrays([batch.column("row_id").take(pa.array(row)), pa.array(part)], ["row_id", "part"])
+            for few in (batch.slice(i, FEW) for i in range(0, batch.num_rows, FEW)):
+                row, part = incidence(few.column("text"), numbers)
+                yield pa.RecordBatch.from_arrays([few.column("row_id").take(pa.array(row)), pa.array(part)], ["row_id", "part"])
 
     holds: dict[int, set] = {}
     for r in labelled.where("toxic = 1").select("row_id", "text").mapInArrow(list_toxic, "row_id long, part long").collect():
@@ -439,6 +461,7 @@ def toxicity(
         strong_words, wanted = Reader(model, strong(evidence)), may_hold(evidence)
         for texts in batches:
             yield pa.array(np.concatenate([scores(texts.slice(i, SLICE), strong_words, wanted) for i in range(0, len(texts), SLICE)] or [np.zeros(0)]))
+            pa.default_memory_pool().release_unused()
 
     out = docs.withColumn("held_out", F.coalesce(rest(F.col(id_col)), F.lit(False))).withColumn("toxicity_score", scored(F.col(text_col)))
     return out.withColumn("toxicity_predicted", (F.col("toxicity_score") >= threshold).cast("int"))
