@@ -1,5 +1,6 @@
 """Skew, partitioning and plan shape."""
 
+import math
 import re
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from usertide.catalog import ORACLES, QUERIES
 from usertide.catalog.views import Views
 from usertide.operators import checks, coverage, ranking
-from usertide.plans import cohorts, evaluation, features, model_data, scoring
+from usertide.plans import cohorts, evaluation, features, model_data, scoring, silhouettes
 
 
 def plan_of(df):
@@ -167,3 +168,32 @@ def test_audit_reads_event_ids_alone_and_expands_no_events(spark, sf_dir):
     plan = plan_of(QUERIES["quality_audit"](spark, sf_dir)).split("+- == Initial Plan ==")[0]
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "events.parquet" in line]
     assert len(scans) == 1 and "ReadSchema: struct<event_id:bigint>" in scans[0]
+
+
+def test_silhouettes_meet_the_sample_once_for_all_clusterings(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(90, 3)).round(3).tolist()
+    points[4][1] = points[77][2] = None
+    rows = [(i, *p, i % 3, None if i == 8 else int(i > 60)) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "user_id long, x double, y double, z double, a int, b int").repartition(3)
+    monkeypatch.setattr(silhouettes, "BLOCK", 200)  # a few rows at a time
+    monkeypatch.setattr(silhouettes, "HELD", 0)  # sums leave the task after every block
+    found = silhouettes.euclidean_silhouettes(df, ["x", "y", "z"], ["a", "b"], rows=90)
+    plan = found._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "cross" not in plan.lower()
+    got = {r["clustering"]: r for r in found.collect()}
+    kept = [r for r in rows if r[5] is not None]
+    for name, at in (("a", 4), ("b", 5)):
+        values = []
+        for s in kept:
+            sums = {}
+            for r in kept:
+                d, n, known = sums.get(r[at], (0.0, 0, False))
+                near = math.dist(s[1:4], r[1:4]) if None not in (*s[1:4], *r[1:4]) else None
+                sums[r[at]] = (d + (near or 0.0), n + 1, known or near is not None)
+            inside = sums[s[at]][0] / (sums[s[at]][1] - 1)
+            others = [d / n for c, (d, n, known) in sums.items() if c != s[at] and known]
+            values.append((min(others) - inside) / max(min(others), inside) if others else None)
+        values = [v for v in values if v is not None]
+        assert got[name]["n_rows"] == got[name]["n_sampled"] == 89
+        assert got[name]["silhouette"] == pytest.approx(sum(values) / len(values), abs=1e-12)

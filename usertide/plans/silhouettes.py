@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import add
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from usertide.plans.model_data import split_key
 from usertide.schema import quoted
 from usertide.session import materialize
 
+#: Distances that a task computes at once, and sums that it holds before it passes them on.
+BLOCK, HELD = 1_000_000, 4_000_000
 #: Rows whose silhouettes are averaged at most; all rows where there are no more.
 SAMPLED_ROWS = 1000
 
@@ -22,6 +24,64 @@ def hash_sample(df: DataFrame, id_col: str, rows: int, seed: int) -> DataFrame:
     return df.orderBy(split_key(quoted(id_col), seed), quoted(id_col)).limit(rows)
 
 
+def distance_sums(known: DataFrame, sample: list[Row], width: int) -> DataFrame:
+    """Per task the distances from each sampled row to the rows of each cluster: (pos, s, own, other, d, n).
+
+    The first ``width`` columns are coordinates, the others cluster numbers of one clustering each.  ``s`` numbers the
+    sampled rows, ``pos`` the clusterings; ``d`` adds up the distances and ``n`` counts the rows.  Distances of a row with a
+    null coordinate are null and don't add.  A block of rows meets the whole sample at once, and its distances serve
+    every clustering.
+    """
+    shared = known.sparkSession.sparkContext.broadcast([tuple(r) for r in sample])
+    block, held, clusterings = BLOCK, HELD, len(known.columns) - width
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table(values: list[list]) -> tuple[np.ndarray, np.ndarray]:
+            whole = np.array([all(v is not None for v in r) for r in values], bool)
+            return np.array([r if fit else [0.0] * width for r, fit in zip(values, whole)], float).reshape(-1, width), whole
+
+        s_x, s_whole = table([r[:width] for r in shared.value])
+        size = len(s_x)
+        own = [np.array([r[width + i] for r in shared.value], np.int32) for i in range(clusterings)]
+        totals: dict[tuple[int, int], list] = {}
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            for (pos, other), (d, fit, n) in totals.items():
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(size, pos, np.int32)), pa.array(np.arange(size, dtype=np.int64)), pa.array(own[pos]), pa.array(np.full(size, other, np.int32)),
+                    pa.array(d, mask=~s_whole if fit else np.ones(size, bool)), pa.array(np.full(size, n, np.int64)),
+                ], ["pos", "s", "own", "other", "d", "n"])
+            totals.clear()
+
+        for batch in batches if size else ():
+            step = max(1, block // size)
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                parts = [part.column(i) for i in range(width)]
+                whole = np.all([c.is_valid().to_numpy(zero_copy_only=False) for c in parts], axis=0)
+                distance = np.zeros((part.num_rows, size))
+                for i, c in enumerate(parts):
+                    distance += (c.to_numpy(zero_copy_only=False)[:, None] - s_x[:, i]) ** 2
+                np.sqrt(distance, out=distance)
+                distance[~whole] = 0.0
+                for pos in range(clusterings):
+                    found, code = np.unique(part.column(width + pos).to_numpy(), return_inverse=True)
+                    order = np.argsort(code, kind="stable")
+                    first = np.searchsorted(code[order], np.arange(len(found)))
+                    added = np.add.reduceat(distance[order], first, axis=0)
+                    fits = np.bincount(code, whole, len(found)).astype(int).tolist()
+                    for other, d, fit, n in zip(found.tolist(), added, fits, np.bincount(code).tolist()):
+                        total = totals.setdefault((pos, other), [np.zeros(size), 0, 0])
+                        total[0] += d
+                        total[1] += fit
+                        total[2] += n
+                if len(totals) * size > held:
+                    yield from flushed()
+        yield from flushed()
+
+    return known.mapInArrow(run, "pos int, s long, own int, other int, d double, n long")
+
+
 def euclidean_silhouettes(
     df: DataFrame,
     columns: Sequence[str],
@@ -36,7 +96,7 @@ def euclidean_silhouettes(
     silhouette is exact: its distances go to all rows.  The mean is taken over a sample of ``rows`` rows by
     hashed id, which is a stated, bounded query set; it is exact where the table has no more rows, and
     ``standard_error`` says how far it may be off otherwise (0 for all rows, null for a single one).  Every row
-    meets the broadcast sample once for each clustering, and only sums per sampled row and
+    meets the broadcast sample once for all clusterings, and only sums per sampled row and
     cluster leave a task, so the work is rows x sample.  A row alone in its cluster counts 0; rows with a null
     cluster are left out; a clustering with fewer than two clusters in use has no silhouette.
     """
@@ -45,22 +105,10 @@ def euclidean_silhouettes(
     labels = [F.col(quoted(c)).cast("int").alias(f"c{i}") for i, c in enumerate(names)]
     known = df.select(F.col(quoted(id_col)).alias("id"), *kept, *labels).dropna(subset=[f"c{i}" for i in range(len(names))])
     known = materialize(known, spread_by="id")
-    chosen = hash_sample(known, "id", rows, seed)
-    sample = materialize(
-        chosen.select(
-            F.monotonically_increasing_id().alias("s"),
-            *[F.col(f"x{i}").alias(f"s_x{i}") for i in range(len(columns))],
-            *[F.col(f"c{i}").alias(f"s_c{i}") for i in range(len(names))],
-        )
-    )
-    distance = F.sqrt(reduce(add, [(F.col(f"x{i}") - F.col(f"s_x{i}")) ** 2 for i in range(len(columns))]))
-    # The sample has a bounded number of rows: each task compares its rows with a copy of it.
-    met = known.crossJoin(F.broadcast(sample))
-    parts = [
-        met.groupBy("s", F.col(f"s_c{i}").alias("own"), F.col(f"c{i}").alias("other")).agg(F.sum(distance).alias("d"), F.count(F.lit(1)).alias("n")).withColumn("pos", F.lit(i))
-        for i in range(len(names))
-    ]
-    sums = reduce(DataFrame.unionByName, parts)
+    coordinates, clusters = [f"x{i}" for i in range(len(columns))], [f"c{i}" for i in range(len(names))]
+    sample = hash_sample(known, "id", rows, seed).select(*coordinates, *clusters).collect()
+    met = distance_sums(known.select(*coordinates, *clusters), sample, len(columns))
+    sums = met.groupBy("pos", "s", "own", "other").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
     mine = F.col("own") == F.col("other")
     each = sums.groupBy("pos", "s").agg(
         F.max(F.when(mine, F.col("n"))).alias("n_own"),
