@@ -1,13 +1,17 @@
 """Token alignment against a plain walk over shared byte ends."""
 
 import hashlib
+import json
+import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
+from sentencepiece import sentencepiece_model_pb2
 from tokenizers import Tokenizer
 from usertide.llm import alignment
 from usertide.llm.queries import QUERIES
@@ -133,3 +137,33 @@ def test_rare_pairs_are_joined_when_few_are_broadcast(spark, docs, monkeypatch):
     want = sorted(map(tuple, alignment.aligned_with_counts(some, A_PATH, B_PATH, keep=["doc_id"]).collect()))
     monkeypatch.setattr(alignment, "HOT", 20)
     assert sorted(map(tuple, alignment.aligned_with_counts(some, A_PATH, B_PATH, keep=["doc_id"]).collect())) == want
+
+
+def test_words_are_encoded_once_and_give_the_same_tokens(monkeypatch):
+    both = alignment.Tokenizers(*(Path(p).read_bytes() for p in (A_PATH, B_PATH)))
+    assert both.by_words
+    rng = random.Random(3)
+    signs = " ab1.'s \u0301é\n\t\u3000\x1c\x00中🙂,"
+    texts = ["".join(rng.choices(signs, k=rng.randrange(1, 60))) for _ in range(500)]
+    texts += ["<|endoftext|> a  b", "don't stop, don't stop", " ", "  x ", "a b ", "<s> </s> <0x41> <unk>", None, "", "one two " * 4000 + "one"]
+    given, lists = [], both.lists
+    monkeypatch.setattr(both, "lists", lambda words: given.extend(words) or lists(words))
+    found = alignment.align_texts(both, texts, True)
+    assert sum("one" in t for t in given) == 1 and sum(map(len, given)) < sum(len(t or "") for t in texts) / 2  # not whole texts
+    marked = alignment.align_texts(both, ["a▁b ▁c d▁ e", "f g"], True)
+    both.by_words = False
+    for column, whole in zip(marked, alignment.align_texts(both, ["a▁b ▁c d▁ e", "f g"], True)):
+        assert column.equals(whole)
+    for column, whole in zip(found, alignment.align_texts(both, texts, True)):
+        assert column.equals(whole)
+
+
+def test_tokenizers_that_join_words_read_whole_texts():
+    a, b = (Path(p).read_bytes() for p in (A_PATH, B_PATH))
+    plain = json.loads(a)
+    assert alignment.separate_words(plain, b)
+    assert not alignment.separate_words(plain | {"normalizer": {"type": "NFC"}}, b)
+    assert not alignment.separate_words(plain | {"pre_tokenizer": None}, b)
+    model = sentencepiece_model_pb2.ModelProto.FromString(b)
+    model.pieces[400].piece = "a▁b"
+    assert not alignment.separate_words(plain, model.SerializeToString())

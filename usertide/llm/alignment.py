@@ -12,9 +12,10 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 from pathlib import Path
 
 import numpy as np
@@ -36,6 +37,10 @@ HOT = 500_000
 #: An id pair is one number, A id x SPAN + B id.
 SPAN = 2**32
 OWN = "__align_row"
+#: Characters of words whose tokens a process remembers before it starts anew, and new words that are encoded as one text.
+KNOWN_CHARS, JOINED = 3_000_000, 200
+#: A single space between other characters: where no token of either tokenizer reaches across, if ``Tokenizers.by_words`` holds.
+BORDER = re.compile(r"(?<=\S) (?=\S)")
 
 LINK = pa.struct([("pair", pa.int64()), ("times", pa.int32())])
 RESULT = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links array<struct<pair: long, times: int>>"
@@ -71,11 +76,89 @@ class Tokenizers:
         # Twice the id, and one more for the last token of its group.
         self.b_from = 2 * len(a_bytes)
         self.texts = pa.array([f"{i}{c}" for i in range(len(a_bytes)) for c in ",|"] + [f"{i}{c}" for i in range(size) for c in ",;"], pa.binary())
+        self.by_words = separate_words(json.loads(a_file), b_file)
+        self.forget()
 
-    def encode(self, texts: list[str]) -> tuple[list, list]:
+    def lists(self, texts: list[str]) -> tuple[list, list]:
         a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         return a, self.b.encode(texts, num_threads=1)
 
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per side the ids of all texts, and where each text's begin and the last one's end.
+
+        Where words are encoded alike in any text, each distinct one is encoded once and remembered, up to a bound.
+        The sign of a space, U+2581, is no part of such words.
+        """
+        if not self.by_words or any("▁" in t for t in texts):
+            return [flattened(side) for side in self.lists(texts)]
+        cut = [BORDER.split(t) for t in texts]
+        if self.held > KNOWN_CHARS:
+            self.forget()
+        known, before = self.known, len(self.known)
+        code = np.fromiter((known.setdefault(w, len(known)) for words in cut for w in words), np.int64)
+        self.learn(list(islice(known, before, None)))
+        text_at = np.cumsum([0, *map(len, cut)])
+        out = []
+        for ids, at in self.tokens:
+            size = np.diff(at)[code]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            out.append((ids[np.arange(ends[-1]) + np.repeat(at[code] - ends[:-1], size)].astype(np.int64), ends[text_at]))
+        return out
+
+    def forget(self) -> None:
+        self.known, self.held = {}, 0
+        self.tokens = [(np.zeros(0, np.int32), np.zeros(1, np.int64)) for _ in range(2)]
+
+    def learn(self, words: list[str]) -> None:
+        """Adds the tokens of new words, which are encoded as texts of many words and told apart by their bytes."""
+        ends = np.cumsum(np.fromiter((len(w.encode("utf-8")) + 1 for w in words), np.int64, len(words)))
+        found = self.lists(list(joined(words)))
+        for side, (lists, sizes) in enumerate(zip(found, self.sizes)):
+            ids = flattened(lists)[0]
+            (old, at), stop = self.tokens[side], np.searchsorted(np.cumsum(sizes[ids]), ends) + 1
+            self.tokens[side] = np.concatenate([old, ids.astype(np.int32)]), np.concatenate([at, at[-1] + stop])
+        self.held += sum(map(len, words))
+
+
+def joined(words: list[str]) -> Iterator[str]:
+    """The words in texts of some words each, joined by BORDERs; one that begins or ends with space stays alone."""
+    text: list[str] = []
+    for word in words:
+        alone = not word or word[0].isspace() or word[-1].isspace()
+        if text and (alone or len(text) == JOINED):
+            yield " ".join(text)
+            text = []
+        if alone:
+            yield word
+        else:
+            text.append(word)
+    if text:
+        yield " ".join(text)
+
+
+def separate_words(a: dict, b_file: bytes) -> bool:
+    """Whether both tokenizers cut at every BORDER and encode what lies between without regard to the rest.
+
+    A: byte-level words begin at such a space, and no token is looked for across words.  B: merges that nothing
+    precedes but the space's own sign; no piece has that sign after another character.  Both give all bytes back.
+    """
+    try:
+        from sentencepiece import sentencepiece_model_pb2
+    except (ImportError, TypeError):
+        return False
+    b = sentencepiece_model_pb2.ModelProto()
+    b.ParseFromString(b_file)
+    words, merges, how = a.get("pre_tokenizer") or {}, a["model"], b.normalizer_spec
+    return (
+        all(a.get(k) is None for k in ("normalizer", "truncation", "padding"))
+        and (words.get("type"), words.get("add_prefix_space"), words.get("use_regex", True)) == ("ByteLevel", False, True)
+        and merges.get("type", "BPE") == "BPE" and not merges.get("dropout") and merges["vocab"].keys() >= byte_letters().keys()
+        and all(t["special"] for t in a.get("added_tokens") or [])
+        and b.trainer_spec.model_type == b.trainer_spec.BPE and b.trainer_spec.byte_fallback and not b.trainer_spec.treat_whitespace_as_suffix
+        and how.add_dummy_prefix and how.escape_whitespaces and not how.remove_extra_whitespaces and not how.precompiled_charsmap
+        and not any(p.type == p.USER_DEFINED or re.search("[^▁]▁", p.piece) for p in b.pieces)
+    )
+
 
 @lru_cache(maxsize=1)
 def tokenizers(a_file: bytes, b_file: bytes) -> Tokenizers:
@@ -204,7 +287,7 @@ def align_texts(both: Tokenizers, texts: list[str | None], spans: bool) -> list[
     """The result columns of some texts."""
     rows = len(texts)
     full = [i for i, t in enumerate(texts) if t]
-    sides = [flattened(lists) for lists in both.encode([texts[i] for i in full])]
+    sides = both.encode([texts[i] for i in full])
     wanted = [(" " + texts[i]).encode("utf-8") for i in full]
     fit = np.ones(len(full), bool)
     for side, pieces, sizes in zip(sides, both.bytes, both.sizes):
