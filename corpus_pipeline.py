@@ -46,7 +46,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with their number and whether decoding gives the text again."""
     ship(spark)
     ranks = bpe.load_ranks(rank_file())
-    coded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 

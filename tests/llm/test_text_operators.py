@@ -4,6 +4,7 @@ import struct
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -264,3 +265,16 @@ def test_token_histogram(spark, docs, odd_docs, ranks, library):
     assert token_lengths.quantile(table, 0.5) == sorted(counts)[(len(counts) - 1) // 2]
     empty = token_lengths.histogram(lengths.limit(0))
     assert empty.collect() == [] and token_lengths.quantile(empty, 0.5) is None
+
+
+def test_encoding_and_decoding_share_a_worker(spark, ranks, library):
+    texts = ["Hello, world  again", "", None, "naïve 中文 🙂 \x00", "x" * 300, " a" * 700]
+    rows = spark.createDataFrame([(i, t, "old") for i, t in enumerate(texts * 3)], "doc_id long, text string, ids string").repartition(2)
+    found = bpe.encode_and_decode(rows, ranks, public_tokenizers.PATTERN)
+    assert found.columns == ["doc_id", "text", "ids", "decoded"]
+    for r in found.collect():
+        assert r["ids"] == library.encode_ordinary(r["text"] or "") and bytes(r["decoded"]) == (r["text"] or "").encode()
+    assert bpe.encode_and_decode(rows.limit(0), ranks, public_tokenizers.PATTERN).collect() == []
+    docs = rows.select("doc_id", "text", *[F.lit("x").alias(c) for c in ("lang", "source")])
+    plan = corpus_pipeline.encode(spark, docs, None)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

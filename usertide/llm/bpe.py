@@ -27,6 +27,7 @@ REMEMBERED, ENTRY = 64_000_000, 200
 #: Texts handled at once.
 SLICE = 500
 NONE = 2**31 - 1
+OWN = "__bpe"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -218,27 +219,52 @@ def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     return sliced(batches, packed_ids, pa.binary())
 
 
+def piece_table(ranks: dict[bytes, int]) -> list[bytes]:
+    """The piece of every id; ids without one have empty pieces."""
+    table = [b""] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        table[rank] = piece
+    return table
+
+
+def joined_pieces(lists: pa.ListArray, pieces: pa.Array) -> pa.Array:
+    """The pieces of each list of ids, concatenated."""
+    found = pieces.take(lists.flatten())
+    ends = np.frombuffer(found.buffers()[1], np.int32, len(found) + 1) if len(found) else np.zeros(1, np.int32)
+    data = np.frombuffer(found.buffers()[2] or b"", np.uint8) if len(found) else np.empty(0, np.uint8)
+    at = lists.offsets.to_numpy().astype(np.int64)
+    return binary(data, ends[at - at[0]])
+
+
 def decode(docs: DataFrame, ranks: dict[bytes, int], *, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """All columns of ``docs`` with the bytes of the ids in ``bytes_col``: their binary pieces, concatenated.
 
     No ids give empty bytes; a null array gives empty bytes too.  ``bytes_col`` replaces a column of that name.
     """
-    table: list[bytes] = [b""] * (max(ranks.values()) + 1)
-    for piece, rank in ranks.items():
-        table[rank] = piece
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = docs.sparkSession.sparkContext.broadcast(piece_table(ranks))
 
     @F.arrow_udf("binary")
     def joined(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = pa.array(shared.value, pa.binary())
+        return sliced(batches, lambda lists: joined_pieces(lists, pieces), pa.binary())
 
-        def join(lists: pa.ListArray) -> pa.Array:
-            found = pieces.take(lists.flatten())
-            ends = np.frombuffer(found.buffers()[1], np.int32, len(found) + 1) if len(found) else np.zeros(1, np.int32)
-            data = np.frombuffer(found.buffers()[2] or b"", np.uint8) if len(found) else np.empty(0, np.uint8)
-            at = lists.offsets.to_numpy().astype(np.int64)
-            return binary(data, ends[at - at[0]])
+    return docs.withColumn(bytes_col, joined(F.coalesce(F.col(ids_col), F.array().cast("array<int>"))))
 
-        return sliced(batches, join, pa.binary())
 
-    return docs.withColumn(bytes_col, joined(F.coalesce(F.col(ids_col), F.array().cast("array<int>"))))
+def encode_and_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
+    """``decode`` after ``encode`` in one pass: a task has one Python worker, not one for each, and ids aren't sent twice."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known, pieces = Memo(), pa.array(piece_table(shared.value), pa.binary())
+
+        def both(words: pa.ListArray) -> pa.StructArray:
+            ids = ids_of(words, shared.value, known)
+            return pa.StructArray.from_arrays([ids, joined_pieces(ids, pieces)], fields=list(kind))
+
+        return sliced(batches, both, kind)
+
+    found = docs.withColumn(OWN, coded(words_in(F.coalesce(F.col(text_col), F.lit("")), pattern)))
+    return found.withColumns({ids_col: F.col(f"{OWN}.ids"), bytes_col: F.col(f"{OWN}.decoded")}).drop(OWN)
