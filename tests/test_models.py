@@ -144,3 +144,16 @@ def test_segments(spark, sf_dir):
 def test_segments_need_a_variable(spark):
     with pytest.raises(ValueError, match="none of"):
         segments.segment_users(spark.createDataFrame([(1, 2)], "user_id int, other int"))
+
+
+def test_forest_rows_keep_their_nodes_and_trees_stay_the_same(spark, monkeypatch):
+    rows = [(i, i % 7 * 0.5, i * 37 % 101 / 10.0, "ab"[i % 2], int(i * 29 % 13 > 6)) for i in range(400)]
+    train = spark.createDataFrame(rows, "user_id long, x double, y double, kind string, churn_30d int").repartition(3, "user_id").cache()
+    encoding = model_data.fit_encoding(train)
+    kept = training.fit_forest(train, encoding, trees=7, depth=30).pipeline.stages[-1]
+    assert kept.getCacheNodeIds()
+    plain = training.RandomForestClassifier
+    monkeypatch.setattr(training, "RandomForestClassifier", lambda **k: plain(**k | {"cacheNodeIds": False}))
+    walked = training.fit_forest(train, encoding, trees=7, depth=30).pipeline.stages[-1]
+    trees = lambda m: m.toDebugString.split("\n")[1:]
+    assert trees(kept) == trees(walked) and len(trees(kept)) > 100

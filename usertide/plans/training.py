@@ -147,6 +147,8 @@ def fit_forest(
         maxDepth=depth,
         featureSubsetStrategy="sqrt",
         seed=seed,
+        # Rows keep their node of each tree between levels instead of walking every tree from its root again.
+        cacheNodeIds=True,
     )
     return _fit("random_forest", weighted, encoding, classifier)
 
