@@ -180,6 +180,41 @@ def test_silhouettes_of_odd_tables(spark):
     assert silhouettes.euclidean_silhouettes(nulls, ["u"], ["a"]).first()["n_rows"] == 16
 
 
+def test_choices_use_the_silhouettes_of_all_users(spark):
+    rng = np.random.default_rng(11)
+    x = rng.gamma(1.0, 4.0, size=(1300, 2)).round(2) + rng.integers(0, 3, 1300)[:, None] * [30, 5]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "user_id long, views double, credits_spent double")
+    found = segments.segment_users(df, ks=(2, 3, 4))
+    rows = found.labelled.toPandas()
+    for r in found.choices.collect():
+        whole = brute_silhouette(rows[["_z0", "_z1"]].to_numpy(), rows[f"_c{r['k']}"].to_numpy())
+        assert r["silhouette"] == pytest.approx(whole.mean(), abs=1e-9) and r["standard_error"] == 0.0
+
+
+def test_all_pairs_equal_the_sums_of_a_whole_sample(spark, monkeypatch):
+    """Rows that come twice, rows far from all others and close to each other, missing coordinates and clusters, a cluster of one."""
+    rng = np.random.default_rng(2)
+    x = np.repeat(rng.normal(size=(150, 3)).round(3), 2, axis=0)
+    x[:40] = 3e6 + x[:40] * 1e-6
+    rows = [(i // 2, *map(float, r), i % 3 - 1, 7 if i == 30 else int(i > 60), 0 if i > 90 else None, 1) for i, r in enumerate(x)]
+    rows = [(r[0], None if i % 41 == 3 else r[1], *r[2:]) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "user_id int, u double, v double, w double, a int, b int, c int, d int").repartition(5)
+    names = ("a", "b", "d")
+    wanted = {r["clustering"]: r for r in silhouettes.euclidean_silhouettes(df, ["u", "v", "w"], names, rows=1000).collect()}
+    for own, tile in ((silhouettes.OWN_ROWS, silhouettes.TILE), (7, 25)):  # several groups and tiles
+        monkeypatch.setattr(silhouettes, "OWN_ROWS", own)
+        monkeypatch.setattr(silhouettes, "TILE", tile)
+        got = {r["clustering"]: r for r in silhouettes.euclidean_silhouettes(df, ["u", "v", "w"], names, rows=None).collect()}
+        assert set(got) == set(names) and got["d"]["silhouette"] is wanted["d"]["silhouette"] is None
+        for name in ("a", "b"):
+            assert (got[name]["n_rows"], got[name]["n_sampled"], got[name]["standard_error"]) == (300, 300, 0.0)
+            assert got[name]["silhouette"] == pytest.approx(wanted[name]["silhouette"], abs=1e-9)
+    assert silhouettes.euclidean_silhouettes(df, ["u"], ["c"], rows=None).first()["n_rows"] == 209
+    assert silhouettes.euclidean_silhouettes(df.limit(0), ["u"], ["a"], rows=None).collect() == []
+    same = silhouettes.euclidean_silhouettes(df.withColumn("u", F.lit(1.0)), ["u"], ["a"], rows=None).first()
+    assert same["silhouette"] == 0.0
+
+
 def test_both_distances_choose_a_tried_k(spark, sf_dir):
     features = Views(spark, sf_dir).features()
     for distance in ("euclidean", "squared"):

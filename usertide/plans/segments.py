@@ -19,7 +19,7 @@ from usertide.functions.numeric import share_of
 from usertide.operators.moments import principal_axes, second_moments
 from usertide.operators.stats import boxplot_stats
 from usertide.plans.model_data import fit_scaler, scaled_columns
-from usertide.plans.silhouettes import SAMPLED_ROWS, euclidean_silhouettes
+from usertide.plans.silhouettes import euclidean_silhouettes
 from usertide.schema import available_columns, numeric_columns, require_columns
 from usertide.session import materialize
 
@@ -73,11 +73,10 @@ def segment_users(
     seed: int = 42,
     id_col: str = "user_id",
     distance: str = "euclidean",
-    silhouette_rows: int = SAMPLED_ROWS,
 ) -> Segments:
     """k-means over the available variables with the k of the best silhouette (the smallest on a tie).
 
-    Silhouettes use plain distances from up to ``silhouette_rows`` users to all users; ``distance='squared'`` uses
+    Silhouettes use plain distances from all users to all users; ``distance='squared'`` uses
     squared distances from all users to cluster means instead.  Clusters are numbered by falling mean of
     ``credits_purchased`` (or of the first variable), so the numbers mean the same from run to run.
     """
@@ -108,7 +107,7 @@ def segment_users(
     labelled = materialize(labelled)
     if distance == "euclidean":
         clusterings = [f"_c{k}" for k in models]
-        rows = euclidean_silhouettes(labelled, names, clusterings, id_col, silhouette_rows, seed).collect()
+        rows = euclidean_silhouettes(labelled, names, clusterings, id_col, rows=None).collect()
         found = {int(r["clustering"][2:]): (r["silhouette"], r["standard_error"]) for r in rows}
     cost = inertias(labelled, names, centers)
     tried = [(k, cost[k], *found.get(k, (None, None))) for k in models]
